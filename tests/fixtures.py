@@ -1,0 +1,61 @@
+"""Hand-written landing records: nested, untidy, repeated and incomplete."""
+
+import json
+
+USERS = [
+    {
+        "id": 1, "name": " \to'neil mc-donald 3rd", "username": " ANN ", "email": " A.B@C.CO ",
+        "phone": "1-770-736 x56442 (home)", "website": "ann.org",
+        "address": {"street": "s", "suite": "1", "city": "Rio", "zipcode": "01", "geo": {"lat": " 12 ", "lng": "-1.5"}},
+        "company": {"name": "Ada", "catchPhrase": "Phrase", "bs": "b"},
+    },
+    {
+        "id": 1, "name": "second copy", "username": "copy", "email": "copy@c.co", "phone": "", "website": "w",
+        "address": {"city": "Elsewhere", "zipcode": "9", "geo": {"lat": "0", "lng": "0"}},
+        "company": {"name": "Copy"},
+    },
+    {
+        "id": 2, "name": "ßéla ÉCOLE", "username": "Bela", "email": "é@b.co", "phone": "+55 (11) 9.9", "website": None,
+        "address": {"city": None, "zipcode": "02", "geo": {"lat": "abc", "lng": ""}},
+        "company": {"name": "Bel"},
+    },
+    {
+        "id": 3, "name": "carl", "username": "carl", "email": "no-at-sign", "phone": None, "website": "c",
+        "address": {"city": "Rio", "zipcode": "03", "geo": {"lat": "1.5d", "lng": "nan"}},
+        "company": None,
+    },
+    {
+        "id": 4, "name": "dora", "username": "dora", "email": None, "phone": "4", "website": "d",
+        "address": {"city": "Lima", "zipcode": "04", "geo": {"lat": "inf", "lng": "200"}},
+        "company": {"name": "Dor"},
+    },
+]
+
+POSTS = [
+    {"userId": 1, "id": 10, "title": " first post ", "body": " line one\nline  two \n"},
+    {"userId": 1, "id": 10, "title": "second copy", "body": "dropped"},
+    {"userId": 1, "id": 11, "title": "o'clock", "body": ""},
+    {"userId": 2, "id": 12, "title": "a b c", "body": " \t "},
+    {"userId": None, "id": 13, "title": "of nobody", "body": "x"},
+    {"userId": 99, "id": 14, "title": "of a stranger", "body": "é😀"},
+]
+
+TODOS = [
+    {"userId": 1, "id": 20, "title": " do it", "completed": True},
+    {"userId": 1, "id": 20, "title": " do it", "completed": True},
+    {"userId": 1, "id": 21, "title": "undone", "completed": False},
+    {"userId": 4, "id": 22, "title": "unknown", "completed": None},
+]
+
+COMMENTS = [{"postId": 10, "id": 1, "name": "n", "email": "e@f.g", "body": "b"}]
+
+RECORDS = {"users": USERS, "posts": POSTS, "todos": TODOS, "comments": COMMENTS}
+
+
+def land(folder, records=RECORDS):
+    """One JSON array that spans lines per entity, as an API would answer."""
+    for name, rows in records.items():
+        target = folder / name
+        target.mkdir(parents=True, exist_ok=True)
+        (target / "data.json").write_text(json.dumps(rows, indent=1, ensure_ascii=False), encoding="utf8")
+    return str(folder)

@@ -1,0 +1,126 @@
+"""What the physical plans must and must not contain."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierlake.operators.columns import with_date_parts
+from tierlake.operators.dedup import duplicate_count, keep_first
+from tierlake.operators.membership import orphan_count
+from tierlake.quality import rulesets
+from tierlake.quality.suite import Suite
+from tierlake.queries import QUERIES, tables
+from tierlake.sources import sinks
+
+WRITING = {
+    "bronze_partition_roundtrip", "bronze_snapshot_roundtrip", "ingest_rejects", "lake_inventory",
+    "raw_to_processed", "full_run_summary", "dq_report",
+}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def count(word, plan):
+    return len(re.findall(rf"\b{word}\b", plan))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as for sides too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
+def test_no_python_and_no_products(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    for operator in ["Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate"]:
+        assert operator not in plan
+
+
+def test_dedup_limits_each_key_before_its_only_shuffle(spark, sf_dir):
+    plan = plan_of(keep_first(tables.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]))
+    assert count("Exchange", plan) == 1
+    before = plan[plan.index("Exchange"):]
+    assert "row_number(), 1, Partial" in before and "row_number(), 1, Final" not in before
+
+
+def test_counts_are_combined_before_their_shuffle(spark, sf_dir, no_broadcast):
+    events, customer = (tables.table(spark, sf_dir, n) for n in ("events", "customer"))
+    counts = [duplicate_count(events, ["user_id"]), orphan_count(events, "user_id", customer, "c_custkey")]
+    for plan in map(plan_of, counts):
+        shuffle = plan.index("Exchange hashpartitioning")
+        assert re.search(r"HashAggregate\(keys=\[(__key|user_id).*partial_", plan[shuffle:])
+        assert "Join" not in plan
+
+
+def test_orphan_count_reads_only_the_keys(spark, sf_dir):
+    events, customer = (tables.table(spark, sf_dir, n) for n in ("events", "customer"))
+    schemas = re.findall(r"ReadSchema: (\S+)", plan_of(orphan_count(events, "user_id", customer, "c_custkey")))
+    assert sorted(schemas) == ["struct<c_custkey:bigint>", "struct<user_id:bigint>"]
+
+
+def test_row_rules_share_one_scan(spark, sf_dir):
+    customer = tables.table(spark, sf_dir, "customer")
+    suite = (
+        Suite("c", "SILVER").row_count(5).not_null(["c_custkey", "c_name"])
+        .regex("c_name", "^C", "C").in_range("c_acctbal", 0, 9)
+    )
+    plan = plan_of(suite.evaluate(customer))
+    assert count("FileScan", plan) == 1
+    assert "c_mktsegment" not in plan
+    assert count("Exchange", plan) == 1
+
+
+def test_suite_scans_once_for_row_rules_and_once_per_key(spark, sf_dir):
+    users = tables.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.col("c_name").alias("email"),
+        F.col("c_name").alias("username"), F.col("c_acctbal").alias("geo_lat"), F.col("c_acctbal").alias("geo_lng"),
+    )
+    assert count("FileScan", plan_of(rulesets.users_silver().evaluate(users))) == 3
+
+
+def test_profile_shuffles_each_side_once(spark, sf_dir, no_broadcast):
+    plan = plan_of(QUERIES["gold_user_profile"](spark, sf_dir))
+    assert plan.count("Exchange hashpartitioning(user_id") == 3
+    assert plan.count("partial_count") >= 2
+    for table, column in [("orders", "o_totalprice"), ("events", "props")]:
+        assert table in plan and column not in plan
+
+
+def test_silver_text_has_one_shuffle_and_cleans_after_it(spark, sf_dir):
+    plan = plan_of(QUERIES["silver_posts_text"](spark, sf_dir))
+    assert count("Exchange", plan) == 1
+    assert plan.index("regexp_extract_all") < plan.index("Exchange")
+    assert "regexp_extract_all" not in plan[plan.index("Exchange"):]
+
+
+def test_metadata_columns_are_narrow(spark, sf_dir):
+    for name in ["bronze_metadata", "record_hash", "flatten_nested", "lenient_numeric", "title_case", "regex_clean"]:
+        assert "Exchange" not in plan_of(QUERIES[name](spark, sf_dir))
+
+
+def test_partition_reads_list_their_own_folder_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(4).withColumn("_ingestion_timestamp", F.concat(F.lit("2024_"), (F.col("id") % 2).cast("string")))
+    sinks.write_snapshot(df, path)
+    found = sinks.read_snapshot(spark, path, "2024_1")
+    assert all("_ingestion_timestamp=2024_1" in file for file in found.inputFiles())
+    assert sorted(r.id for r in found.collect()) == [1, 3]
+
+
+def test_partition_filters_prune_files(spark, sf_dir, tmp_path):
+    events = tables.table(spark, sf_dir, "events")
+    sinks.write_partitions(with_date_parts(events, F.col("ts")), str(tmp_path / "t"))
+    plan = plan_of(sinks.read_partitions(spark, str(tmp_path / "t")).where("dia = '05'").select("event_id"))
+    assert re.search(r"PartitionFilters: \[.*dia.* = 05", plan)
+
+
+def test_long_texts_are_compared_by_digest(spark, sf_dir):
+    plan = plan_of(duplicate_count(tables.table(spark, sf_dir, "documents"), ["text"]))
+    exchange = re.search(r"Exchange hashpartitioning\((.*)\)", plan).group(1)
+    assert exchange.count("_groupingexpression") == 2 and "text#" not in exchange

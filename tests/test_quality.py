@@ -1,0 +1,179 @@
+import dataclasses
+import json
+
+import pytest
+
+from tierlake.quality import report, rules, rulesets
+from tierlake.quality.gate import QualityGateError, enforce, outcome
+from tierlake.quality.suite import Suite
+from tierlake.sources import sinks
+from test_columns import RUN
+
+SUITE = Suite("people", "SILVER")
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    rows = [
+        (1, "ann", "a@b.co", 10.0), (2, "bob", "é@b.co", 95.0), (2, None, "nope", float("nan")),
+        (None, "dan", None, -91.0), (None, "eve", "e@f.org", None),
+    ]
+    return spark.createDataFrame(rows, "id long, name string, mail string, lat double")
+
+
+@pytest.fixture(scope="module")
+def nobody(people):
+    return people.limit(0)
+
+
+def found(suite, df):
+    rows = sorted(suite.evaluate(df).collect(), key=lambda r: r.position)
+    return [(r.check, r.status, r.failing) for r in rows]
+
+
+def test_each_rule_on_a_table_that_fails(spark, people):
+    parents = spark.createDataFrame([(1,)], "key long")
+    suite = (
+        SUITE.row_count(6)
+        .not_null(["id", "lat"])
+        .unique(["id", "name"])
+        .regex("mail", rulesets.EMAIL, "email")
+        .in_range("lat", -90, 90)
+        .references("id", parents, "key")
+    )
+    assert found(suite, people) == [
+        ("row_count", "FAIL", 1),
+        ("not_null:id", "FAIL", 2),
+        ("not_null:lat", "FAIL", 2),
+        ("unique:id", "FAIL", 2),
+        ("unique:name", "PASS", 0),
+        ("regex:mail", "WARN", 1),
+        ("range:lat", "WARN", 2),
+        ("referential:id→key", "FAIL", 4),
+    ]
+
+
+def test_each_rule_on_a_table_that_passes(spark):
+    df = spark.createDataFrame([(1, "a@b.co", -90.0), (2, "c@d.co", 90.0)], "id long, mail string, lat double")
+    suite = (
+        SUITE.row_count(2).not_null(["id", "mail"]).unique(["id"])
+        .regex("mail", rulesets.EMAIL, "email").in_range("lat", -90, 90).references("id", df, "id")
+    )
+    assert {status for _, status, _ in found(suite, df)} == {"PASS"}
+
+
+def test_empty_table(nobody):
+    suite = SUITE.row_count(1).not_null(["id"]).unique(["id"]).in_range("lat", 0).references("id", nobody, "id")
+    rows = {r.check: r for r in suite.evaluate(nobody).collect()}
+    assert rows["row_count"].status == "FAIL"
+    assert rows["not_null:id"].status == "PASS"
+    assert rows["not_null:id"].details == "0 nulls (NaN%)"
+    assert {rows[c].failing for c in ("unique:id", "range:lat", "referential:id→id")} == {0}
+
+
+def test_missing_column_fails_not_null_and_skips_the_rest(people):
+    suite = (
+        SUITE.not_null(["gone"]).not_null(["gone"], "WARNING").unique(["gone"])
+        .regex("gone", "x", "x").in_range("gone", 0).references("gone", people, "id")
+    )
+    assert found(suite, people) == [("not_null:gone", "FAIL", None), ("not_null:gone", "WARN", None)]
+
+
+def test_range_bounds_are_inclusive_and_both_sides_count(spark):
+    df = spark.createDataFrame([(0,), (1,), (2,), (3,), (None,)], "n int")
+    assert found(SUITE.in_range("n", 1, 2), df) == [("range:n", "WARN", 2)]
+    assert found(SUITE.in_range("n", maximum=2), df) == [("range:n", "WARN", 1)]
+    assert found(SUITE.in_range("n"), df) == [("range:n", "PASS", 0)]
+    assert found(SUITE.in_range("n", 2, 1), df) == [("range:n", "WARN", 4)]
+
+
+def test_details_carry_the_counts(people):
+    suite = SUITE.row_count(5).not_null(["id"]).in_range("lat", -90, 90).regex("mail", "x", "an x")
+    details = [r.details for r in sorted(suite.evaluate(people).collect(), key=lambda r: r.position)]
+    assert details == ["5 rows (minimum 5)", "2 nulls (40.0%)", "2 outside [-90, 90]", "4 not valid (an x)"]
+
+
+def test_builder_does_not_change_the_suite():
+    longer = SUITE.not_null(["a"])
+    assert SUITE.rules == () and len(longer.rules) == 1
+    with pytest.raises(dataclasses.FrozenInstanceError):
+        longer.entity = "x"
+
+
+def test_suite_without_rules_reports_zero(people):
+    made = report.report(SUITE.evaluate(people), "people", "SILVER", RUN).first()
+    assert (made.score, tuple(made.summary), made.checks) == (0.0, (0, 0, 0), [])
+
+
+@pytest.mark.parametrize("score, band", [(100.0, "GREEN"), (80.0, "GREEN"), (79.9, "YELLOW"), (60.0, "YELLOW"), (59.9, "RED")])
+def test_band(spark, score, band):
+    df = spark.createDataFrame([(score,)], "s double")
+    assert df.select(report.band(df.s)).first()[0] == band
+
+
+def test_report_scores_and_keeps_rule_order(people):
+    suite = SUITE.row_count(1).unique(["id"]).not_null(["id", "mail"]).regex("mail", "x", "x").row_count(2)
+    made = report.report(suite.evaluate(people), "people", "SILVER", RUN).first()
+    assert made.score == 33.3
+    assert tuple(made.summary) == (2, 3, 1)
+    assert [c.check for c in made.checks] == [
+        "row_count", "unique:id", "not_null:id", "not_null:mail", "regex:mail", "row_count",
+    ]
+    assert made.timestamp == "2024-01-05T06:07:08+00:00"
+
+
+def test_stored_reports_replace_only_their_own(spark, people, tmp_path):
+    path = str(tmp_path / "reports")
+    for entity, minimum in [("a", 1), ("b", 1), ("a", 99)]:
+        suite = Suite(entity, "SILVER").row_count(minimum)
+        sinks.write_reports(report.report(suite.evaluate(people), entity, "SILVER", RUN), path)
+    stored = report.summary(report.read_reports(spark, path)).orderBy("entity").collect()
+    assert [tuple(r) for r in stored] == [("a", "SILVER", 0.0, "RED", 0, 1, 0), ("b", "SILVER", 100.0, "GREEN", 1, 0, 0)]
+    part = next((tmp_path / "reports" / "entity=a" / "layer=SILVER").glob("part-*.json"))
+    assert set(json.loads(part.read_text())) == {"score", "timestamp", "summary", "checks"}
+
+
+CHECKS = [
+    {"tipo": "min_count", "valor": 1},
+    {"tipo": "not_null", "coluna": "id", "critico": False},
+    {"tipo": "unique", "coluna": "name"},
+]
+
+
+def test_gate_lets_warnings_through(people):
+    rows = enforce(rulesets.bronze("people", CHECKS).evaluate(people))
+    assert [r.status for r in rows] == ["PASS", "WARN", "PASS"]
+
+
+@pytest.mark.parametrize(
+    "broken",
+    [
+        {"tipo": "not_null", "coluna": "id"},
+        {"tipo": "not_null", "coluna": "gone"},
+        {"tipo": "unique", "coluna": "gone"},
+        {"tipo": "unique", "coluna": "id"},
+        {"tipo": "min_count", "valor": 6},
+        {"tipo": "min_count"},
+        {"tipo": "not_null"},
+        {"tipo": "made_up", "coluna": "id"},
+        {"coluna": "id"},
+    ],
+)
+def test_gate_stops_on_a_critical_failure(people, broken):
+    with pytest.raises(QualityGateError) as caught:
+        enforce(rulesets.bronze("people", [*CHECKS, broken]).evaluate(people))
+    assert len(caught.value.failed) == 1
+    tolerated = {**broken, "critico": False}
+    assert enforce(rulesets.bronze("people", [*CHECKS, tolerated]).evaluate(people))[-1].status == "WARN"
+
+
+def test_outcome(people):
+    checks = [*CHECKS, {"tipo": "unique", "coluna": "id"}]
+    assert tuple(outcome(rulesets.bronze("people", checks).evaluate(people)).first()) == (50.0, 2, 2, 1, True)
+    assert tuple(outcome(SUITE.evaluate(people)).first()) == (0.0, 0, 0, 0, False)
+
+
+def test_unknown_kinds_become_rules_that_fail():
+    made = rules.rules_from_dicts([{"tipo": "?", "coluna": "c"}, {"tipo": "not_null", "coluna": "c", "critico": False}])
+    assert isinstance(made[0], rules.Broken) and made[0].severity == "ERROR"
+    assert made[1] == rules.NotNull("c", severity="WARNING", strict=True)

@@ -1,0 +1,90 @@
+"""Text functions against the Python string methods they stand for."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierlake.functions import text
+from tierlake.quality.rulesets import EMAIL
+
+ALPHABET = list("abzXYZ019 '-_.@\t\n\r\x0b\x1c\x1f\x85\xa0  　éÉßñÑçœŒªº中あЖжΩωǅⅳ٣+()x")
+
+HAND_PICKED = [
+    "a\ufdd0 b", "\ufdd0 x\ufdd0y 'Z", "İSTANBUL ﬁx ǅ ẞ", "ΑΣ ΒΣΓ",
+    "", " ", "\t\n", "o'neil mc-donald 3rd", "ßtraße", " \tÉcole  d'été\n", "a\x85b", "中a b", "x y z",
+    "1st 2ND", "ALL CAPS\nnext line", "a\x1cb", "　wide　", "ǆungla", "😀 smile😀a", "tab\tand  blanks",
+]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rng = random.Random(7)
+    made = ["".join(rng.choices(ALPHABET, k=rng.randrange(0, 25))) for _ in range(1500)]
+    rows = [(s,) for s in HAND_PICKED + made] + [(None,)]
+    return spark.createDataFrame(rows, "s string").coalesce(4).cache()
+
+
+def compare(texts, column, expected):
+    rows = texts.select("s", column.alias("got")).collect()
+    wrong = [(r.s, r.got, expected(r.s)) for r in rows if r.s is not None and r.got != expected(r.s)]
+    assert wrong == []
+    assert [r.got for r in rows if r.s is None] == [None]
+
+
+def test_strip_removes_every_python_whitespace(texts):
+    compare(texts, text.strip(F.col("s")), str.strip)
+
+
+def test_whitespace_list_is_complete():
+    assert set(text.WHITESPACE) == {chr(i) for i in range(0x110000) if chr(i).isspace()}
+
+
+def test_title_case(texts):
+    compare(texts, text.title_case(F.col("s")), str.title)
+
+
+def test_word_count(texts):
+    compare(texts, text.word_count(F.col("s")), lambda s: len(s.split()))
+
+
+def test_length_counts_code_points(texts):
+    compare(texts, text.length(F.col("s")), len)
+
+
+def test_clean_phone_keeps_unicode_digits(texts):
+    compare(texts, text.clean_phone(F.col("s")), lambda s: re.sub(text.PHONE_NOISE, "", s))
+
+
+def test_replace_is_literal(texts):
+    compare(texts, text.replace_text(F.col("s"), ".", "[.]"), lambda s: s.replace(".", "[.]"))
+
+
+@pytest.mark.parametrize("pattern", [EMAIL, r"\w+", r"a|b", r".*x$", r"\d"])
+def test_matches_from_start(texts, pattern):
+    compare(texts, text.matches_from_start(F.col("s"), pattern), lambda s: re.match(pattern, s) is not None)
+
+
+@pytest.mark.parametrize(
+    "address, valid",
+    [
+        ("a.b-c@d.co", True), ("é@b.co", True), ("no-at.example.com", False),
+        ("a@b", False), ("a@b.co\n", True), ("a@b.co\r", False), ("x a@b.co", False),
+    ],
+)
+def test_email_format(spark, address, valid):
+    df = spark.createDataFrame([(address,)], "s string")
+    assert df.select(text.matches_from_start(F.col("s"), EMAIL)).first()[0] is valid
+    assert (re.match(EMAIL, address) is not None) is valid
+
+
+def test_map_values_leaves_unmapped_null(spark):
+    df = spark.createDataFrame([(True,), (False,), (None,)], "b boolean")
+    mapped = df.select(text.map_values(F.col("b"), {True: "COMPLETED", False: "PENDING"})).collect()
+    assert [r[0] for r in mapped] == ["COMPLETED", "PENDING", None]
+
+
+def test_strip_is_linear_in_inner_blanks(spark):
+    df = spark.createDataFrame([("x" + " " * 400_000 + "y ",)], "s string")
+    assert df.select(F.length(text.strip(F.col("s")))).first()[0] == 400_002

@@ -6,24 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Decimal numbers as text, with or without exponent, and the infinities. Spark
-# alone would also take Java forms such as "1.5d" or "0x1Ap0", and "nan".
-NUMERIC_TEXT = (
-    r"(?i)^[\t-\r ]*[+-]?(?:inf(?:inity)?|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?)[\t-\r ]*$"
-)
+# Numbers as text. Spark alone would also take Java forms such as "1.5d" or
+# "0x1Ap0", and "nan".
+_DECIMAL = r"^[\t-\r ]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[\t-\r ]*$"
+_INFINITE = r"(?i)^[\t-\r ]*[+-]?inf(?:inity)?[\t-\r ]*$"
 
 
 def strict_long(value: Column) -> Column:
     """Cast that fails the query on malformed text; null stays null."""
-    text = value.cast("string")
     number = value.try_cast("bigint")
-    complaint = F.concat(F.lit("not an integer: "), text)
-    return F.when(text.isNotNull() & number.isNull(), F.raise_error(complaint)).otherwise(number)
+    complaint = F.concat(F.lit("not an integer: "), value.cast("string"))
+    return F.coalesce(number, F.when(value.isNotNull(), F.raise_error(complaint)).cast("bigint"))
 
 
 def number_or_null(text: Column) -> Column:
-    """Double from text; anything that is not a number, NaN included, is null."""
-    return F.when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
+    """Double from text; what is no number, NaN, or too large is null."""
+    number = text.try_cast("double")
+    finite = text.rlike(_DECIMAL) & (F.abs(number) < F.lit(float("inf")))
+    return F.when(finite | text.rlike(_INFINITE), number)
 
 
 def true_or_false(flag: Column) -> Column:

@@ -6,10 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierlake.operators.columns import column
 
 _RANK = "__rank"
+LONG_KEY_BYTES = 128
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
@@ -34,6 +36,17 @@ def duplicate_count(df: DataFrame, keys: Sequence[str], name: str = "removed") -
 
     Reads the key columns only and counts inside the map tasks first.
     """
-    per_key = df.groupBy(*[column(key) for key in keys]).agg(F.count(F.lit(1)).alias("__rows"))
+    grouping = [part for key in keys for part in _compact(df, key)]
+    named = [part.alias(f"__key{i}") for i, part in enumerate(grouping)]
+    per_key = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__rows"))
     surplus = F.sum(F.col("__rows") - 1)
     return per_key.agg(F.coalesce(surplus, F.lit(0).cast("bigint")).alias(name))
+
+
+def _compact(df: DataFrame, key: str) -> list[Column]:
+    """The key as columns to group by; long texts by SHA-256 and not in full."""
+    value = column(key)
+    if not isinstance(df.schema[key].dataType, T.StringType):
+        return [value]
+    is_long = F.octet_length(value) > LONG_KEY_BYTES
+    return [F.when(~is_long, value), F.when(is_long, F.sha2(value, 256))]

@@ -8,7 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tierlake.functions.keys import DATE_PARTS
 from tierlake.operators.columns import (
     flatten,
     with_date_parts,
@@ -32,8 +34,16 @@ class BronzeWrite:
 
     path: str
     rows: int
+    schema: T.StructType
+    partition: Mapping[str, str]
     results: Sequence[Row] = ()
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Exactly the partition written; an empty write has left no folder."""
+        if not self.rows:
+            return spark.createDataFrame([], self.schema)
+        return sinks.read_partitions(spark, self.path, self.schema, only=self.partition)
+
 
 def snapshot(records: DataFrame, spec: EntitySpec, run: RunInfo) -> DataFrame:
     """Nested records with snapshot lineage; one snapshot per run is kept."""
@@ -53,7 +63,8 @@ def write_snapshots(spark: SparkSession, specs: Mapping[str, EntitySpec], base:
     for name, spec in specs.items():
         path = f"{base}/bronze/{name}"
         records = snapshot(read_entity(spark, spec, with_position=True), spec, run)
-        written[name] = BronzeWrite(path, sinks.write_snapshot(records, path)[sinks.ROWS])
+        rows = sinks.write_snapshot(records, path)[sinks.ROWS]
+        written[name] = BronzeWrite(path, rows, records.schema, {sinks.SNAPSHOT_PARTITION: run.stamp})
         log.info("%s: %d records at %s", name, written[name].rows, path)
     return written
 
@@ -76,25 +87,24 @@ def run_bronze_job(
     """
     target = f"{base}/bronze/{spec.name}"
     records = dated(read_entity(spark, spec, with_position), spec, run)
-    if not checks.get(spec.name):
+    results: Sequence[Row] = ()
+    if checks.get(spec.name):
+        suite = bronze_suite(spec.name, checks[spec.name])
+        staged_path = f"{base}/_staging/bronze/{spec.name}"
+        metrics = sinks.write_table(records, staged_path, *suite.row_metrics(records))
+        records = spark.read.schema(records.schema).parquet(staged_path)
+        results = enforce(suite.evaluate_observed(records, metrics))
+    else:
         log.warning("%s: no rules defined, nothing checked", spec.name)
-        return BronzeWrite(target, _publish(records, target))
+    # All rows share the run's day: each task writes its part, none moves.
+    rows = sinks.write_partitions(records, target, rebalance=False)[sinks.ROWS]
+    return BronzeWrite(target, rows, records.schema, day_partition(run), results)
 
-    suite = bronze_suite(spec.name, checks[spec.name])
-    staged_path = f"{base}/_staging/bronze/{spec.name}"
-    metrics = sinks.write_table(records, staged_path, *suite.row_metrics(records))
-    staged = spark.read.schema(records.schema).parquet(staged_path)
-    results = enforce(suite.evaluate_observed(staged, metrics))
-    return BronzeWrite(target, _publish(staged, target), results)
 
+def day_partition(run: RunInfo) -> dict[str, str]:
+    return dict(zip(DATE_PARTS, run.date.split("-")))
 
-def read_day(spark: SparkSession, path: str, run: RunInfo) -> DataFrame:
-    """The partition of the run's day; other days are pruned."""
-    year, month, day = run.date.split("-")
-    table = sinks.read_partitions(spark, path)
-    return table.where((F.col("ano") == year) & (F.col("mes") == month) & (F.col("dia") == day))
 
-
-def _publish(records: DataFrame, target: str) -> int:
-    # All rows share the run's day: each task writes its part, none moves.
-    return sinks.write_partitions(records, target, rebalance=False)[sinks.ROWS]
+def read_day(spark: SparkSession, path: str, run: RunInfo) -> DataFrame:
+    """The partition of the run's day."""
+    return sinks.read_partitions(spark, path, only=day_partition(run))

@@ -58,8 +58,11 @@ class Lake:
     def inventory(self) -> DataFrame:
         return lake_inventory(self.spark, self.base)
 
-    def write(self, df: DataFrame, layer: str, name: str) -> None:
-        sinks.write_table(df, self._path(layer, name))
+    def write(self, df: DataFrame, layer: str, name: str) -> DataFrame:
+        """Replace a table, and give what was written as read from storage."""
+        path = self._path(layer, name)
+        sinks.write_table(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def _path(self, layer: str, name: str) -> str:
         return f"{self.base}/{layer}/{name}"
@@ -68,9 +71,7 @@ class Lake:
 def run_medallion(spark: SparkSession, specs: Mapping[str, EntitySpec], base: str, run: RunInfo) -> Lake:
     """Snapshot bronze, silver, gold and reports; quality reports, never blocks."""
     written = bronze.write_snapshots(spark, specs, base, run)
-    tables = {
-        name: sinks.read_snapshot(spark, write.path, run.stamp) for name, write in written.items()
-    }
+    tables = {name: write.read(spark) for name, write in written.items()}
     return _refine(spark, tables, base, run)
 
 
@@ -87,16 +88,16 @@ def run(
     tables = {}
     for name, spec in specs.items():
         write = bronze.run_bronze_job(spark, spec, out_dir, run_info, checks, with_position=True)
-        tables[name] = bronze.read_day(spark, write.path, run_info)
+        tables[name] = write.read(spark)
     return _refine(spark, tables, out_dir, run_info)
 
 
-def check_quality(lake: Lake, run: RunInfo) -> None:
+def check_quality(lake: Lake, users: DataFrame, posts: DataFrame, profile: DataFrame, run: RunInfo) -> None:
     """Evaluate the shipped suites on the written layers and store the reports."""
     suites = [
-        (rulesets.users_silver(), lake.users()),
-        (rulesets.posts_silver(lake.users()), lake.posts()),
-        (rulesets.profile_gold(), lake.profile()),
+        (rulesets.users_silver(), users),
+        (rulesets.posts_silver(users), posts),
+        (rulesets.profile_gold(), profile),
     ]
     reports = [
         report.report(suite.evaluate(table), suite.entity, suite.layer, run)
@@ -107,10 +108,10 @@ def check_quality(lake: Lake, run: RunInfo) -> None:
 
 def _refine(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, run: RunInfo) -> Lake:
     lake = Lake(spark, base)
-    lake.write(silver.silver_users(tables["users"], run), "silver", "users")
-    lake.write(silver.silver_posts(tables["posts"], run), "silver", "posts")
-    lake.write(silver.silver_todos(tables["todos"], run), "silver", "todos")
-    lake.write(gold.user_profile(lake.users(), lake.posts(), lake.todos(), run), "gold", "user_profile")
-    lake.write(gold.city_analysis(lake.profile(), run), "gold", "city_analysis")
-    check_quality(lake, run)
+    users = lake.write(silver.silver_users(tables["users"], run), "silver", "users")
+    posts = lake.write(silver.silver_posts(tables["posts"], run), "silver", "posts")
+    todos = lake.write(silver.silver_todos(tables["todos"], run), "silver", "todos")
+    profile = lake.write(gold.user_profile(users, posts, todos, run), "gold", "user_profile")
+    lake.write(gold.city_analysis(profile, run), "gold", "city_analysis")
+    check_quality(lake, users, posts, profile, run)
     return lake

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.functions.numbers import missing, percent, round_half_even
+from tierlake.functions.numbers import missing
 from tierlake.functions.text import matches_from_start
 from tierlake.operators.columns import column, quoted
 from tierlake.operators.dedup import duplicate_count
@@ -29,6 +29,10 @@ VALIDITY, CONSISTENCY = "VALIDITY", "CONSISTENCY"
 FAILING = "failing"
 
 
+# Filled in with what was measured.
+FAILED, ROWS, SHARE = "{failing}", "{rows}", "{share}"
+
+
 @dataclass(frozen=True, kw_only=True)
 class Rule:
     """``strict`` rules fail on a missing column, others are left out."""
@@ -46,23 +50,18 @@ class RowRule(Rule):
         """An aggregate over ``df``: how many rows fail."""
         raise NotImplementedError
 
-    def details(self, failing: Column, rows: Column) -> Column:
-        raise NotImplementedError
-
 
 class TableRule(Rule):
     def failing_table(self, df: DataFrame) -> DataFrame:
         """A one-row table with the failing count."""
         raise NotImplementedError
 
-    def details(self, failing: Column) -> Column:
-        raise NotImplementedError
-
 
 @dataclass(frozen=True)
 class NotNull(RowRule):
     column: str
     dimension = COMPLETENESS
+    details = f"{FAILED} nulls ({SHARE}%)"
 
     @property
     def check(self) -> str:
@@ -71,10 +70,6 @@ class NotNull(RowRule):
     def failing(self, df: DataFrame) -> Column:
         return F.count_if(missing(quoted(self.column), _type_of(df, self.column)))
 
-    def details(self, failing: Column, rows: Column) -> Column:
-        share = F.coalesce(round_half_even(percent(failing, rows), 1), F.lit(float("nan")))
-        return F.format_string("%d nulls (%.1f%%)", failing, share)
-
 
 @dataclass(frozen=True)
 class MinRows(RowRule):
@@ -82,13 +77,14 @@ class MinRows(RowRule):
     dimension = COMPLETENESS
     check = "row_count"
 
+    @property
+    def details(self) -> str:
+        return f"{ROWS} rows (minimum {self.minimum})"
+
     def failing(self, df: DataFrame) -> Column:
         shortfall = F.lit(self.minimum).cast("bigint") - F.count(F.lit(1))
         return F.greatest(shortfall, F.lit(0).cast("bigint"))
 
-    def details(self, failing: Column, rows: Column) -> Column:
-        return F.format_string(f"%d rows (minimum {self.minimum})", rows)
-
 
 @dataclass(frozen=True)
 class Matches(RowRule):
@@ -101,12 +97,13 @@ class Matches(RowRule):
     def check(self) -> str:
         return f"regex:{self.column}"
 
+    @property
+    def details(self) -> str:
+        return f"{FAILED} not valid ({self.description})"
+
     def failing(self, df: DataFrame) -> Column:
         return F.count_if(~matches_from_start(column(self.column), self.pattern))
 
-    def details(self, failing: Column, rows: Column) -> Column:
-        return F.concat(failing.cast("string"), F.lit(f" not valid ({self.description})"))
-
 
 @dataclass(frozen=True)
 class InRange(RowRule):
@@ -119,6 +116,10 @@ class InRange(RowRule):
     def check(self) -> str:
         return f"range:{self.column}"
 
+    @property
+    def details(self) -> str:
+        return f"{FAILED} outside [{self.minimum}, {self.maximum}]"
+
     def failing(self, df: DataFrame) -> Column:
         value = column(self.column)
         here = ~missing(quoted(self.column), _type_of(df, self.column))
@@ -129,16 +130,12 @@ class InRange(RowRule):
             outside = outside + F.count_if(here & (value > self.maximum))
         return outside
 
-    def details(self, failing: Column, rows: Column) -> Column:
-        return F.concat(
-            failing.cast("string"), F.lit(f" outside [{self.minimum}, {self.maximum}]")
-        )
-
 
 @dataclass(frozen=True)
 class Unique(TableRule):
     column: str
     dimension = UNIQUENESS
+    details = f"{FAILED} duplicates"
 
     @property
     def check(self) -> str:
@@ -147,9 +144,6 @@ class Unique(TableRule):
     def failing_table(self, df: DataFrame) -> DataFrame:
         return duplicate_count(df, [self.column], FAILING)
 
-    def details(self, failing: Column) -> Column:
-        return F.concat(failing.cast("string"), F.lit(" duplicates"))
-
 
 @dataclass(frozen=True)
 class References(TableRule):
@@ -157,6 +151,7 @@ class References(TableRule):
     parents: DataFrame
     parent_column: str
     dimension = CONSISTENCY
+    details = f"{FAILED} orphans"
 
     @property
     def check(self) -> str:
@@ -165,9 +160,6 @@ class References(TableRule):
     def failing_table(self, df: DataFrame) -> DataFrame:
         return orphan_count(df, self.column, self.parents, self.parent_column, FAILING)
 
-    def details(self, failing: Column) -> Column:
-        return F.concat(failing.cast("string"), F.lit(" orphans"))
-
 
 @dataclass(frozen=True)
 class Broken(Rule):
@@ -175,7 +167,7 @@ class Broken(Rule):
 
     check: str
     dimension: str
-    reason: str
+    details: str
 
 
 def _type_of(df: DataFrame, name: str) -> T.DataType:

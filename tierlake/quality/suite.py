@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierlake import schemas
+from tierlake.functions.numbers import percent, round_half_even
 from tierlake.quality import rules as r
 from tierlake.sources.sinks import ROWS
 
@@ -60,60 +63,72 @@ class Suite:
         are written to a columnar layer rather than the plan that makes them.
         """
         metrics = self.row_metrics(df)
-        counted = df.agg(F.count(F.lit(1)).alias(ROWS), *metrics) if metrics else _one_row(df.sparkSession)
+        counted = df.agg(F.count(F.lit(1)).alias(ROWS), *metrics) if metrics else _values(df.sparkSession)
         return self._results(df, counted)
 
     def evaluate_observed(self, df: DataFrame, metrics: Mapping[str, int]) -> DataFrame:
         """As ``evaluate``, with the row rules already measured by a write."""
-        literals = [F.lit(value).cast("bigint").alias(name) for name, value in metrics.items()]
-        return self._results(df, _one_row(df.sparkSession).select(*literals))
+        return self._results(df, _values(df.sparkSession, **metrics))
 
     def _resolved(self, df: DataFrame) -> list[tuple[int, r.Rule]]:
         resolved = [r.resolve(rule, df) for rule in self.rules]
         return [(i, rule) for i, rule in enumerate(resolved) if rule is not None]
 
     def _results(self, df: DataFrame, counted: DataFrame) -> DataFrame:
-        shared, frames = [], []
-        for position, rule in self._resolved(df):
-            if isinstance(rule, r.TableRule):
-                failing = F.col(r.FAILING)
-                row = self._row(position, rule, failing, rule.details(failing))
-                frames.append(rule.failing_table(df).select(row.alias("__result")))
-            elif isinstance(rule, r.RowRule):
-                failing = F.col(_metric(position))
-                shared.append(self._row(position, rule, failing, rule.details(failing, F.col(ROWS))))
-            else:
-                unknown = F.lit(None).cast("bigint")
-                shared.append(self._row(position, rule, unknown, F.lit(rule.reason)))
-        if shared:
-            frames.insert(0, counted.select(F.explode(F.array(*shared)).alias("__result")))
-        if not frames:
+        rules = dict(self._resolved(df))
+        if not rules:
             return df.sparkSession.createDataFrame([], schemas.RESULT)
-        return reduce(DataFrame.union, frames).select("__result.*")
+        shared = [
+            f"{position}, {_metric(position) if isinstance(rule, r.RowRule) else 'CAST(NULL AS BIGINT)'}"
+            for position, rule in rules.items()
+            if not isinstance(rule, r.TableRule)
+        ]
+        frames = [
+            rule.failing_table(df).selectExpr("CAST(NULL AS BIGINT) AS rows", f"{position} AS position", r.FAILING)
+            for position, rule in rules.items()
+            if isinstance(rule, r.TableRule)
+        ]
+        if shared:
+            unpivoted = f"stack({len(shared)}, {', '.join(shared)}) AS (position, failing)"
+            frames.insert(0, counted.selectExpr(ROWS, unpivoted))
+        return self._described(reduce(DataFrame.union, frames), rules)
+
+    def _described(self, measured: DataFrame, rules: Mapping[int, r.Rule]) -> DataFrame:
+        """Names, status and details to (rows, position, failing).
 
-    def _row(self, position: int, rule: r.Rule, failing: Column, details: Column) -> Column:
+        What is known of the rules goes into the plan as one literal.
+        """
+        known = [_fact(rules.get(position)) for position in range(max(rules) + 1)]
+        facts = F.from_json(F.lit(json.dumps(known)), T.ArrayType(_FACT))
+        failing, rows = F.col(r.FAILING), F.col(ROWS)
+        share = F.format_string("%.1f", F.coalesce(round_half_even(percent(failing, rows), 1), F.lit(float("nan"))))
+        details = F.col("fact.details")
+        for place, value in [(r.FAILED, failing), (r.ROWS, rows), (r.SHARE, share)]:
+            details = F.replace(details, F.lit(place), F.coalesce(value.cast("string"), F.lit("")))
         status = (
-            F.when(failing == 0, r.PASS)
-            .when(F.lit(rule.severity == r.WARNING), r.WARN)
-            .otherwise(r.FAIL)
+            F.when(failing == 0, r.PASS).when(F.col("fact.severity") == r.WARNING, r.WARN).otherwise(r.FAIL)
         )
-        values = {
-            "entity": F.lit(self.entity),
-            "layer": F.lit(self.layer),
-            "position": F.lit(position),
-            "check": F.lit(rule.check),
-            "dimension": F.lit(rule.dimension),
-            "status": status,
-            "details": details,
-            "severity": F.lit(rule.severity),
-            "failing": failing.cast("bigint"),
-        }
-        return F.struct(*[value.alias(name) for name, value in values.items()])
+        return measured.withColumn("fact", F.element_at(facts, F.col("position") + 1)).select(
+            F.lit(self.entity).alias("entity"), F.lit(self.layer).alias("layer"), "position",
+            "fact.check", "fact.dimension", status.alias("status"), details.alias("details"),
+            "fact.severity", r.FAILING,
+        )
+
+
+_FACT = schemas.fields(
+    check=schemas.TEXT, dimension=schemas.TEXT, severity=schemas.TEXT, details=schemas.TEXT
+)
+
+
+def _fact(rule: r.Rule | None) -> dict[str, str] | None:
+    return rule and {name: getattr(rule, name) for name in _FACT.names}
 
 
 def _metric(position: int) -> str:
     return f"rule_{position}"
 
 
-def _one_row(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.lit(None).cast("bigint").alias(ROWS))
+def _values(spark: SparkSession, **metrics: int) -> DataFrame:
+    """One row of measured counts, for when there is nothing to scan."""
+    named = {ROWS: "NULL", **metrics}
+    return spark.range(1).selectExpr(*[f"CAST({value} AS BIGINT) AS {name}" for name, value in named.items()])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,8 @@ def partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
     sinks.write_partitions(with_date_parts(events, F.col("ts")), path)
     first_day = events.agg(F.to_date(F.min("ts"))).first()[0]
-    corrected = events.where(F.to_date("ts") == F.lit(first_day)).withColumn("value", -F.col("value"))
+    next_day = F.lit(first_day + timedelta(days=1)).cast("timestamp_ntz")
+    corrected = events.where(F.col("ts") < next_day).withColumn("value", -F.col("value"))
     sinks.write_partitions(with_date_parts(corrected, F.col("ts")), path, rebalance=False)
     return sinks.read_partitions(spark, path).drop("ts")
 

@@ -85,27 +85,27 @@ def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_rows(customer, "c_custkey", events, "user_id").select("c_custkey", "c_name")
 
 
-def _suites(spark: SparkSession, sf_dir: str) -> list[tuple[Suite, DataFrame]]:
-    users = tables.users(spark, sf_dir)
-    return [
-        (rulesets.users_silver(), users),
-        (rulesets.posts_silver(users), tables.posts(spark, sf_dir)),
-        (rulesets.profile_gold(), profile(spark, sf_dir)),
-    ]
+SUITES = {
+    "users": lambda spark, sf_dir: (rulesets.users_silver(), tables.users(spark, sf_dir)),
+    "posts": lambda spark, sf_dir: (
+        rulesets.posts_silver(tables.users(spark, sf_dir)), tables.posts(spark, sf_dir)
+    ),
+    "profile": lambda spark, sf_dir: (rulesets.profile_gold(), profile(spark, sf_dir)),
+}
 
 
-def suite_results(which: int):
+def suite_results(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        suite, df = _suites(spark, sf_dir)[which]
+        suite, df = SUITES[name](spark, sf_dir)
         return _numbers(suite.evaluate(df))
 
     return query
 
 
 def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    evaluated = [make(spark, sf_dir) for make in SUITES.values()]
     return report.union_reports(
-        report.report(suite.evaluate(df), suite.entity, suite.layer, RUN)
-        for suite, df in _suites(spark, sf_dir)
+        report.report(suite.evaluate(df), suite.entity, suite.layer, RUN) for suite, df in evaluated
     )
 
 
@@ -161,9 +161,9 @@ QUERIES = {
     "dq_range": in_range,
     "dq_referential": referential,
     "orphan_rows": orphans,
-    "dq_suite_users": suite_results(0),
-    "dq_suite_posts": suite_results(1),
-    "dq_suite_profile": suite_results(2),
+    "dq_suite_users": suite_results("users"),
+    "dq_suite_posts": suite_results("posts"),
+    "dq_suite_profile": suite_results("profile"),
     "dq_report": reports,
     "dq_summary": summary,
     "dq_gate": gate,

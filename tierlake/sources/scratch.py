@@ -13,7 +13,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
 
     Only a local session without such a folder gets one on this machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -48,24 +48,32 @@ def write_reports(reports: DataFrame, path: str) -> None:
     _dynamic(reports, ("entity", "layer")).json(path)
 
 
-def read_partitions(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                    by: Sequence[str] = tuple(DATE_PARTS)) -> DataFrame:
+def read_partitions(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    by: Sequence[str] = tuple(DATE_PARTS),
+    only: Mapping[str, str] | None = None,
+) -> DataFrame:
     """A partitioned table with its partition columns as the strings written.
 
-    Without a declared schema Spark would read the month ``01`` as 1.
+    Without a declared schema Spark would read the month ``01`` as 1. With
+    ``only``, leading partition values, no other folder is even listed.
     """
+    folders = [f"{name}={value}" for name, value in (only or {}).items()]
+    reader, source = spark.read.option("basePath", path), "/".join([path, *folders])
     if schema is None:
-        found = spark.read.parquet(path).schema
+        found = reader.parquet(source).schema
         schema = T.StructType(
             [T.StructField(f.name, T.StringType()) if f.name in by else f for f in found.fields]
         )
-    return spark.read.schema(schema).parquet(path)
+    return reader.schema(schema).parquet(source)
 
 
-def read_snapshot(spark: SparkSession, path: str, stamp: str, schema: T.StructType | None = None) -> DataFrame:
-    """One run's snapshot; the other runs' files are pruned."""
-    table = read_partitions(spark, path, schema, by=(SNAPSHOT_PARTITION,))
-    return table.where(F.col(SNAPSHOT_PARTITION) == stamp)
+def read_snapshot(spark: SparkSession, path: str, stamp: str) -> DataFrame:
+    """One run's snapshot."""
+    by = (SNAPSHOT_PARTITION,)
+    return read_partitions(spark, path, by=by, only={SNAPSHOT_PARTITION: stamp})
 
 
 def _dynamic(df: DataFrame, by: Sequence[str]):
