@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import fixtures
 from test_columns import RUN
 from tierlake import schemas
+from tierlake.__main__ import main as command
 from tierlake.operators.columns import with_date_parts
 from tierlake.plans import bronze, medallion
 from tierlake.quality.gate import QualityGateError
@@ -207,6 +208,15 @@ def test_gated_run_stops_before_silver(spark, landing, tmp_path):
     assert not (tmp_path / "lake" / "silver").exists()
 
 
+def test_command_runs_raw_to_processed(spark, tmp_path, capsys):
+    clean = {**fixtures.RECORDS, "users": [u for u in fixtures.USERS if u["email"]], **posts_without_null_keys()}
+    raw = fixtures.land(tmp_path / "raw", clean)
+    command([raw, str(tmp_path / "out"), "--job-name", "nightly"])
+    assert "user_profile" in capsys.readouterr().out
+    bronze_users = sinks.read_partitions(spark, str(tmp_path / "out" / "bronze" / "users"))
+    assert bronze_users.select("_job_name").distinct().first()[0] == "nightly"
+
+
 def test_gated_run_equals_snapshot_run(spark, landing, tmp_path):
     gated = medallion.run(spark, landing, str(tmp_path / "a"), RUN, checks={})
     plain = medallion.run_medallion(spark, landed(landing), str(tmp_path / "b"), RUN)

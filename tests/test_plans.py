@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tierlake.operators.columns import with_date_parts
 from tierlake.operators.dedup import duplicate_count, keep_first
-from tierlake.operators.membership import orphan_count
+from tierlake.operators.membership import orphan_count, orphan_rows
 from tierlake.quality import rulesets
 from tierlake.quality.suite import Suite
 from tierlake.queries import QUERIES, tables
 from tierlake.sources import sinks
 
 WRITING = {
-    "bronze_partition_roundtrip", "bronze_snapshot_roundtrip", "ingest_rejects", "lake_inventory",
+    "bronze_gated_job", "bronze_partition_roundtrip", "bronze_snapshot_roundtrip", "ingest_rejects", "lake_inventory",
     "raw_to_processed", "full_run_summary", "dq_report",
 }
 
@@ -64,6 +64,31 @@ def test_orphan_count_reads_only_the_keys(spark, sf_dir):
     assert sorted(schemas) == ["struct<c_custkey:bigint>", "struct<user_id:bigint>"]
 
 
+def test_hot_key_of_the_anti_join_is_split(spark):
+    """Both sides have a key with a third of the rows; neither meets one task."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50kb",
+    }
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+    rows = spark.range(300_000, numPartitions=8).select(hot.alias("k"), "id")
+    parents = spark.range(0, 300_000, 2, numPartitions=8).select(hot.alias("p"))
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        found = orphan_rows(rows, "k", parents, "p")
+        orphans = {r.k for r in found.collect()}
+        plan = plan_of(found)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert orphans == {i for i in range(1, 300_000, 2) if i % 3 and i != 7}
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_row_rules_share_one_scan(spark, sf_dir):
     customer = tables.table(spark, sf_dir, "customer")
     suite = (

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake import schemas
-from tierlake.functions.keys import record_hash
+from tierlake.functions.keys import record_hash, run_stamp
 from tierlake.operators.columns import (
     drop_metadata,
+    normalised_name,
     with_date_parts,
     with_job_lineage,
     with_process_stamp,
@@ -19,7 +20,7 @@ from tierlake.operators.columns import (
 )
 from tierlake.operators.profile import ingest_totals, preview, row_counts, table_profile
 from tierlake.plans import medallion
-from tierlake.plans.bronze import write_snapshots
+from tierlake.plans.bronze import read_day, run_bronze_job, write_snapshots
 from tierlake.queries import sql, tables
 from tierlake.queries.gold import PROFILE_SQL
 from tierlake.queries.tables import COLUMNS, LATER_RUN, RUN, table
@@ -47,7 +48,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts")
     stamped = with_job_lineage(events, RUN, "landing/events", "events")
     dated = with_date_parts(stamped, F.col("ts"))
-    processed = with_process_stamp(dated, "silver", RUN, version=True)
+    processed = with_process_stamp(dated, "silver", RUN, version=True).withColumn("stamp", run_stamp(F.col("ts")))
     return processed.withColumn("_silver_processed_at", F.unix_micros("_silver_processed_at")).drop("ts")
 
 
@@ -76,6 +77,17 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.select(*customer.columns, F.col(sinks.SNAPSHOT_PARTITION).alias("run"), "_source_system")
 
 
+def gated_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested users through the gated bronze job, read back from their day."""
+    base = scratch_folder(spark, "gated")
+    tables.raw_users(spark, sf_dir).write.json(f"{base}/landing/users")
+    spec = landed(f"{base}/landing", {"users": schemas.USERS}, multi_line=False)["users"]
+    written = run_bronze_job(spark, spec, f"{base}/lake", RUN)
+    users = read_day(spark, written.path, RUN)
+    users = users.toDF(*[normalised_name(name, "", ".") for name in users.columns])
+    return users.drop("_source_url", "_record_hash").withColumn("written", F.lit(written.rows).cast("bigint"))
+
+
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON lines, those of errors cut off: records and rejects."""
     path = scratch_folder(spark, "rejects")
@@ -145,6 +157,7 @@ QUERIES = {
     "bronze_metadata": metadata,
     "bronze_partition_roundtrip": partition_roundtrip,
     "bronze_snapshot_roundtrip": snapshot_roundtrip,
+    "bronze_gated_job": gated_users,
     "ingest_rejects": rejects,
     "table_profile": profiles,
     "ingest_totals": totals,
@@ -183,7 +196,7 @@ FROM orders""",
 SELECT event_id, '20240203_040506' AS _ingestion_timestamp, '2024-02-03' AS _ingestion_date,
        'landing/events' AS _source_url, 'events' AS _source_entity, 'queries' AS _job_name,
        strftime(ts, '%Y') AS ano, strftime(ts, '%m') AS mes, strftime(ts, '%d') AS dia,
-       epoch_us(TIMESTAMP '2024-02-03 04:05:06') AS _silver_processed_at, 'v1.0' AS _pipeline_version
+       strftime(ts, '%Y%m%d_%H%M%S') AS stamp, epoch_us(TIMESTAMP '2024-02-03 04:05:06') AS _silver_processed_at, 'v1.0' AS _pipeline_version
 FROM events""",
     "bronze_partition_roundtrip": """
 SELECT event_id, CASE WHEN CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM events)
@@ -193,6 +206,19 @@ FROM events""",
     "bronze_snapshot_roundtrip": """
 SELECT customer.*, run, 'landing_files' AS _source_system
 FROM customer CROSS JOIN (VALUES ('20240203_040506'), ('20240204_040506')) AS runs(run)""",
+    "bronze_gated_job": f"""WITH {sql.USERS}
+SELECT user_id AS id, name, username, email,
+       'Street ' || CAST(user_id AS VARCHAR) AS address_street,
+       'Suite ' || CAST(c_nationkey AS VARCHAR) AS address_suite,
+       addr_city AS address_city, addr_zipcode AS address_zipcode,
+       CAST(geo_lat AS VARCHAR) AS address_geo_lat, CAST(geo_lng AS VARCHAR) AS address_geo_lng,
+       'tel. +' || CAST(c_nationkey AS VARCHAR) || ' (0) ' || CAST(user_id AS VARCHAR) || '-x1' AS phone,
+       lower(company_name) || '.example' AS website, company_name,
+       'We do ' || company_name AS company_catchphrase, lower(company_name) AS company_bs,
+       '20240203_040506' AS _ingestion_timestamp, '2024-02-03' AS _ingestion_date,
+       'users' AS _source_entity, 'queries' AS _job_name, '2024' AS ano, '02' AS mes, '03' AS dia,
+       count(*) OVER () AS written
+FROM users JOIN customer ON user_id = c_custkey""",
     "ingest_rejects": """
 SELECT 'good' AS entity, count(*) FILTER (WHERE event_type <> 'error') AS records FROM events
 UNION ALL SELECT 'rejected', count(*) FILTER (WHERE event_type = 'error') FROM events""",

@@ -36,6 +36,21 @@ def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.select("check", "status", "failing", F.nullif(share, F.lit("")).try_cast("double").alias("pct"))
 
 
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of one result of every kind."""
+    customer = table(spark, sf_dir, "customer")
+    suite = (
+        Suite("users", "SILVER")
+        .row_count(5)
+        .not_null(["total_tasks"])
+        .unique(["addr_city"])
+        .regex("email", rulesets.EMAIL, "email format")
+        .in_range("geo_lat", -90, 90)
+        .references("total_tasks", customer, "c_custkey")
+    )
+    return suite.evaluate(_with_tasks(spark, sf_dir)).select("check", "details")
+
+
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One minimum that any table here reaches and one that none does."""
     users = table(spark, sf_dir, "customer")
@@ -155,6 +170,7 @@ def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "dq_not_null": not_null,
+    "dq_messages": messages,
     "dq_row_count": row_count,
     "dq_unique": unique,
     "dq_regex": regex,
@@ -216,10 +232,32 @@ FROM (SELECT entity, layer, {_SCORE} AS score, count(*) FILTER (WHERE status = '
              count(*) FILTER (WHERE status = 'WARN') AS warnings
       FROM results GROUP BY entity, layer)"""
 
+_TASKED = f"""WITH {sql.USERS}, {sql.TODOS}, tasked AS (
+  SELECT users.*, total_tasks FROM users LEFT JOIN
+    (SELECT user_id, count(*) AS total_tasks FROM todos GROUP BY user_id) t USING (user_id))"""
+
+
+def _message(check: str, details: str, failing: str) -> str:
+    return f"SELECT '{check}' AS \"check\", {details} AS details FROM ({failing}) AS measured(n)"
+
+
 ORACLES = {
-    "dq_not_null": f"""WITH {sql.USERS}, {sql.TODOS}, tasked AS (
-  SELECT users.user_id, total_tasks FROM users LEFT JOIN
-    (SELECT user_id, count(*) AS total_tasks FROM todos GROUP BY user_id) t USING (user_id))
+    "dq_messages": _TASKED + " UNION ALL ".join([
+        _message("row_count", "n || ' rows (minimum 5)'", "SELECT count(*) FROM tasked"),
+        _message(
+            "not_null:total_tasks",
+            "printf('%d nulls (%.1f%%)', n, round_even(CAST(n AS DOUBLE) / (SELECT count(*) FROM tasked) * 1000, 0) / 10)",
+            sql.nulls("tasked", "total_tasks"),
+        ),
+        _message("unique:addr_city", "n || ' duplicates'", sql.duplicates("tasked", "addr_city")),
+        _message("regex:email", "n || ' not valid (email format)'", _unmatched("tasked", "email", _EMAIL_SQL)),
+        _message("range:geo_lat", "n || ' outside [-90, 90]'", sql.outside("tasked", "geo_lat", -90, 90)),
+        _message(
+            "referential:total_tasks→c_custkey", "n || ' orphans'",
+            sql.orphans("tasked", "total_tasks", "customer", "c_custkey"),
+        ),
+    ]),
+    "dq_not_null": f"""{_TASKED}
 SELECT 'not_null:user_id' AS "check", 'PASS' AS status, CAST(0 AS BIGINT) AS failing, CAST(0 AS DOUBLE) AS pct
 UNION ALL
 SELECT 'not_null:total_tasks', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, n,

@@ -2,7 +2,8 @@
 
 On a cluster the session usually comes from spark-submit; the adaptive
 settings below are Spark's defaults there and are spelled out because skewed
-writes (rebalance) and skewed joins depend on them. Recording the Python line
+writes (rebalance) and skewed joins depend on them. With several output writers
+a task that meets few partitions writes them without sorting first. Recording the Python line
 of every column expression is off: it costs more than building the plan.
 """
 
@@ -20,6 +21,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tierla
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "32")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
