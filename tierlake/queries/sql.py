@@ -1,4 +1,4 @@
-"""Pieces of the reference SQL, in the dialect of the checking database."""
+"""Pieces of the SQL the queries are checked against."""
 
 from __future__ import annotations
 
