@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tierlake.operators.columns import (
     with_record_hash,
     with_snapshot_lineage,
 )
+from tierlake.plans.parallel import side_by_side
 from tierlake.quality.gate import enforce
 from tierlake.quality.rulesets import BRONZE_CHECKS
 from tierlake.quality.rulesets import bronze as bronze_suite
@@ -59,14 +61,15 @@ def dated(records: DataFrame, spec: EntitySpec, run: RunInfo) -> DataFrame:
 
 def write_snapshots(spark: SparkSession, specs: Mapping[str, EntitySpec], base: str, run: RunInfo) -> dict[str, BronzeWrite]:
     """Ingest every entity as this run's snapshot below ``<base>/bronze``."""
-    written = {}
-    for name, spec in specs.items():
-        path = f"{base}/bronze/{name}"
-        records = snapshot(read_entity(spark, spec, with_position=True), spec, run)
-        rows = sinks.write_snapshot(records, path)[sinks.ROWS]
-        written[name] = BronzeWrite(path, rows, records.schema, {sinks.SNAPSHOT_PARTITION: run.stamp})
-        log.info("%s: %d records at %s", name, written[name].rows, path)
-    return written
+    return side_by_side(spark, {name: partial(_write_snapshot, spark, spec, base, run) for name, spec in specs.items()})
+
+
+def _write_snapshot(spark: SparkSession, spec: EntitySpec, base: str, run: RunInfo) -> BronzeWrite:
+    path = f"{base}/bronze/{spec.name}"
+    records = snapshot(read_entity(spark, spec, with_position=True), spec, run)
+    rows = sinks.write_snapshot(records, path)[sinks.ROWS]
+    log.info("%s: %d records at %s", spec.name, rows, path)
+    return BronzeWrite(path, rows, records.schema, {sinks.SNAPSHOT_PARTITION: run.stamp})
 
 
 def run_bronze_job(

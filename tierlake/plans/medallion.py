@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tierlake.plans import bronze, gold, silver
+from tierlake.plans.parallel import side_by_side
 from tierlake.quality import report, rulesets
 from tierlake.quality.rulesets import BRONZE_CHECKS
 from tierlake.run import RunInfo
@@ -85,10 +87,11 @@ def run(
 ) -> Lake:
     """Raw folder to processed lake: gated, dated bronze, then the layers above."""
     specs = specs or landed(raw_dir)
-    tables = {}
-    for name, spec in specs.items():
-        write = bronze.run_bronze_job(spark, spec, out_dir, run_info, checks, with_position=True)
-        tables[name] = write.read(spark)
+    written = side_by_side(spark, {
+        name: partial(bronze.run_bronze_job, spark, spec, out_dir, run_info, checks, with_position=True)
+        for name, spec in specs.items()
+    })
+    tables = {name: write.read(spark) for name, write in written.items()}
     return _refine(spark, tables, out_dir, run_info)
 
 
@@ -108,10 +111,16 @@ def check_quality(lake: Lake, users: DataFrame, posts: DataFrame, profile: DataF
 
 def _refine(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, run: RunInfo) -> Lake:
     lake = Lake(spark, base)
-    users = lake.write(silver.silver_users(tables["users"], run), "silver", "users")
-    posts = lake.write(silver.silver_posts(tables["posts"], run), "silver", "posts")
-    todos = lake.write(silver.silver_todos(tables["todos"], run), "silver", "todos")
-    profile = lake.write(gold.user_profile(users, posts, todos, run), "gold", "user_profile")
-    lake.write(gold.city_analysis(profile, run), "gold", "city_analysis")
-    check_quality(lake, users, posts, profile, run)
+    cleaned = {
+        "users": silver.silver_users(tables["users"], run),
+        "posts": silver.silver_posts(tables["posts"], run),
+        "todos": silver.silver_todos(tables["todos"], run),
+    }
+    stored = side_by_side(spark, {name: partial(lake.write, df, "silver", name) for name, df in cleaned.items()})
+    made = gold.user_profile(stored["users"], stored["posts"], stored["todos"], run)
+    profile = lake.write(made, "gold", "user_profile")
+    side_by_side(spark, {
+        "cities": partial(lake.write, gold.city_analysis(profile, run), "gold", "city_analysis"),
+        "quality": partial(check_quality, lake, stored["users"], stored["posts"], profile, run),
+    })
     return lake
