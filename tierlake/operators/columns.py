@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping
+import json
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,6 +125,11 @@ def with_process_stamp(df: DataFrame, layer: str, run: RunInfo, version: bool =
     return df.withColumns(stamps)
 
 
+def literal_rows(rows: Sequence[Mapping | None], schema: T.StructType) -> Column:
+    """A few known rows as one array literal, whatever their number."""
+    return F.from_json(F.lit(json.dumps(rows)), T.ArrayType(schema))
+
+
 def present(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Those of the names that the table has, in the given order."""
     return [name for name in names if name in df.columns]

@@ -9,33 +9,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.functions.numbers import missing
-from tierlake.operators.columns import quoted
+from tierlake.operators.columns import literal_rows, quoted
+from tierlake.schemas import TEXT, fields as schema_of
+
+_COLUMN = schema_of(column_name=TEXT, data_type=TEXT)
 
 
 def table_profile(df: DataFrame) -> DataFrame:
     """One row per column: its type and nulls, beside the shape of the table."""
     fields = df.schema.fields
+    counts = [f"__nulls{i}" for i in range(len(fields))]
     nulls = [
-        F.count_if(missing(quoted(field.name), field.dataType)).alias(f"__nulls{i}")
-        for i, field in enumerate(fields)
-    ]
-    counted = df.agg(F.count(F.lit(1)).alias("row_count"), *nulls)
-    total = reduce(lambda a, b: a + b, [F.col(f"__nulls{i}") for i in range(len(fields))])
-    rows = [
-        F.struct(
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            F.col(f"__nulls{i}").alias("null_count"),
-        )
-        for i, field in enumerate(fields)
+        F.count_if(missing(quoted(field.name), field.dataType)).alias(name)
+        for field, name in zip(fields, counts)
     ]
-    shape = counted.select(
+    unpivoted = ", ".join(f"{i + 1}, {name}" for i, name in enumerate(counts))
+    profile = df.agg(F.count(F.lit(1)).alias("row_count"), *nulls).selectExpr(
         "row_count",
-        F.lit(len(fields)).cast("bigint").alias("column_count"),
-        total.alias("total_nulls"),
-        F.explode(F.array(*rows)).alias("__column"),
+        f"CAST({len(fields)} AS BIGINT) AS column_count",
+        f"{' + '.join(counts)} AS total_nulls",
+        f"stack({len(fields)}, {unpivoted}) AS (place, null_count)",
+    )
+    described = [{"column_name": f.name, "data_type": f.dataType.simpleString()} for f in fields]
+    known = F.element_at(literal_rows(described, _COLUMN), F.col("place"))
+    return profile.withColumn("known", known).select(
+        "known.*", "null_count", "row_count", "column_count", "total_nulls"
     )
-    return shape.select("__column.*", "row_count", "column_count", "total_nulls")
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tierlake import schemas
 from tierlake.functions.numbers import percent, round_half_even
+from tierlake.operators.columns import literal_rows
 from tierlake.quality import rules as r
 from tierlake.sources.sinks import ROWS
 
@@ -99,7 +98,7 @@ class Suite:
         What is known of the rules goes into the plan as one literal.
         """
         known = [_fact(rules.get(position)) for position in range(max(rules) + 1)]
-        facts = F.from_json(F.lit(json.dumps(known)), T.ArrayType(_FACT))
+        facts = literal_rows(known, _FACT)
         failing, rows = F.col(r.FAILING), F.col(ROWS)
         share = F.format_string("%.1f", F.coalesce(round_half_even(percent(failing, rows), 1), F.lit(float("nan"))))
         details = F.col("fact.details")
