@@ -167,6 +167,14 @@ def test_gate_stops_on_a_critical_failure(people, broken):
     assert enforce(rulesets.bronze("people", [*CHECKS, tolerated]).evaluate(people))[-1].status == "WARN"
 
 
+def test_gate_rule_spark_refuses_is_a_failed_rule(spark):
+    df = spark.sql("SELECT 1 AS id, parse_json('1') AS m")
+    suite = rulesets.bronze("x", [{"tipo": "unique", "coluna": "m"}, {"tipo": "not_null", "coluna": "id"}])
+    rows = sorted(suite.evaluate(df).collect(), key=lambda r: r.position)
+    assert [r.status for r in rows] == ["FAIL", "PASS"]
+    assert rows[0].details.startswith("cannot be evaluated")
+
+
 def test_outcome(people):
     checks = [*CHECKS, {"tipo": "unique", "coluna": "id"}]
     assert tuple(outcome(rulesets.bronze("people", checks).evaluate(people)).first()) == (50.0, 2, 2, 1, True)

@@ -10,6 +10,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -177,11 +178,27 @@ def _type_of(df: DataFrame, name: str) -> T.DataType:
 def resolve(rule: Rule, df: DataFrame) -> Rule | None:
     """The rule as it applies to the table: itself, broken, or nothing."""
     name = rule.needs
-    if name is None or name in df.columns:
-        return rule
-    if rule.strict or isinstance(rule, NotNull):
-        return Broken(rule.check, rule.dimension, f"no column {name}", severity=rule.severity)
-    return None
+    if name is not None and name not in df.columns:
+        if rule.strict or isinstance(rule, NotNull):
+            return _broken(rule, f"no column {name}")
+        return None
+    return _tried(rule, df) if rule.strict else rule
+
+
+def _tried(rule: Rule, df: DataFrame) -> Rule:
+    """The rule, or broken where Spark refuses it for the column's type."""
+    try:
+        if isinstance(rule, TableRule):
+            rule.failing_table(df)
+        elif isinstance(rule, RowRule):
+            df.agg(rule.failing(df))
+    except AnalysisException as error:
+        return _broken(rule, f"cannot be evaluated: {error.getCondition()}")
+    return rule
+
+
+def _broken(rule: Rule, details: str) -> Broken:
+    return Broken(rule.check, rule.dimension, details, severity=rule.severity)
 
 
 def rules_from_dicts(checks: Iterable[Mapping[str, Any]]) -> list[Rule]:
