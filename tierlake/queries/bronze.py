@@ -182,7 +182,7 @@ def _profile_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-_DAY = "'ano=' || strftime(ts, '%Y') || '/mes=' || strftime(ts, '%m') || '/dia=' || strftime(ts, '%d')"
+_DAY = "strftime(ts, 'ano=%Y/mes=%m/dia=%d')"
 
 ORACLES = {
     "record_hash": """
