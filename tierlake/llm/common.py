@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from contextlib import contextmanager
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +25,23 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tierlake-modules-")) / "tierlake.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for module in sorted(package.rglob("*.py")):
+            target.write(module, module.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     """Session settings that hold inside a with block only."""
@@ -75,6 +95,23 @@ def located(docs: DataFrame) -> Located:
     return Located(frame, docs.columns, file, row)
 
 
+def numbered(docs: DataFrame) -> Located:
+    """The rows with a number in `row` that is unique and stays the same on every read of these files.
+
+    The table of file numbers has a row per file; Spark broadcasts it while it is small.
+    """
+    rows = located(docs)
+    paths = sorted(row[0] for row in rows.frame.select(rows.file).distinct().collect())
+    number = fresh([*rows.columns, rows.file, rows.row], "_number")
+    files = docs.sparkSession.createDataFrame(
+        list(zip(paths, range(len(paths)), strict=True)), f"`{rows.file}` string, `{number}` bigint"
+    )
+    frame = rows.frame.join(files, rows.file).withColumn(
+        rows.row, F.shiftleft(F.col(number), 40) + F.col(rows.row)
+    )
+    return Located(frame.select(*rows.columns, rows.file, rows.row), rows.columns, rows.file, rows.row)
+
+
 def plain_text(column: str) -> Column:
     """The text, with null as empty."""
     return F.coalesce(F.col(column), F.lit(""))

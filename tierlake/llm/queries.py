@@ -1,11 +1,12 @@
 """One query per operator, and SQL where it can express the result."""
 
-from tierlake.llm import exact_dedup, mixing, sharding
+from tierlake.llm import exact_dedup, jaccard_join, mixing, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_sharding": sharding.query,
     "op5_mixing": mixing.query,
+    "op7_jaccard_join": jaccard_join.query,
 }
 
 ORACLES = {"op1_exact_dedup": exact_dedup.SQL}
