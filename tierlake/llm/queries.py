@@ -1,10 +1,12 @@
 """One query per operator, and SQL where it can express the result."""
 
-from tierlake.llm import exact_dedup, jaccard_join, mixing, packing, sharding
+from tierlake.llm import exact_dedup, fingerprints, jaccard_join, mixing, packing, quality, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_sharding": sharding.query,
+    "op3_fingerprints": fingerprints.query,
+    "op4_quality": quality.query,
     "op5_mixing": mixing.query,
     "op7_jaccard_join": jaccard_join.query,
     "op10_packing": packing.query,
