@@ -94,8 +94,8 @@ def decide(state: DedupState, docs: Located, identifier: str, text: str) -> Data
     repeated = stored(repeated, "dedup-hits")
     hits = repeated.where(~AT.eqNullSafe(F.col("keep")))
     holders = repeated.where(AT.eqNullSafe(F.col("keep"))).select("digest", F.col("content").alias("held"))
-    accidents = hits.join(holders, "digest").where("content <> held").select("digest").distinct()
-    accidents = stored(accidents, "dedup-accidents")
+    # Not made distinct here: Spark splits a hot digest only if nothing above the join needs its rows together.
+    accidents = stored(hits.join(holders, "digest").where("content <> held").select("digest"), "dedup-accidents")
 
     rows = state.landed().join(retained, "digest")
     if not accidents.isEmpty():
