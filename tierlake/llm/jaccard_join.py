@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tierlake.llm.common import Located, numbered, plain_text, ship, stored
 from tierlake.llm.components import components
-from tierlake.llm.postings import PACKED, buckets_for, pack, packed_frame, shared_postings
+from tierlake.llm.postings import PACKED, buckets_for, pack, shared_postings
 from tierlake.llm.shingles import set_name, shingle_set
 
 #: Bits of the table that marks common shingles; its size is the same for any input.
@@ -143,7 +143,7 @@ def cells(rows: Located, text: str, rule: Rule, common: np.ndarray, buckets: int
     def window(shingles: np.ndarray, bits: np.ndarray) -> np.ndarray:
         last = bits[shingles % np.uint64(COMMON_BITS)]
         ordered = np.concatenate([shingles[~last], shingles[last]])
-        return np.unique(ordered[: rule.prefix(len(shingles))] & np.uint64(0xFFFFFFFF))
+        return np.unique(ordered[: rule.prefix(len(shingles))].astype(np.uint32))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(table.value).view(bool)
@@ -160,15 +160,15 @@ def cells(rows: Located, text: str, rule: Rule, common: np.ndarray, buckets: int
                 lengths.append(len(keys[-1]))
             if keys:
                 payloads = np.repeat(np.array(nodes, NODE), lengths)
-                yield packed_frame(list(pack(np.concatenate(keys), payloads, buckets)))
+                yield pack(np.concatenate(keys), payloads, buckets)
 
-    def unpack(keys: np.ndarray, payloads: np.ndarray) -> pd.DataFrame:
+    def unpack(keys: np.ndarray, payloads: np.ndarray, _: np.ndarray) -> pd.DataFrame:
         return pd.DataFrame({
             "cell": keys.astype(np.int64), "node": [node.tobytes() for node in payloads["node"]], "n": payloads["n"].astype(np.int64),
         })
 
-    packed = stored(rows.frame.select(plain_text(text).alias("content")).mapInPandas(read, PACKED), "join-postings")
-    found = shared_postings(packed, NODE, unpack, "cell bigint, node binary, n bigint")
+    packed = rows.frame.select(plain_text(text).alias("content")).mapInPandas(read, PACKED)
+    found = shared_postings(packed, np.uint32, NODE, unpack, "cell bigint, node binary, n bigint")
     return stored(found.distinct(), "join-cells")
 
 

@@ -2,9 +2,10 @@
 
 A task that reads texts turns each batch into (key, payload) postings, marks the
 keys that occur more than once within the batch, and sends a single posting of
-each key on, packed by key bucket. So a key that a third of all rows have costs a
-bucket one posting per batch. The tasks that gather a bucket find the keys that
-several batches share. The result is every posting whose key occurs again.
+each key on, packed by key bucket. So a key that a third of all rows have costs its
+bucket one posting per batch; postings already known to share their key travel in
+slices to any bucket. The tasks that gather a bucket find the keys that several
+batches share. The result is every posting whose key occurs again.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-PACKED = "bucket int, keys binary, payloads binary"
-#: Postings that a task holds at once while it gathers a bucket.
-PER_BUCKET = 1 << 20
+PACKED = "bucket int, known boolean, base bigint, keys binary, payloads binary"
+#: Postings that a task holds at once while it gathers a bucket, and those of a slice.
+PER_BUCKET, SLICE = 1 << 20, 1 << 15
+
+Unpack = Callable[[np.ndarray, np.ndarray, np.ndarray], pd.DataFrame]
 
 
 def buckets_for(frame: DataFrame, postings: float) -> int:
@@ -27,7 +29,7 @@ def buckets_for(frame: DataFrame, postings: float) -> int:
     return max(width, int(postings / PER_BUCKET) + 1)
 
 
-def again(keys: np.ndarray, payloads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def again(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order by key, whether each posting in that order shares its key, and whether it is the first of it."""
     order = np.argsort(keys, kind="stable")
     ordered = keys[order]
@@ -38,47 +40,47 @@ def again(keys: np.ndarray, payloads: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, ~(first & last), first
 
 
-def pack(keys: np.ndarray, payloads: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Rows of a batch: bucket -1 has postings known to share their key, the others one posting per key."""
-    if not len(keys):
-        return
-    order, shared, first = again(keys, payloads)
-    known = order[shared]
-    if len(known):
-        yield -1, keys[known].tobytes(), payloads[known].tobytes()
-    sent = order[first]
-    at = (keys[sent] % np.uint64(buckets)).astype(np.int64)
-    by_bucket = np.argsort(at, kind="stable")
-    sent, at = sent[by_bucket], at[by_bucket]
-    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    for start, end in zip(starts, np.r_[starts[1:], len(at)], strict=True):
-        part = sent[start:end]
-        yield int(at[start]), keys[part].tobytes(), payloads[part].tobytes()
-
-
-def packed_frame(rows: list[tuple[int, bytes, bytes]]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["bucket", "keys", "payloads"])
-
-
-def shared_postings(
-    packed: DataFrame, dtype: np.dtype, unpack: Callable[[np.ndarray, np.ndarray], pd.DataFrame], schema: str
-) -> DataFrame:
-    """Postings whose key others have too, of a stored frame of packed rows; some may come twice.
-
-    `unpack` turns keys and payloads into rows of the schema.
+def pack(keys: np.ndarray, payloads: np.ndarray, buckets: int, base: int = 0) -> pd.DataFrame:
+    """The packed rows of a batch; `base` is what the payloads are relative to."""
+    rows = []
+    if len(keys):
+        order, shared, first = again(keys)
+        known = order[shared]
+        where = int(keys[0]) % buckets
+        for start in range(0, len(known), SLICE):
+            part = known[start : start + SLICE]
+            rows.append(((where + start // SLICE) % buckets, True, base, keys[part].tobytes(), payloads[part].tobytes()))
+        sent = np.sort(order[first])
+        at = (keys[sent] % keys.dtype.type(buckets)).astype(np.int64)
+        by_bucket = np.argsort(at, kind="stable")
+        sent, at = sent[by_bucket], at[by_bucket]
+        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        for start, end in zip(starts, np.r_[starts[1:], len(at)], strict=True):
+            part = sent[start:end]
+            rows.append((int(at[start]), False, base, keys[part].tobytes(), payloads[part].tobytes()))
+    return pd.DataFrame(rows, columns=["bucket", "known", "base", "keys", "payloads"])
+
+
+def shared_postings(packed: DataFrame, key: np.dtype, payload: np.dtype, unpack: Unpack, schema: str) -> DataFrame:
+    """Postings whose key others have too, of a frame of packed rows; some may come twice.
+
+    `unpack` turns keys, payloads and their bases into rows of the schema.
     """
 
-    def gather(group: pd.DataFrame) -> pd.DataFrame:
-        keys = np.frombuffer(b"".join(group["keys"]), np.uint64)
-        payloads = np.frombuffer(b"".join(group["payloads"]), dtype)
-        order, shared, _ = again(keys, payloads)
-        found = order[shared]
-        return unpack(keys[found], payloads[found])
+    def joined(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys = np.frombuffer(b"".join(rows["keys"]), key)
+        lengths = [len(packed_keys) // np.dtype(key).itemsize for packed_keys in rows["keys"]]
+        bases = np.repeat(rows["base"].to_numpy(np.int64), lengths)
+        return keys, np.frombuffer(b"".join(rows["payloads"]), payload), bases
 
-    def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for keys, payloads in zip(batch["keys"], batch["payloads"], strict=True):
-                yield unpack(np.frombuffer(keys, np.uint64), np.frombuffer(payloads, dtype))
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        known = rows["known"].to_numpy(bool)
+        keys, payloads, bases = joined(rows[~known])
+        order, shared, _ = again(keys)
+        found = order[shared]
+        parts = [unpack(keys[found], payloads[found], bases[found])]
+        if known.any():
+            parts.append(unpack(*joined(rows[known])))
+        return pd.concat(parts, ignore_index=True)
 
-    crossing = packed.where(F.col("bucket") >= 0).groupBy("bucket").applyInPandas(gather, schema)
-    return crossing.unionByName(packed.where("bucket = -1").mapInPandas(known, schema))
+    return packed.groupBy("bucket").applyInPandas(gather, schema)

@@ -1,6 +1,8 @@
 """One query per operator, and SQL where it can express the result."""
 
-from tierlake.llm import exact_dedup, fingerprints, jaccard_join, mixing, packing, quality, sharding
+from tierlake.llm import (
+    exact_dedup, fingerprints, jaccard_join, mixing, packing, quality, sharding, substring_dedup,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -9,6 +11,7 @@ QUERIES = {
     "op4_quality": quality.query,
     "op5_mixing": mixing.query,
     "op7_jaccard_join": jaccard_join.query,
+    "op8_substring_dedup": substring_dedup.query,
     "op10_packing": packing.query,
 }
 
