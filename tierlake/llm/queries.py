@@ -1,7 +1,8 @@
 """One query per operator, and SQL where it can express the result."""
 
 from tierlake.llm import (
-    exact_dedup, fingerprints, jaccard_join, mixing, packing, quality, sharding, substring_dedup,
+    exact_dedup, fingerprints, html_extract, jaccard_join, mixing, packing, quality, sharding, substring_dedup,
+    url_filter,
 )
 
 QUERIES = {
@@ -10,8 +11,10 @@ QUERIES = {
     "op3_fingerprints": fingerprints.query,
     "op4_quality": quality.query,
     "op5_mixing": mixing.query,
+    "op6_url_filter": url_filter.query,
     "op7_jaccard_join": jaccard_join.query,
     "op8_substring_dedup": substring_dedup.query,
+    "op9_html_extract": html_extract.query,
     "op10_packing": packing.query,
 }
 
