@@ -17,6 +17,9 @@ from tierlake.sources.scratch import scratch_folder
 # Fixed value: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Most bytes of file names that are sent to every executor.
+BROADCAST_BYTES = 16 << 20
+
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame written to the shared folder and read back, which ends its lineage."""
@@ -98,7 +101,8 @@ def located(docs: DataFrame) -> Located:
 def numbered(docs: DataFrame) -> Located:
     """The rows with a number in `row` that is unique and stays the same on every read of these files.
 
-    The table of file numbers has a row per file; Spark broadcasts it while it is small.
+    The table of file numbers has a row per file. It is broadcast up to
+    BROADCAST_BYTES and joined as any other table beyond, which moves the rows.
     """
     rows = located(docs)
     paths = sorted(row[0] for row in rows.frame.select(rows.file).distinct().collect())
@@ -106,6 +110,8 @@ def numbered(docs: DataFrame) -> Located:
     files = docs.sparkSession.createDataFrame(
         list(zip(paths, range(len(paths)), strict=True)), f"`{rows.file}` string, `{number}` bigint"
     )
+    if sum(map(len, paths)) <= BROADCAST_BYTES:
+        files = F.broadcast(files)
     frame = rows.frame.join(files, rows.file).withColumn(
         rows.row, F.shiftleft(F.col(number), 40) + F.col(rows.row)
     )
