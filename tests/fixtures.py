@@ -53,9 +53,10 @@ RECORDS = {"users": USERS, "posts": POSTS, "todos": TODOS, "comments": COMMENTS}
 
 
 def land(folder, records=RECORDS):
-    """One JSON array that spans lines per entity, as an API would answer."""
+    """One JSON record per line and entity."""
     for name, rows in records.items():
         target = folder / name
         target.mkdir(parents=True, exist_ok=True)
-        (target / "data.json").write_text(json.dumps(rows, indent=1, ensure_ascii=False), encoding="utf8")
+        lines = [json.dumps(row, ensure_ascii=False) + "\n" for row in rows]
+        (target / "data.json").write_text("".join(lines), encoding="utf8")
     return str(folder)

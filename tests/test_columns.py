@@ -92,3 +92,20 @@ def test_metadata_is_dropped_by_prefix(spark):
 def test_run_needs_a_time_zone():
     with pytest.raises(ValueError):
         RunInfo(datetime(2024, 1, 1))
+
+
+def test_hash_is_the_same_in_every_session(spark):
+    df = spark.sql(
+        "SELECT timestamp_micros(1704434828123456) AS t, timestamp_ntz'2024-01-05 06:07:08.5' AS n, date'2024-01-05' AS d,"
+        " 1e10D AS x, 0.1D AS y, 1.50BD AS e, named_struct('a', timestamp_micros(1)) AS s, map('k', timestamp_micros(2)) AS m"
+    )
+    hashes = set()
+    for zone in ["UTC", "America/Sao_Paulo", "Asia/Tokyo"]:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            hashes.add(columns.with_record_hash(df).first()._record_hash)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(hashes) == 1
+    later = df.withColumn("t", F.timestamp_micros(F.lit(1704434828123457)))
+    assert columns.with_record_hash(later).first()._record_hash not in hashes

@@ -3,8 +3,12 @@
 from datetime import timedelta
 from dataclasses import replace
 
+import sys
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 import fixtures
 from test_columns import RUN
@@ -53,6 +57,52 @@ def test_malformed_record_stops_a_strict_read(spark, tmp_path):
         read_entity(spark, spec).collect()
 
 
+def test_malformed_csv_stops_a_strict_read(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("1,2\nx,6\n")
+    spec = EntitySpec("bad", str(tmp_path / "bad.csv"), schemas.fields(id=schemas.LONG, n=schemas.LONG), format="csv")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        read_entity(spark, spec).collect()
+
+
+def test_arrays_that_span_lines_are_read_on_request_only(spark, tmp_path):
+    (tmp_path / "all.json").write_text('[\n {"id": 1},\n {"id": 2}\n]\n')
+    spec = EntitySpec("all", str(tmp_path / "all.json"), schemas.fields(id=schemas.LONG))
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        read_entity(spark, spec).collect()
+    assert read_entity(spark, replace(spec, multi_line=True)).count() == 2
+
+
+class Posts(DataSource):
+    """A source without files."""
+
+    @classmethod
+    def name(cls):
+        return "made_posts"
+
+    def schema(self):
+        return "userId bigint, id bigint, title string, body string"
+
+    def reader(self, schema):
+        return PostsReader()
+
+
+class PostsReader(DataSourceReader):
+    def read(self, partition):
+        yield (1, 10, " first", "body")
+        yield (1, 10, "again", "body")
+
+
+def test_sources_without_files_are_ingested(spark, landing, tmp_path):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(Posts)
+    specs = landed(landing) | {"posts": EntitySpec("posts", "made", schemas.POSTS, format="made_posts")}
+    lake = medallion.run(spark, landing, str(tmp_path / "lake"), RUN, specs, checks={})
+    assert {r.entity: (r.ingested, r.kept, r.removed) for r in lake.counts().collect()} == {
+        "users": (5, 4, 1), "posts": (2, 1, 1), "todos": (4, 4, 0), "comments": (1, None, None),
+    }
+    assert tuple(lake.totals().first()) == (4, 12)
+
+
 def test_tolerant_read_routes_rejects(spark, tmp_path):
     (tmp_path / "mixed.json").write_text('{"id": 1, "n": 2}\n{"id": \n{"id": 3, "n": "x"}\n')
     spec = EntitySpec(
@@ -170,6 +220,55 @@ def test_failed_gate_leaves_the_target_untouched(spark, landing, tmp_path):
     assert sorted(r._record_hash for r in sinks.read_partitions(spark, path).collect()) == before
 
 
+def all_files(folder):
+    return sorted(str(path.relative_to(folder)) for path in folder.rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("publish", ["rename", "rewrite"])
+def test_overlapping_runs_publish_their_own_rows(spark, landing, tmp_path, monkeypatch, publish):
+    """A bad run of the next day between this run's staging and its gate: each keeps to itself."""
+    base = tmp_path / "lake"
+    good = landed(fixtures.land(tmp_path / "good", posts_without_null_keys()))["posts"]
+    bad, gate = landed(landing)["posts"], bronze.enforce
+
+    def interrupted(results):
+        monkeypatch.setattr(bronze, "enforce", gate)
+        with pytest.raises(QualityGateError):
+            bronze.run_bronze_job(spark, bad, str(base), NEXT_DAY, publish=publish)
+        return gate(results)
+
+    monkeypatch.setattr(bronze, "enforce", interrupted)
+    written = bronze.run_bronze_job(spark, good, str(base), RUN, publish=publish)
+    assert written.rows == written.read(spark).count() == 5
+    assert sinks.read_partitions(spark, written.path).where("userId IS NULL").count() == 0
+    assert all(name.startswith("bronze/posts/ano=2024/mes=01/dia=05/") for name in all_files(base))
+
+
+def test_a_blocked_run_after_the_gate_leaves_this_run_alone(spark, landing, tmp_path, monkeypatch):
+    base = tmp_path / "lake"
+    good = landed(fixtures.land(tmp_path / "good", posts_without_null_keys()))["posts"]
+    publish = bronze._publish
+
+    def interrupted(*arguments):
+        with pytest.raises(QualityGateError):
+            bronze.run_bronze_job(spark, landed(landing)["posts"], str(base), NEXT_DAY)
+        publish(*arguments)
+
+    monkeypatch.setattr(bronze, "_publish", interrupted)
+    assert bronze.run_bronze_job(spark, good, str(base), RUN).read(spark).count() == 5
+    assert {name.split("/")[0] for name in all_files(base)} == {"bronze"}
+
+
+def test_a_gated_entity_is_written_once(spark, tmp_path, monkeypatch):
+    spec = landed(fixtures.land(tmp_path / "l", posts_without_null_keys()))["posts"]
+    writes, write = [], sinks._observed_write
+    monkeypatch.setattr(sinks, "_observed_write", lambda *arguments: writes.append(1) or write(*arguments))
+    bronze.run_bronze_job(spark, spec, str(tmp_path / "a"), RUN)
+    assert len(writes) == 1
+    bronze.run_bronze_job(spark, spec, str(tmp_path / "b"), RUN, publish="rewrite")
+    assert len(writes) == 3
+
+
 def test_gate_with_unique_rule_and_no_earlier_target(spark, landing, tmp_path):
     checks = {"posts": [{"tipo": "unique", "coluna": "id"}]}
     with pytest.raises(QualityGateError, match="unique:id"):
@@ -232,6 +331,14 @@ def test_inventory_lists_files_with_sizes(spark, tmp_path):
     assert [tuple(r) for r in found] == [("silver", "users", f"users/{part.name}", part.stat().st_size)]
 
 
+def test_inventory_knows_layers_below_its_base_only(spark, tmp_path):
+    base = tmp_path / "gold" / "lake"
+    spark.range(3).coalesce(1).write.parquet(str(base / "bronze" / "users"))
+    spark.range(3).coalesce(1).write.parquet(str(base / "other" / "silver" / "x"))
+    found = {(r.layer, r.dataset) for r in lake_inventory(spark, str(base)).collect()}
+    assert found == {("bronze", "users"), (None, "")}
+
+
 class SharedSession:
     """A cluster session, as far as the choice of a folder goes."""
 

@@ -93,6 +93,17 @@ def test_details_carry_the_counts(people):
     assert details == ["5 rows (minimum 5)", "2 nulls (40.0%)", "2 outside [-90, 90]", "4 not valid (an x)"]
 
 
+def test_texts_of_rules_are_kept_as_they_are(people):
+    suite = SUITE.regex("mail", "x", "uses {rows} form of {failing}")
+    assert suite.evaluate(people).first().details == "4 not valid (uses {rows} form of {failing})"
+
+
+@pytest.mark.parametrize("minimum, status", [(1, "PASS"), (5.0, "PASS"), (5.5, "FAIL"), (True, "FAIL"), ("1", "FAIL"), (None, "FAIL")])
+def test_minimum_is_any_number_but_no_flag(people, minimum, status):
+    suite = rulesets.bronze("people", [{"tipo": "min_count", "valor": minimum}])
+    assert [r.status for r in suite.evaluate(people).collect()] == [status]
+
+
 def test_builder_does_not_change_the_suite():
     longer = SUITE.not_null(["a"])
     assert SUITE.rules == () and len(longer.rules) == 1

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tierlake.operators.dedup import duplicate_count, keep_first
+from tierlake.operators.dedup import duplicate_count, duplicates_of, keep_first
 from tierlake.operators.membership import orphan_count, orphan_rows
 from tierlake.operators.profile import ingest_totals, preview, row_counts, table_profile
 
@@ -53,6 +53,27 @@ def test_duplicate_count_counts_repeated_nulls(skewed, spark):
     assert duplicate_count(spark.createDataFrame([], "k int"), ["k"]).first()[0] == 0
 
 
+@pytest.mark.parametrize("letters", [5, 200])
+def test_duplicates_follow_the_collation_whatever_the_length(spark, letters):
+    df = spark.createDataFrame([("a" * letters,), ("A" * letters,)], "t string").selectExpr("t COLLATE UTF8_LCASE AS t")
+    assert df.groupBy("t").count().count() == 1
+    assert duplicate_count(df, ["t"]).first()[0] == 1
+    assert df.agg(duplicates_of("t")).first()[0] == 1
+
+
+def test_duplicates_of_counts_a_repeated_null(spark):
+    df = spark.createDataFrame([(1,), (1,), (None,), (None,), (None,), (2,)], "k int")
+    assert df.agg(duplicates_of("k")).first()[0] == 3
+    assert df.limit(0).agg(duplicates_of("k")).first()[0] == 0
+
+
+def test_keep_first_orders_maps_by_their_text(spark):
+    rows = [(1, {"b": 1, "a": 2}, None), (1, {"a": 1}, {"x": {"y": 1}}), (2, None, None)]
+    df = spark.createDataFrame(rows, "k int, m map<string, int>, n map<string, map<string, int>>")
+    kept = {row.k: row.m for row in keep_first(df, ["k"]).collect()}
+    assert kept == {1: {"a": 1}, 2: None}
+
+
 def test_duplicate_count_of_long_and_short_texts(spark):
     texts = ["a", "a", "", "", None, None, "é" * 200, "é" * 200, "x" * 5000, "x" * 5000, "x" * 4999 + "y", "x" * 128]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

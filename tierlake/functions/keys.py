@@ -11,13 +11,25 @@ from pyspark.sql import functions as F
 DATE_PARTS = {"ano": "yyyy", "mes": "MM", "dia": "dd"}
 
 
+# How values are spelled in the hashed text, whatever the session's settings.
+HASHED_AS = {
+    "ignoreNullFields": "false",
+    "timeZone": "UTC",
+    "dateFormat": "yyyy-MM-dd",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "locale": "en-US",
+}
+
+
 def record_hash(columns: Sequence[Column]) -> Column:
     """MD5 over the columns as one JSON object, nulls spelled out.
 
-    Equal values give equal hashes on every engine version; the bytes hashed
-    are defined here and are not those of any other tool.
+    Equal values give equal hashes in every session: instants are written in
+    UTC with microseconds. The bytes hashed are defined here and are not those
+    of any other tool.
     """
-    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    return F.md5(F.to_json(F.struct(*columns), HASHED_AS))
 
 
 def date_parts(day: Column) -> dict[str, Column]:

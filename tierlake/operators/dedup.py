@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from tierlake.operators.columns import column
 
 _RANK = "__rank"
-LONG_KEY_BYTES = 128
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
@@ -19,6 +18,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
 
     A table has no row order, so the order must be given; by default it is all
     other columns, which leaves only equal rows tied. Null is a key value.
+    Columns with maps, which have no order, are ordered by their JSON text.
 
     Filtering ``row_number() = 1`` lets Spark limit every key to one row inside
     each map task before the shuffle, so a key that holds a third of the table
@@ -26,7 +26,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
     """
     order = list(order_by or [])
     if not order:
-        order = [column(name) for name in df.columns if name not in keys] or [F.lit(0)]
+        order = [_orderable(df, name) for name in df.columns if name not in keys] or [F.lit(0)]
     window = Window.partitionBy(*[column(key) for key in keys]).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 
@@ -34,19 +34,41 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
 def duplicate_count(df: DataFrame, keys: Sequence[str], name: str = "removed") -> DataFrame:
     """Rows beyond the first of each key, as a one-row table.
 
-    Reads the key columns only and counts inside the map tasks first.
+    Reads the key columns only and counts inside the map tasks first. Keys are
+    compared by value, whatever their length, so collations hold.
     """
-    grouping = [part for key in keys for part in _compact(df, key)]
-    named = [part.alias(f"__key{i}") for i, part in enumerate(grouping)]
+    named = [column(key).alias(f"__key{i}") for i, key in enumerate(keys)]
     per_key = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__rows"))
     surplus = F.sum(F.col("__rows") - 1)
     return per_key.agg(F.coalesce(surplus, F.lit(0).cast("bigint")).alias(name))
 
 
-def _compact(df: DataFrame, key: str) -> list[Column]:
-    """The key as columns to group by; long texts by SHA-256 and not in full."""
+def duplicates_of(key: str) -> Column:
+    """Rows beyond the first of each value of a column, as an aggregate.
+
+    Several of them share one scan and one shuffle.
+    """
     value = column(key)
-    if not isinstance(df.schema[key].dataType, T.StringType):
-        return [value]
-    is_long = F.octet_length(value) > LONG_KEY_BYTES
-    return [F.when(~is_long, value), F.when(is_long, F.sha2(value, 256))]
+    distinct = F.count_distinct(value) + F.least(F.count_if(value.isNull()), F.lit(1).cast("bigint"))
+    return F.count(F.lit(1)) - distinct
+
+
+def counts_distinct(kind: T.DataType) -> bool:
+    """Whether Spark counts distinct values of the type."""
+    return not _has(kind, (T.MapType, T.VariantType))
+
+
+def _orderable(df: DataFrame, name: str) -> Column:
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.MapType) and not any(_has(part, T.MapType) for part in (kind.keyType, kind.valueType)):
+        return F.to_json(F.array_sort(F.map_entries(column(name))))
+    return F.to_json(F.struct(column(name))) if _has(kind, T.MapType) else column(name)
+
+
+def _has(kind: T.DataType, sought: type | tuple[type, ...]) -> bool:
+    """Whether the type is, or holds, one of those sought."""
+    if isinstance(kind, sought):
+        return True
+    if isinstance(kind, T.StructType):
+        return any(_has(field.dataType, sought) for field in kind.fields)
+    return isinstance(kind, T.ArrayType) and _has(kind.elementType, sought)

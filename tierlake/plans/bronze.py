@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -24,7 +25,7 @@ from tierlake.quality.gate import enforce
 from tierlake.quality.rulesets import BRONZE_CHECKS
 from tierlake.quality.rulesets import bronze as bronze_suite
 from tierlake.run import RunInfo
-from tierlake.sources import sinks
+from tierlake.sources import files, sinks
 from tierlake.sources.entities import EntitySpec, read_entity
 
 log = logging.getLogger(__name__)
@@ -79,29 +80,54 @@ def run_bronze_job(
     run: RunInfo,
     checks: Mapping[str, list[dict]] = BRONZE_CHECKS,
     with_position: bool = False,
+    publish: str | None = None,
 ) -> BronzeWrite:
     """Ingest one entity into its day partition, behind the quality gate.
 
-    The landing files are parsed once, into a staged table; the row rules are
-    measured by that same write. Only when no critical rule failed is the day
-    published, so a stopped run leaves the target as it was, and what is
-    published is exactly what was checked even if files land meanwhile.
-    An entity without rules is written directly.
+    The landing files are parsed and written once, into a staging folder of
+    this run alone; the row rules are measured by that same write. Only when no
+    critical rule failed is the day published, so a stopped run leaves the
+    target as it was, and what is published is exactly what was checked,
+    whatever lands or runs meanwhile. The staging folder is removed either way.
+
+    ``publish`` is ``rename``, which moves the day's folder and writes nothing,
+    or ``rewrite``, which reads and writes it again, for object stores where a
+    move is a copy; by default the file system decides. An entity without rules
+    is written directly.
     """
     target = f"{base}/bronze/{spec.name}"
     records = dated(read_entity(spark, spec, with_position), spec, run)
-    results: Sequence[Row] = ()
-    if checks.get(spec.name):
-        suite = bronze_suite(spec.name, checks[spec.name])
-        staged_path = f"{base}/_staging/bronze/{spec.name}"
-        metrics = sinks.write_table(records, staged_path, *suite.row_metrics(records))
-        records = spark.read.schema(records.schema).parquet(staged_path)
-        results = enforce(suite.evaluate_observed(records, metrics))
-    else:
-        log.warning("%s: no rules defined, nothing checked", spec.name)
     # All rows share the run's day: each task writes its part, none moves.
-    rows = sinks.write_partitions(records, target, rebalance=False)[sinks.ROWS]
-    return BronzeWrite(target, rows, records.schema, day_partition(run), results)
+    if not checks.get(spec.name):
+        log.warning("%s: no rules defined, nothing checked", spec.name)
+        rows = sinks.write_partitions(records, target, rebalance=False)[sinks.ROWS]
+        return BronzeWrite(target, rows, records.schema, day_partition(run))
+    suite = bronze_suite(spec.name, checks[spec.name])
+    staging = f"{base}/_staging/bronze/{spec.name}/{run.stamp}-{uuid.uuid4().hex}"
+    try:
+        metrics = sinks.write_partitions(records, staging, *suite.row_metrics(records), rebalance=False)
+        staged = BronzeWrite(staging, metrics[sinks.ROWS], records.schema, day_partition(run))
+        results = enforce(suite.evaluate_observed(staged.read(spark), metrics))
+        _publish(spark, staged, target, publish)
+    finally:
+        files.remove(spark, staging)
+    return BronzeWrite(target, staged.rows, records.schema, day_partition(run), results)
+
+
+def _publish(spark: SparkSession, staged: BronzeWrite, target: str, how: str | None) -> None:
+    """Put the staged day in the place of the target's; an empty one changes nothing."""
+    if not staged.rows:
+        return
+    how = how or ("rename" if files.renames_folders(spark, target) else "rewrite")
+    if how == "rename":
+        day = "/".join(f"{name}={value}" for name, value in staged.partition.items())
+        files.replace_folder(spark, f"{staged.path}/{day}", f"{target}/{day}", f"{staged.path}/_replaced")
+    elif how == "rewrite":
+        rows = sinks.write_partitions(staged.read(spark), target, rebalance=False)[sinks.ROWS]
+        if rows != staged.rows:
+            raise RuntimeError(f"{target}: {rows} rows published, {staged.rows} checked")
+    else:
+        raise ValueError(f"publish is rename or rewrite, not {how}")
 
 
 def day_partition(run: RunInfo) -> dict[str, str]:

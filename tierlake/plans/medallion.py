@@ -8,7 +8,7 @@ the run.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +29,7 @@ class Lake:
 
     spark: SparkSession
     base: str
+    rows: dict[tuple[str, str], int] = field(default_factory=dict)
 
     def table(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self._path(layer, name))
@@ -60,10 +61,21 @@ class Lake:
     def inventory(self) -> DataFrame:
         return lake_inventory(self.spark, self.base)
 
+    def counts(self) -> DataFrame:
+        """Entity, rows ingested, kept in silver and removed, as counted by the run's writes."""
+        entities = [name for layer, name in self.rows if layer == "bronze"]
+        found = [(name, self.rows["bronze", name], self.rows.get(("silver", name))) for name in entities]
+        table = self.spark.createDataFrame(found, "entity string, ingested bigint, kept bigint")
+        return table.withColumn("removed", table.ingested - table.kept)
+
+    def totals(self) -> DataFrame:
+        """Entities and records ingested by the run."""
+        return self.counts().selectExpr("count(*) AS entities", "coalesce(sum(ingested), 0) AS records")
+
     def write(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         """Replace a table, and give what was written as read from storage."""
         path = self._path(layer, name)
-        sinks.write_table(df, path)
+        self.rows[layer, name] = sinks.write_table(df, path)[sinks.ROWS]
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _path(self, layer: str, name: str) -> str:
@@ -73,8 +85,7 @@ class Lake:
 def run_medallion(spark: SparkSession, specs: Mapping[str, EntitySpec], base: str, run: RunInfo) -> Lake:
     """Snapshot bronze, silver, gold and reports; quality reports, never blocks."""
     written = bronze.write_snapshots(spark, specs, base, run)
-    tables = {name: write.read(spark) for name, write in written.items()}
-    return _refine(spark, tables, base, run)
+    return _refine(spark, written, base, run)
 
 
 def run(
@@ -91,8 +102,7 @@ def run(
         name: partial(bronze.run_bronze_job, spark, spec, out_dir, run_info, checks, with_position=True)
         for name, spec in specs.items()
     })
-    tables = {name: write.read(spark) for name, write in written.items()}
-    return _refine(spark, tables, out_dir, run_info)
+    return _refine(spark, written, out_dir, run_info)
 
 
 def check_quality(lake: Lake, users: DataFrame, posts: DataFrame, profile: DataFrame, run: RunInfo) -> None:
@@ -109,8 +119,9 @@ def check_quality(lake: Lake, users: DataFrame, posts: DataFrame, profile: DataF
     sinks.write_reports(report.union_reports(reports), f"{lake.base}/quality_reports")
 
 
-def _refine(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, run: RunInfo) -> Lake:
-    lake = Lake(spark, base)
+def _refine(spark: SparkSession, written: Mapping[str, bronze.BronzeWrite], base: str, run: RunInfo) -> Lake:
+    lake = Lake(spark, base, {("bronze", name): write.rows for name, write in written.items()})
+    tables = {name: write.read(spark) for name, write in written.items()}
     cleaned = {
         "users": silver.silver_users(tables["users"], run),
         "posts": silver.silver_posts(tables["posts"], run),

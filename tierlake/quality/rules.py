@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from decimal import Decimal
+from enum import Enum
+from math import ceil, isfinite
+from numbers import Real
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -18,7 +22,7 @@ from pyspark.sql import types as T
 from tierlake.functions.numbers import missing
 from tierlake.functions.text import matches_from_start
 from tierlake.operators.columns import column, quoted
-from tierlake.operators.dedup import duplicate_count
+from tierlake.operators.dedup import counts_distinct, duplicate_count, duplicates_of
 from tierlake.operators.membership import orphan_count
 
 # The words written to results and reports.
@@ -30,8 +34,18 @@ VALIDITY, CONSISTENCY = "VALIDITY", "CONSISTENCY"
 FAILING = "failing"
 
 
-# Filled in with what was measured.
-FAILED, ROWS, SHARE = "{failing}", "{rows}", "{share}"
+class Measured(Enum):
+    """What a message says that only the evaluation knows."""
+
+    FAILING = "failing"
+    ROWS = "rows"
+    SHARE = "share"
+
+
+FAILED, ROWS, SHARE = Measured.FAILING, Measured.ROWS, Measured.SHARE
+
+#: A message: texts and measured values in order.
+Details = tuple[str | Measured, ...]
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -62,7 +76,7 @@ class TableRule(Rule):
 class NotNull(RowRule):
     column: str
     dimension = COMPLETENESS
-    details = f"{FAILED} nulls ({SHARE}%)"
+    details = (FAILED, " nulls (", SHARE, "%)")
 
     @property
     def check(self) -> str:
@@ -74,16 +88,16 @@ class NotNull(RowRule):
 
 @dataclass(frozen=True)
 class MinRows(RowRule):
-    minimum: int
+    minimum: float
     dimension = COMPLETENESS
     check = "row_count"
 
     @property
-    def details(self) -> str:
-        return f"{ROWS} rows (minimum {self.minimum})"
+    def details(self) -> Details:
+        return (ROWS, f" rows (minimum {self.minimum})")
 
     def failing(self, df: DataFrame) -> Column:
-        shortfall = F.lit(self.minimum).cast("bigint") - F.count(F.lit(1))
+        shortfall = F.lit(ceil(self.minimum)).cast("bigint") - F.count(F.lit(1))
         return F.greatest(shortfall, F.lit(0).cast("bigint"))
 
 
@@ -99,8 +113,8 @@ class Matches(RowRule):
         return f"regex:{self.column}"
 
     @property
-    def details(self) -> str:
-        return f"{FAILED} not valid ({self.description})"
+    def details(self) -> Details:
+        return (FAILED, f" not valid ({self.description})")
 
     def failing(self, df: DataFrame) -> Column:
         return F.count_if(~matches_from_start(column(self.column), self.pattern))
@@ -118,8 +132,8 @@ class InRange(RowRule):
         return f"range:{self.column}"
 
     @property
-    def details(self) -> str:
-        return f"{FAILED} outside [{self.minimum}, {self.maximum}]"
+    def details(self) -> Details:
+        return (FAILED, f" outside [{self.minimum}, {self.maximum}]")
 
     def failing(self, df: DataFrame) -> Column:
         value = column(self.column)
@@ -134,14 +148,22 @@ class InRange(RowRule):
 
 @dataclass(frozen=True)
 class Unique(TableRule):
+    """The unique rules of a suite are counted together, but for types Spark doesn't count distinct."""
+
     column: str
     dimension = UNIQUENESS
-    details = f"{FAILED} duplicates"
+    details = (FAILED, " duplicates")
 
     @property
     def check(self) -> str:
         return f"unique:{self.column}"
 
+    def fused(self, df: DataFrame) -> bool:
+        return counts_distinct(_type_of(df, self.column))
+
+    def failing(self, df: DataFrame) -> Column:
+        return duplicates_of(self.column)
+
     def failing_table(self, df: DataFrame) -> DataFrame:
         return duplicate_count(df, [self.column], FAILING)
 
@@ -152,7 +174,7 @@ class References(TableRule):
     parents: DataFrame
     parent_column: str
     dimension = CONSISTENCY
-    details = f"{FAILED} orphans"
+    details = (FAILED, " orphans")
 
     @property
     def check(self) -> str:
@@ -168,7 +190,7 @@ class Broken(Rule):
 
     check: str
     dimension: str
-    details: str
+    details: Details
 
 
 def _type_of(df: DataFrame, name: str) -> T.DataType:
@@ -198,7 +220,7 @@ def _tried(rule: Rule, df: DataFrame) -> Rule:
 
 
 def _broken(rule: Rule, details: str) -> Broken:
-    return Broken(rule.check, rule.dimension, details, severity=rule.severity)
+    return Broken(rule.check, rule.dimension, (details,), severity=rule.severity)
 
 
 def rules_from_dicts(checks: Iterable[Mapping[str, Any]]) -> list[Rule]:
@@ -214,12 +236,12 @@ def _rule_from_dict(check: Mapping[str, Any]) -> Rule:
     kind, name, value = check.get("tipo"), check.get("coluna"), check.get("valor")
     common = {"severity": ERROR if check.get("critico", True) else WARNING, "strict": True}
     if kind == "min_count":
-        if isinstance(value, int):
+        if isinstance(value, (Real, Decimal)) and not isinstance(value, bool) and isfinite(value):
             return MinRows(value, **common)
-        return Broken("row_count", COMPLETENESS, f"not a minimum: {value}", **common)
+        return Broken("row_count", COMPLETENESS, (f"not a minimum: {value}",), **common)
     keyed = {"not_null": NotNull, "unique": Unique}.get(kind)
     if keyed is None:
-        return Broken(f"{kind}:{name}", VALIDITY, "unknown kind of rule", **common)
+        return Broken(f"{kind}:{name}", VALIDITY, ("unknown kind of rule",), **common)
     if name is None:
-        return Broken(f"{kind}:{name}", keyed.dimension, "no column given", **common)
+        return Broken(f"{kind}:{name}", keyed.dimension, ("no column given",), **common)
     return keyed(name, **common)

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierlake import schemas
 from tierlake.functions.numbers import percent, round_half_even
@@ -56,7 +57,7 @@ class Suite:
         ]
 
     def evaluate(self, df: DataFrame) -> DataFrame:
-        """One row per rule. One scan for all row rules, one per table rule.
+        """One row per rule. One scan for all row rules, one for all unique rules, one per table rule.
 
         Each scan reads the columns of its rules only, so evaluate tables that
         are written to a columnar layer rather than the plan that makes them.
@@ -82,14 +83,18 @@ class Suite:
             for position, rule in rules.items()
             if not isinstance(rule, r.TableRule)
         ]
+        unique = {position: rule for position, rule in rules.items() if isinstance(rule, r.Unique) and rule.fused(df)}
         frames = [
             rule.failing_table(df).selectExpr("CAST(NULL AS BIGINT) AS rows", f"{position} AS position", r.FAILING)
             for position, rule in rules.items()
-            if isinstance(rule, r.TableRule)
+            if isinstance(rule, r.TableRule) and position not in unique
         ]
+        if unique:
+            surplus = df.agg(*[rule.failing(df).alias(_metric(position)) for position, rule in unique.items()])
+            pairs = [f"{position}, {_metric(position)}" for position in unique]
+            frames.insert(0, surplus.selectExpr("CAST(NULL AS BIGINT) AS rows", _stacked(pairs)))
         if shared:
-            unpivoted = f"stack({len(shared)}, {', '.join(shared)}) AS (position, failing)"
-            frames.insert(0, counted.selectExpr(ROWS, unpivoted))
+            frames.insert(0, counted.selectExpr(ROWS, _stacked(shared)))
         return self._described(reduce(DataFrame.union, frames), rules)
 
     def _described(self, measured: DataFrame, rules: Mapping[int, r.Rule]) -> DataFrame:
@@ -101,9 +106,15 @@ class Suite:
         facts = literal_rows(known, _FACT)
         failing, rows = F.col(r.FAILING), F.col(ROWS)
         share = F.format_string("%.1f", F.coalesce(round_half_even(percent(failing, rows), 1), F.lit(float("nan"))))
-        details = F.col("fact.details")
-        for place, value in [(r.FAILED, failing), (r.ROWS, rows), (r.SHARE, share)]:
-            details = F.replace(details, F.lit(place), F.coalesce(value.cast("string"), F.lit("")))
+        measured_values = {r.FAILED: failing, r.ROWS: rows, r.SHARE: share}
+
+        def spelled(part: Column) -> Column:
+            text = part.getField("text")
+            for kind, value in measured_values.items():
+                text = F.when(part.getField("measured") == kind.value, value.cast("string")).otherwise(text)
+            return F.coalesce(text, F.lit(""))
+
+        details = F.array_join(F.transform("fact.details", spelled), "")
         status = (
             F.when(failing == 0, r.PASS).when(F.col("fact.severity") == r.WARNING, r.WARN).otherwise(r.FAIL)
         )
@@ -114,13 +125,25 @@ class Suite:
         )
 
 
+_PART = schemas.fields(text=schemas.TEXT, measured=schemas.TEXT)
 _FACT = schemas.fields(
-    check=schemas.TEXT, dimension=schemas.TEXT, severity=schemas.TEXT, details=schemas.TEXT
+    check=schemas.TEXT, dimension=schemas.TEXT, severity=schemas.TEXT, details=T.ArrayType(_PART)
 )
 
 
-def _fact(rule: r.Rule | None) -> dict[str, str] | None:
-    return rule and {name: getattr(rule, name) for name in _FACT.names}
+def _fact(rule: r.Rule | None) -> dict | None:
+    """What is known of a rule; its message in parts, so that its own texts are never searched."""
+    if rule is None:
+        return None
+    parts = [
+        {"text": None, "measured": part.value} if isinstance(part, r.Measured) else {"text": part, "measured": None}
+        for part in rule.details
+    ]
+    return {"check": rule.check, "dimension": rule.dimension, "severity": rule.severity, "details": parts}
+
+
+def _stacked(pairs: list[str]) -> str:
+    return f"stack({len(pairs)}, {', '.join(pairs)}) AS (position, failing)"
 
 
 def _metric(position: int) -> str:

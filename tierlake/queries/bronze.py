@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,18 +17,19 @@ from tierlake.operators.columns import (
     with_process_stamp,
     with_record_hash,
 )
-from tierlake.operators.profile import ingest_totals, preview, row_counts, table_profile
+from tierlake.operators.profile import ingest_totals, preview, table_profile
 from tierlake.plans import medallion
 from tierlake.plans.bronze import read_day, run_bronze_job, write_snapshots
+from tierlake.quality.gate import QualityGateError
 from tierlake.queries import sql, tables
 from tierlake.queries.gold import PROFILE_SQL
 from tierlake.queries.tables import COLUMNS, LATER_RUN, RUN, table
 from tierlake.sources import sinks
-from tierlake.sources.entities import EntitySpec, landed, read_tolerant
+from tierlake.sources.entities import CORRUPT, EntitySpec, landed, read_tolerant
 from tierlake.sources.inventory import lake_inventory
 from tierlake.sources.scratch import scratch_folder
 
-HASHED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+HASHED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,24 +57,29 @@ def partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "events-by-day")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
     sinks.write_partitions(with_date_parts(events, F.col("ts")), path)
-    first_day = events.agg(F.to_date(F.min("ts"))).first()[0]
-    next_day = F.lit(first_day + timedelta(days=1)).cast("timestamp_ntz")
-    corrected = events.where(F.col("ts") < next_day).withColumn("value", -F.col("value"))
+    first_day = events.agg(F.to_date(F.min("ts"))).scalar()
+    corrected = events.where(F.to_date("ts") == first_day).withColumn("value", -F.col("value"))
     sinks.write_partitions(with_date_parts(corrected, F.col("ts")), path, rebalance=False)
     return sinks.read_partitions(spark, path).drop("ts")
 
 
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers ingested by two runs, the later one twice: two snapshots stay."""
+    """Nested users ingested by two runs, the later one twice: two snapshots stay, nested as landed."""
     base = scratch_folder(spark, "snapshots")
-    customer = table(spark, sf_dir, "customer")
-    customer.write.json(f"{base}/landing/customer")
-    specs = landed(f"{base}/landing", {"customer": customer.schema}, multi_line=False)
+    tables.raw_users(spark, sf_dir).write.json(f"{base}/landing/users")
+    specs = landed(f"{base}/landing", {"users": schemas.USERS})
     for run in (RUN, LATER_RUN, LATER_RUN):
         written = write_snapshots(spark, specs, base, run)
-    path = written["customer"].path
+    path = written["users"].path
     snapshots = sinks.read_partitions(spark, path, by=(sinks.SNAPSHOT_PARTITION,))
-    return snapshots.select(*customer.columns, F.col(sinks.SNAPSHOT_PARTITION).alias("run"), "_source_system")
+    geo = F.col("address.geo")
+    return snapshots.select(
+        "id", "name", F.col("address.street").alias("street"), F.col("address.city").alias("city"),
+        geo.getField("lat").alias("lat"), geo.getField("lng").alias("lng"),
+        F.col("company.catchPhrase").alias("phrase"), F.typeof("address").alias("address_type"),
+        F.typeof("company").alias("company_type"),
+        F.col(sinks.SNAPSHOT_PARTITION).alias("run"), "_source_system",
+    )
 
 
 def gated_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +93,36 @@ def gated_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.drop("_source_url", "_record_hash").withColumn("written", F.lit(written.rows).cast("bigint"))
 
 
+def gate_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good day, then a bad load of the same day that the gate stops: the target's rows and the failed checks."""
+    base = scratch_folder(spark, "blocked")
+    posts = tables.raw_posts(spark, sf_dir)
+    posts.write.json(f"{base}/good/posts")
+    nobody = F.when(F.col("id") % 7 == 0, None).otherwise(F.col("userId"))
+    posts.withColumns({"userId": nobody, "title": F.lit("bad")}).write.json(f"{base}/bad/posts")
+    good, bad = (landed(f"{base}/{load}", {"posts": schemas.POSTS})["posts"] for load in ("good", "bad"))
+    written = run_bronze_job(spark, good, f"{base}/lake", RUN)
+    failed = ""
+    try:
+        run_bronze_job(spark, bad, f"{base}/lake", RUN)
+    except QualityGateError as error:
+        failed = ",".join(sorted(row["check"] for row in error.failed))
+    day = read_day(spark, written.path, RUN)
+    return day.select("userId", "id", "title", "body").withColumn("failed", F.lit(failed))
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed records with repeated ones among them: what the run ingested, kept and removed."""
+    base = scratch_folder(spark, "counts")
+    tables.land(spark, sf_dir, f"{base}/landing")
+    tables.raw_users(spark, sf_dir).where("id % 3 = 0").write.mode("append").json(f"{base}/landing/users")
+    tables.raw_posts(spark, sf_dir).where("id % 5 = 0").write.mode("append").json(f"{base}/landing/posts")
+    lake = medallion.run(spark, f"{base}/landing", f"{base}/lake", RUN, landed(f"{base}/landing"), checks={})
+    return lake.counts()
+
+
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON lines, those of errors cut off: records and rejects."""
+    """Events as JSON lines, those of errors cut off: the good records and the texts of the rejects."""
     path = scratch_folder(spark, "rejects")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     line = F.to_json(F.struct(*events.columns))
@@ -97,7 +130,9 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.select(broken.alias("value")).write.text(f"{path}/landing")
     spec = EntitySpec("events", f"{path}/landing", events.schema, multi_line=False)
     good, bad = read_tolerant(spark, spec, f"{path}/staged")
-    return row_counts({"good": good, "rejected": bad})
+    records = good.select(*events.columns, F.lit(None).cast("string").alias("rejected"))
+    texts = bad.select(*[F.lit(None).cast(kind).alias(name) for name, kind in events.dtypes], F.col(CORRUPT).alias("rejected"))
+    return records.unionByName(texts)
 
 
 def _all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -127,10 +162,24 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = with_date_parts(table(spark, sf_dir, "events"), F.col("ts"))
     sinks.write_partitions(events, f"{base}/bronze/events")
     sinks.write_table(table(spark, sf_dir, "customer"), f"{base}/silver/customer")
-    files = lake_inventory(spark, base)
     folder = F.regexp_replace("file", "/?[^/]+$", "")
-    return files.groupBy("layer", "dataset", folder.alias("folder")).agg(
-        F.bool_and(F.col("bytes") > 0).alias("filled")
+    listed = lake_inventory(spark, base).groupBy("layer", "dataset", folder.alias("folder")).agg(
+        F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.bool_and(F.col("bytes") > 0).alias("filled")
+    )
+    # A second source: what the readers of the tables know of the files.
+    below = F.regexp_extract("_metadata.file_path", "/(?:bronze|silver)/((?:events|customer).*)/[^/]+$", 1)
+    read = [
+        spark.read.parquet(f"{base}/{name}").select(
+            below.alias("folder"), "_metadata.file_path", F.col("_metadata.file_size").alias("size")
+        )
+        for name in ("bronze/events", "silver/customer")
+    ]
+    known = read[0].union(read[1]).distinct().groupBy("folder").agg(
+        F.count("*").alias("known_files"), F.sum("size").alias("known_bytes")
+    )
+    agree = (F.col("files") == F.col("known_files")) & (F.col("bytes") == F.col("known_bytes"))
+    return listed.join(known, "folder", "left").select(
+        "layer", "dataset", "folder", "filled", F.coalesce(agree, F.lit(False)).alias("agrees")
     )
 
 
@@ -158,6 +207,8 @@ QUERIES = {
     "bronze_partition_roundtrip": partition_roundtrip,
     "bronze_snapshot_roundtrip": snapshot_roundtrip,
     "bronze_gated_job": gated_users,
+    "bronze_gate_blocks": gate_blocks,
+    "run_counts": run_counts,
     "ingest_rejects": rejects,
     "table_profile": profiles,
     "ingest_totals": totals,
@@ -188,7 +239,8 @@ ORACLES = {
     "record_hash": """
 SELECT o_orderkey, true AS business_only,
        md5('{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey
-           || ',"o_orderstatus":"' || o_orderstatus || '","o_orderpriority":'
+           || ',"o_orderstatus":"' || o_orderstatus || '","o_totalprice":' || CAST(o_totalprice AS VARCHAR)
+           || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || '","o_orderpriority":'
            || (CASE WHEN starts_with(o_orderpriority, '1') THEN 'null'
                ELSE '"' || o_orderpriority || '"' END) || '}') AS record_hash
 FROM orders""",
@@ -203,9 +255,25 @@ SELECT event_id, CASE WHEN CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM
                       THEN -value ELSE value END AS value,
        strftime(ts, '%Y') AS ano, strftime(ts, '%m') AS mes, strftime(ts, '%d') AS dia
 FROM events""",
-    "bronze_snapshot_roundtrip": """
-SELECT customer.*, run, 'landing_files' AS _source_system
-FROM customer CROSS JOIN (VALUES ('20240203_040506'), ('20240204_040506')) AS runs(run)""",
+    "bronze_snapshot_roundtrip": f"""WITH {sql.USERS}
+SELECT user_id AS id, name, 'Street ' || CAST(user_id AS VARCHAR) AS street, addr_city AS city,
+       CAST(geo_lat AS VARCHAR) AS lat, CAST(geo_lng AS VARCHAR) AS lng, 'We do ' || company_name AS phrase,
+       'struct<street:string,suite:string,city:string,zipcode:string,geo:struct<lat:string,lng:string>>' AS address_type,
+       'struct<name:string,catchPhrase:string,bs:string>' AS company_type,
+       run, 'landing_files' AS _source_system
+FROM users CROSS JOIN (VALUES ('20240203_040506'), ('20240204_040506')) AS runs(run)""",
+    "bronze_gate_blocks": """
+SELECT o_custkey AS "userId", o_orderkey AS id, o_orderpriority AS title,
+       o_orderstatus || ' ' || o_orderpriority AS body,
+       CASE WHEN (SELECT count(*) FROM orders WHERE o_orderkey % 7 = 0) > 0 THEN 'not_null:userId' ELSE '' END AS failed
+FROM orders""",
+    "run_counts": """
+SELECT 'users' AS entity, count(*) + count(*) FILTER (WHERE c_custkey % 3 = 0) AS ingested, count(*) AS kept,
+       count(*) FILTER (WHERE c_custkey % 3 = 0) AS removed FROM customer
+UNION ALL SELECT 'posts', count(*) + count(*) FILTER (WHERE o_orderkey % 5 = 0), count(*),
+       count(*) FILTER (WHERE o_orderkey % 5 = 0) FROM orders
+UNION ALL SELECT 'todos', count(*), count(*), 0 FROM events
+UNION ALL SELECT 'comments', count(*), NULL, NULL FROM conversations""",
     "bronze_gated_job": f"""WITH {sql.USERS}
 SELECT user_id AS id, name, username, email,
        'Street ' || CAST(user_id AS VARCHAR) AS address_street,
@@ -220,15 +288,19 @@ SELECT user_id AS id, name, username, email,
        count(*) OVER () AS written
 FROM users JOIN customer ON user_id = c_custkey""",
     "ingest_rejects": """
-SELECT 'good' AS entity, count(*) FILTER (WHERE event_type <> 'error') AS records FROM events
-UNION ALL SELECT 'rejected', count(*) FILTER (WHERE event_type = 'error') FROM events""",
+SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+       CASE WHEN event_type <> 'error' THEN user_id END AS user_id,
+       CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
+       CASE WHEN event_type = 'error' THEN '{"event_id":' || event_id || ',"user_id":' || user_id
+            || ',"event_type":"' || event_type || '"' END AS rejected
+FROM events""",
     "table_profile": _profile_sql(),
     "ingest_totals": "SELECT count(*) AS entities, CAST(sum(n) AS BIGINT) AS records FROM ("
     + " UNION ALL ".join(f"SELECT count(*) AS n FROM {name}" for name in COLUMNS) + ")",
     "preview_top": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 3""",
     "lake_inventory": f"""
-SELECT DISTINCT 'bronze' AS layer, 'events' AS dataset, 'events/' || {_DAY} AS folder, true AS filled FROM events
-UNION ALL SELECT DISTINCT 'silver', 'customer', 'customer', true FROM customer""",
+SELECT DISTINCT 'bronze' AS layer, 'events' AS dataset, 'events/' || {_DAY} AS folder, true AS filled, true AS agrees FROM events
+UNION ALL SELECT DISTINCT 'silver', 'customer', 'customer', true, true FROM customer""",
     "raw_to_processed": PROFILE_SQL,
 }

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.operators.membership import orphan_rows
-from tierlake.plans.gold import task_metrics
+from tierlake.plans.gold import task_metrics, user_profile
+from tierlake.plans.medallion import Lake
 from tierlake.quality import report, rulesets
 from tierlake.quality.gate import outcome
 from tierlake.quality.suite import Suite
@@ -44,7 +45,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .row_count(5)
         .not_null(["total_tasks"])
         .unique(["addr_city"])
-        .regex("email", rulesets.EMAIL, "email format")
+        .regex("email", rulesets.EMAIL, "email in the {rows} form")
         .in_range("geo_lat", -90, 90)
         .references("total_tasks", customer, "c_custkey")
     )
@@ -118,7 +119,16 @@ def suite_results(name: str):
 
 
 def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    evaluated = [make(spark, sf_dir) for make in SUITES.values()]
+    """Reports of the suites on stored tables, as a run makes them."""
+    lake = Lake(spark, scratch_folder(spark, "suites"))
+    users, posts, todos = (
+        lake.write(make(spark, sf_dir), "silver", name)
+        for name, make in [("users", tables.users), ("posts", tables.posts), ("todos", tables.todos)]
+    )
+    profile = lake.write(user_profile(users, posts, todos, RUN), "gold", "user_profile")
+    evaluated = [
+        (rulesets.users_silver(), users), (rulesets.posts_silver(users), posts), (rulesets.profile_gold(), profile),
+    ]
     return report.union_reports(
         report.report(suite.evaluate(df), suite.entity, suite.layer, RUN) for suite, df in evaluated
     )
@@ -185,7 +195,6 @@ QUERIES = {
     "dq_gate": gate,
 }
 
-_EMAIL_SQL = "^[\\w\\.-]+@[\\w\\.-]+\\.\\w+$"
 _C, _U, _V, _K = "COMPLETENESS", "UNIQUENESS", "VALIDITY", "CONSISTENCY"
 
 
@@ -199,7 +208,7 @@ USERS_SUITE = sql.suite("users", "SILVER", [
       for i, c in enumerate(["user_id", "name", "email", "username"])],
     (5, "unique:user_id", _U, "ERROR", sql.duplicates("users", "user_id")),
     (6, "unique:email", _U, "ERROR", sql.duplicates("users", "email")),
-    (7, "regex:email", _V, "WARNING", _unmatched("users", "email", _EMAIL_SQL)),
+    (7, "regex:email", _V, "WARNING", _unmatched("users", "email", rulesets.EMAIL)),
     (8, "range:geo_lat", _V, "WARNING", sql.outside("users", "geo_lat", -90, 90)),
     (9, "range:geo_lng", _V, "WARNING", sql.outside("users", "geo_lng", -180, 180)),
 ])
@@ -250,7 +259,7 @@ ORACLES = {
             sql.nulls("tasked", "total_tasks"),
         ),
         _message("unique:addr_city", "n || ' duplicates'", sql.duplicates("tasked", "addr_city")),
-        _message("regex:email", "n || ' not valid (email format)'", _unmatched("tasked", "email", _EMAIL_SQL)),
+        _message("regex:email", "n || ' not valid (email in the {rows} form)'", _unmatched("tasked", "email", rulesets.EMAIL)),
         _message("range:geo_lat", "n || ' outside [-90, 90]'", sql.outside("tasked", "geo_lat", -90, 90)),
         _message(
             "referential:total_tasks→c_custkey", "n || ' orphans'",

@@ -6,6 +6,10 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 
+# The forms of a run's stamp and date, and the pipeline's version.
+STAMP, DATE, VERSION = "%Y%m%d_%H%M%S", "%Y-%m-%d", "v1.0"
+
+
 @dataclass(frozen=True)
 class RunInfo:
     """Run time, job name and pipeline version.
@@ -16,7 +20,7 @@ class RunInfo:
 
     started_at: datetime
     job_name: str = "medallion"
-    pipeline_version: str = "v1.0"
+    pipeline_version: str = VERSION
 
     def __post_init__(self) -> None:
         if self.started_at.tzinfo is None:
@@ -29,8 +33,8 @@ class RunInfo:
 
     @property
     def stamp(self) -> str:
-        return self.started_at.strftime("%Y%m%d_%H%M%S")
+        return self.started_at.strftime(STAMP)
 
     @property
     def date(self) -> str:
-        return self.started_at.strftime("%Y-%m-%d")
+        return self.started_at.strftime(DATE)

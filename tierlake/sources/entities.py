@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,8 @@ from tierlake import schemas
 from tierlake.sources.sinks import write_table
 
 CORRUPT = "_corrupt_record"
+# Formats of text whose reader can be told to stop at a malformed record.
+STRICT_FORMATS = frozenset({"json", "csv", "xml"})
 POSITION = ("_source_file", "_source_block", "_source_row")
 
 
@@ -20,8 +23,8 @@ POSITION = ("_source_file", "_source_block", "_source_row")
 class EntitySpec:
     """Where an entity lands and how to read it.
 
-    ``multi_line`` reads JSON arrays that span lines, one task per file; files
-    with a record per line split freely and are the form for large loads.
+    Files have a record per line and split freely. ``multi_line`` is for JSON
+    arrays that span lines, which take one task per file.
     Without a schema Spark infers one, at the cost of a pass over the files.
     """
 
@@ -29,7 +32,7 @@ class EntitySpec:
     path: str
     schema: T.StructType | None = None
     format: str = "json"
-    multi_line: bool = True
+    multi_line: bool = False
     options: Mapping[str, str] = field(default_factory=dict)
     source_url: str | None = None
     source_system: str = "landing_files"
@@ -48,10 +51,11 @@ def landed(base: str, names: Mapping[str, T.StructType] = schemas.ENTITIES, **fi
 
 
 def read_entity(spark: SparkSession, spec: EntitySpec, with_position: bool = False) -> DataFrame:
-    """The records as landed; a malformed one stops the run.
+    """The records as landed; a malformed one stops the run, in any text format.
 
     ``with_position`` adds columns that order the rows as they stand in the
-    files, whatever way Spark splits them: path, block start, row.
+    files, whatever way Spark splits them: path, block start, row. Sources that
+    aren't files have no such columns.
     """
     df = _reader(spark, spec, spec.schema, "FAILFAST").load(spec.path)
     return _positioned(df) if with_position else df
@@ -81,18 +85,23 @@ def read_entities(spark: SparkSession, specs: Mapping[str, EntitySpec], with_pos
 
 def _reader(spark: SparkSession, spec: EntitySpec, schema: T.StructType | None, mode: str):
     reader = spark.read.format(spec.format)
+    if spec.format in STRICT_FORMATS:
+        reader = reader.option("mode", mode)
     if spec.format == "json":
-        reader = reader.option("multiLine", spec.multi_line).option("mode", mode)
+        reader = reader.option("multiLine", spec.multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**spec.options)
 
 
 def _positioned(df: DataFrame) -> DataFrame:
+    try:
+        place = df.metadataColumn("_metadata")
+        file, block = place.getField("file_path"), place.getField("file_block_start")
+        df.select(file, block).schema
+    except AnalysisException:
+        return df
     # Within one block a single task reads in order, so the id grows there.
     return df.select(
-        "*",
-        F.col("_metadata.file_path").alias(POSITION[0]),
-        F.col("_metadata.file_block_start").alias(POSITION[1]),
-        F.monotonically_increasing_id().alias(POSITION[2]),
+        "*", file.alias(POSITION[0]), block.alias(POSITION[1]), F.monotonically_increasing_id().alias(POSITION[2])
     )

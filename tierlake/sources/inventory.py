@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierlake.sources.files import qualified
+
 LAYERS = ("bronze", "silver", "gold", "quality_reports")
 
 
 def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """Layer, path below it and size of every data file.
+    """Layer below the base, path below that and size of every data file.
 
     Only names and lengths are selected, so no file is opened.
     """
@@ -19,10 +21,11 @@ def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
         .load(base)
         .select("path", "length")
     )
-    parts = f"/({'|'.join(LAYERS)})/(.*)$"
-    below = F.regexp_extract("path", parts, 2)
+    inside = F.substring("path", len(qualified(spark, base)) + 2, 1 << 30)
+    parts = f"^({'|'.join(LAYERS)})/(.*)$"
+    below = F.regexp_extract(inside, parts, 2)
     return files.select(
-        F.nullif(F.regexp_extract("path", parts, 1), F.lit("")).alias("layer"),
+        F.nullif(F.regexp_extract(inside, parts, 1), F.lit("")).alias("layer"),
         F.regexp_extract(below, "^([^/]+)", 1).alias("dataset"),
         below.alias("file"),
         F.col("length").alias("bytes"),

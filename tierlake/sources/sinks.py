@@ -20,7 +20,7 @@ def write_table(df: DataFrame, path: str, *metrics: Column) -> dict[str, int]:
 
 
 def write_partitions(
-    df: DataFrame, path: str, by: Sequence[str] = tuple(DATE_PARTS), rebalance: bool = True
+    df: DataFrame, path: str, *metrics: Column, by: Sequence[str] = tuple(DATE_PARTS), rebalance: bool = True
 ) -> dict[str, int]:
     """Replace only the partitions present in ``df``.
 
@@ -35,7 +35,7 @@ def write_partitions(
     def write(out: DataFrame) -> None:
         _dynamic(out, by).parquet(path)
 
-    return _observed_write(df, (), write)
+    return _observed_write(df, metrics, write)
 
 
 def write_snapshot(df: DataFrame, path: str) -> dict[str, int]:
