@@ -2,43 +2,82 @@
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
 
-# White space at which a text can be cut without changing its ids.
+# White space at which a text can be cut without changing its ids; chunks of Latin-1
+# that need no normalization but lower case; the tokenizer's own cut of such chunks into words.
 CUTS = str.maketrans({"\t": " ", "\n": " ", "\r": " "})
+PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
-class PieceIds(dict):
-    """Packed ids of pieces between white space, remembered up to a bound."""
+class Remembered(dict):
+    """Packed ids by text, forgotten together when there are too many."""
+
+    most = 0
+
+    def keep(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
+class WordIds(Remembered):
+    """Packed ids of words, by the tokenizer."""
+
+    most = 800_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(piece) <= 64:
-            if len(self) > 300_000:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isascii():
+            ids = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(word)])
+        else:
+            ids = self.whole(word)
+        return self.keep(word, ids)
+
+
+class ChunkIds(Remembered):
+    """Packed ids of what stands between white space; plain chunks are put together from their words."""
+
+    most = 300_000
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.words = WordIds(path)
+
+    def __missing__(self, chunk: str) -> bytes:
+        if PLAIN.fullmatch(chunk) and "<|" not in chunk:
+            ids = b"".join([self.words[word] for word in WORDS.findall(chunk.lower())])
+        else:
+            ids = self.words.whole(chunk)
+        return self.keep(chunk, ids)
 
 
 @lru_cache(maxsize=2)
-def pieces_of(path: str) -> PieceIds:
-    return PieceIds(path)
+def chunks_of(path: str) -> ChunkIds:
+    return ChunkIds(path)
 
 
 def token_ids(text: str, path: str) -> np.ndarray:
-    """Ids as the tokenizer gives them for the whole text.
+    """Ids as the tokenizer of word_bpe_49k.json gives them for the whole text.
 
-    Only for tokenizers that drop white space and never join across it, as they
-    give the same ids for the pieces between it.
+    It drops white space and never joins across it, so the chunks between give the
+    same ids one by one; the words of a chunk don't depend on each other either.
     """
-    pieces = pieces_of(path)
-    packed = b"".join([pieces[piece] for piece in text.translate(CUTS).split(" ") if piece])
+    chunks = chunks_of(path)
+    packed = b"".join([chunks[chunk] for chunk in text.translate(CUTS).split(" ") if chunk])
     return np.frombuffer(packed, "<u4")
