@@ -32,7 +32,11 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
-AT = F.struct("id", "file", "row")
+
+
+def here() -> Column:
+    """What the state retains of a row."""
+    return F.struct("id", "file", "row")
 
 
 def sha256(content: Column) -> Column:
@@ -64,7 +68,7 @@ class DedupState:
             .option("maxBytesPerTrigger", bytes_per_batch)
             .parquet(f"{self.folder}/landed")
         )
-        retained = stream.groupBy("digest").agg(F.max(AT).alias("keep"), F.count("*").alias("size"))
+        retained = stream.groupBy("digest").agg(F.max(here()).alias("keep"), F.count("*").alias("size"))
         with settings(self.spark, ROCKSDB):
             run = (
                 retained.writeStream.format("noop").outputMode("update")
@@ -92,18 +96,18 @@ def decide(state: DedupState, docs: Located, identifier: str, text: str) -> Data
     retained = stored(state.retained(), "dedup-state")
     repeated = state.rows(docs, identifier, text).join(retained.where("size > 1"), "digest")
     repeated = stored(repeated, "dedup-hits")
-    hits = repeated.where(~AT.eqNullSafe(F.col("keep")))
-    holders = repeated.where(AT.eqNullSafe(F.col("keep"))).select("digest", F.col("content").alias("held"))
+    hits = repeated.where(~here().eqNullSafe(F.col("keep")))
+    holders = repeated.where(here().eqNullSafe(F.col("keep"))).select("digest", F.col("content").alias("held"))
     # Not made distinct here: Spark splits a hot digest only if nothing above the join needs its rows together.
     accidents = stored(hits.join(holders, "digest").where("content <> held").select("digest"), "dedup-accidents")
 
     rows = state.landed().join(retained, "digest")
     if not accidents.isEmpty():
         apart = repeated.drop("keep", "size").join(accidents, "digest", "left_semi")
-        holders = apart.groupBy("digest", "content").agg(F.max(AT).alias("keep"), F.count("*").alias("size"))
+        holders = apart.groupBy("digest", "content").agg(F.max(here()).alias("keep"), F.count("*").alias("size"))
         apart = apart.join(holders, ["digest", "content"]).drop("content")
         rows = rows.join(accidents, "digest", "left_anti").unionByName(apart)
-    return rows.withColumn("kept", AT.eqNullSafe(F.col("keep")))
+    return rows.withColumn("kept", here().eqNullSafe(F.col("keep")))
 
 
 def deduplicate(
