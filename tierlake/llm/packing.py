@@ -78,17 +78,16 @@ class Lengths:
 
     def best_pair(self, room: int, without: int) -> int:
         """The largest sum of two pieces up to room, 0 if none."""
-        best, high = 0, bisect.bisect_right(self.order, room) - 1
-        low = 0
+        left = {length: self.counts[length] - (length == without) for length in self.order}
+        own = [length for length, n in left.items() if n and length < room]
+        best, low, high = 0, 0, len(own) - 1
         while low <= high:
-            a, b = self.order[low], self.order[high]
-            need = 2 if a == b else 1
-            enough = all(self.counts[x] - (x == without) >= need for x in (a, b))
-            if a + b > room:
+            if own[low] + own[high] > room:
                 high -= 1
-            else:
-                best = max(best, a + b) if enough else best
-                low += 1
+                continue
+            if low < high or left[own[low]] > 1:
+                best = max(best, own[low] + own[high])
+            low += 1
         return best
 
 
