@@ -77,6 +77,8 @@ class Located:
     columns: list[str]
     file: str
     row: str
+    #: Numbers used if the rows are numbered.
+    total: int = 0
 
 
 def located(docs: DataFrame) -> Located:
@@ -99,23 +101,23 @@ def located(docs: DataFrame) -> Located:
 
 
 def numbered(docs: DataFrame) -> Located:
-    """The rows with a number in `row` that is unique and stays the same on every read of these files.
+    """The rows with a number from 0 in `row` that is unique and stays the same on every read of these files.
 
-    The table of file numbers has a row per file. It is broadcast up to
+    The table of first numbers has a row per file. It is broadcast up to
     BROADCAST_BYTES and joined as any other table beyond, which moves the rows.
     """
     rows = located(docs)
-    paths = sorted(row[0] for row in rows.frame.select(rows.file).distinct().collect())
-    number = fresh([*rows.columns, rows.file, rows.row], "_number")
-    files = docs.sparkSession.createDataFrame(
-        list(zip(paths, range(len(paths)), strict=True)), f"`{rows.file}` string, `{number}` bigint"
-    )
-    if sum(map(len, paths)) <= BROADCAST_BYTES:
+    sizes = rows.frame.groupBy(rows.file).agg(F.max(rows.row) + 1)
+    firsts, total = [], 0
+    for path, size in sorted(tuple(row) for row in sizes.collect()):
+        firsts.append((path, total))
+        total += size
+    first = fresh([*rows.columns, rows.file, rows.row], "_first")
+    files = docs.sparkSession.createDataFrame(firsts, f"`{rows.file}` string, `{first}` bigint")
+    if sum(len(path) + 16 for path, _ in firsts) <= BROADCAST_BYTES:
         files = F.broadcast(files)
-    frame = rows.frame.join(files, rows.file).withColumn(
-        rows.row, F.shiftleft(F.col(number), 40) + F.col(rows.row)
-    )
-    return Located(frame.select(*rows.columns, rows.file, rows.row), rows.columns, rows.file, rows.row)
+    frame = rows.frame.join(files, rows.file).withColumn(rows.row, F.col(first) + F.col(rows.row))
+    return Located(frame.select(*rows.columns, rows.file, rows.row), rows.columns, rows.file, rows.row, total)
 
 
 def plain_text(column: str) -> Column:

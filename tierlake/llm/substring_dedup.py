@@ -33,8 +33,9 @@ from tierlake.llm.common import Located, numbered, plain_text, ship, stored
 from tierlake.llm.postings import PACKED, buckets_for, pack, shared_postings
 from tierlake.llm.shingles import windows, word_hashes
 
-PLACE = np.dtype([("row", "<u4"), ("at", "<u4")])
-MARKS = "rid bigint, marks binary"
+#: Documents whose texts and marks a task holds at once.
+TOGETHER = 64
+MARKS = "part bigint, marks binary"
 
 
 @dataclass(frozen=True)
@@ -67,82 +68,95 @@ class Cover:
         return np.flatnonzero(np.cumsum(change)[: max(words - self.window + 1, 0)] > 0)
 
 
+@dataclass(frozen=True)
+class Places:
+    """Documents by number and positions in them, packed into one number."""
+
+    shift: int
+
+    @classmethod
+    def of(cls, rows: Located, longest: int) -> Places:
+        shift = max(longest, 1).bit_length()
+        if shift + rows.total.bit_length() > 63:
+            raise ValueError("documents and positions don't fit into 63 bits")
+        return cls(shift)
+
+    def packed(self, number: int, positions: np.ndarray) -> np.ndarray:
+        return (positions + (number << self.shift)).astype(np.uint64)
+
+    def parts(self, places: np.ndarray) -> np.ndarray:
+        """Numbers of the parts of the corpus that the places are in."""
+        return (places >> np.uint64(self.shift)).astype(np.int64) // TOGETHER
+
+    def by_document(self, numbers: pd.Series, marks: pd.Series) -> Iterator[np.ndarray]:
+        """The marked positions of each document of a part."""
+        places = np.unique(np.frombuffer(b"".join(marks), np.uint64)).astype(np.int64)
+        for number in numbers:
+            start, end = np.searchsorted(places, [number << self.shift, (number + 1) << self.shift])
+            yield places[start:end] - (number << self.shift)
+
+
 def packed_texts(rows: Located, identifier: str, text: str) -> DataFrame:
-    """rid, doc_id and the compressed text, which is what travels."""
+    """part, rid, doc_id and the compressed text, which is what travels."""
     pack_text = F.pandas_udf(
         lambda texts: pd.Series([zstandard.compress(x.encode("utf-8", "surrogatepass")) for x in texts]), "binary"
     )
     return rows.frame.select(
-        F.col(rows.row).alias("rid"), F.col(identifier).alias("doc_id"), pack_text(plain_text(text)).alias("packed")
+        F.floor(F.col(rows.row) / TOGETHER).alias("part"), F.col(rows.row).alias("rid"),
+        F.col(identifier).alias("doc_id"), pack_text(plain_text(text)).alias("packed"),
     )
 
 
-def marked(packed: DataFrame) -> DataFrame:
-    """rid and marks, the places in its text whose hash occurs again, once or more often."""
+def marked(packed: DataFrame, places: Places) -> DataFrame:
+    """part and marks: places whose hash occurs again, by parts of the corpus; some may come twice."""
 
-    def unpack(keys: np.ndarray, payloads: np.ndarray, bases: np.ndarray) -> pd.DataFrame:
-        rids = bases + payloads["row"].astype(np.int64)
-        order = np.argsort(rids, kind="stable")
-        rids, at = rids[order], payloads["at"][order]
-        starts = np.flatnonzero(np.r_[True, rids[1:] != rids[:-1]]) if len(rids) else []
-        ends = [*starts[1:], len(rids)]
+    def unpack(keys: np.ndarray, found: np.ndarray, _: np.ndarray) -> pd.DataFrame:
+        found = np.sort(found)
+        parts = places.parts(found)
+        starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(parts) else np.empty(0, np.int64)
+        ends = [*starts[1:], len(parts)]
         return pd.DataFrame({
-            "rid": rids[starts] if len(rids) else np.empty(0, np.int64),
-            "marks": [at[start:end].tobytes() for start, end in zip(starts, ends, strict=False)],
+            "part": parts[starts], "marks": [found[start:end].tobytes() for start, end in zip(starts, ends, strict=False)],
         })
 
-    found = shared_postings(packed, np.uint64, PLACE, unpack, MARKS)
-    return found.groupBy("rid").agg(F.collect_list("marks").alias("marks"))
-
-
-def places(rids: list[int], keys: list[np.ndarray], positions: list[np.ndarray], buckets: int) -> Iterator[pd.DataFrame]:
-    """Packed postings of a batch; rows of one file part count from a common base."""
-    bases = np.array(rids, np.int64) >> 32 << 32
-    for base in np.unique(bases):
-        own = [k for k in range(len(rids)) if bases[k] == base]
-        payloads = np.empty(sum(len(keys[k]) for k in own), PLACE)
-        payloads["row"] = np.repeat([rids[k] - int(base) for k in own], [len(keys[k]) for k in own])
-        payloads["at"] = np.concatenate([positions[k] for k in own])
-        yield pack(np.concatenate([keys[k] for k in own]), payloads, buckets, int(base))
-
+    return shared_postings(packed, np.uint64, np.dtype(np.uint64), unpack, MARKS)
 
-def unmark(marks) -> np.ndarray:
-    return np.frombuffer(b"".join(marks), "<u4").astype(np.int64) if marks is not None else np.empty(0, np.int64)
 
+def repeated_windows(rows: Located, text: str, cover: Cover) -> tuple[Places, DataFrame]:
+    """part and marks: the starts of windows that occur again."""
+    chars, longest = rows.frame.agg(F.sum(F.length(text)), F.max(F.length(text))).first()
+    places = Places.of(rows, longest or 0)
+    buckets = buckets_for(rows.frame, (chars or 0) / 5 * len(cover.cover) / cover.period)
 
-def repeated_windows(rows: Located, text: str, cover: Cover) -> DataFrame:
-    """rid and marks, the starts of windows that occur again."""
-    chars = rows.frame.agg(F.sum(F.length(text))).first()[0] or 0
-    buckets = buckets_for(rows.frame, chars / 5 * len(cover.cover) / cover.period)
+    def gathered(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        empty = [(np.empty(0, np.uint64), np.empty(0, np.uint64))]
+        keys, at = (np.concatenate(column) for column in zip(*(found or empty), strict=True))
+        return pack(keys, at, buckets)
 
     def anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rids, keys, positions = [], [], []
+            found = []
             for rid, content in zip(batch["rid"], batch["content"], strict=True):
                 words = word_hashes(content.encode("utf-8", "surrogatepass"))
                 if len(words) >= cover.window:
                     hashes = windows(words, cover.anchor)
-                    positions.append(cover.positions(len(hashes)))
-                    keys.append(hashes[positions[-1]])
-                    rids.append(rid)
-            if rids:
-                yield from places(rids, keys, positions, buckets)
-
-    def extensions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rids, keys, positions = [], [], []
-            for rid, packed, marks in zip(batch["rid"], batch["packed"], batch["marks"], strict=True):
+                    at = cover.positions(len(hashes))
+                    found.append((hashes[at], places.packed(rid, at)))
+            yield gathered(found)
+
+    def extensions(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for rid, packed, near in zip(texts["rid"], texts["packed"], places.by_document(texts["rid"], marks["marks"]), strict=True):
+            if len(near):
                 words = word_hashes(zstandard.decompress(packed))
-                positions.append(cover.around(unmark(marks), len(words)))
-                keys.append(windows(words, cover.window)[positions[-1]])
-                rids.append(rid)
-            if rids:
-                yield from places(rids, keys, positions, buckets)
+                at = cover.around(near, len(words))
+                found.append((windows(words, cover.window)[at], places.packed(rid, at)))
+        return gathered(found)
 
     texts = rows.frame.select(F.col(rows.row).alias("rid"), plain_text(text).alias("content"))
-    near = marked(texts.mapInPandas(anchors, PACKED))
-    around = packed_texts(rows, rows.row, text).join(near, "rid").mapInPandas(extensions, PACKED)
-    return stored(marked(around), "substring-windows")
+    near = marked(texts.mapInPandas(anchors, PACKED), places).groupBy("part")
+    around = packed_texts(rows, rows.row, text).groupBy("part").cogroup(near).applyInPandas(extensions, PACKED)
+    return places, stored(marked(around, places), "substring-windows")
 
 
 def covered(starts: np.ndarray, words: int, window: int) -> np.ndarray:
@@ -157,26 +171,25 @@ def cleaned(docs: DataFrame, identifier: str = "doc_id", text: str = "text", cov
     """doc_id, n_words, n_removed, kept_sha256 and, if wanted, the kept text of every document."""
     ship(docs.sparkSession)
     rows = numbered(docs)
-    starts = repeated_windows(rows, text, cover)
+    places, starts = repeated_windows(rows, text, cover)
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text
 
-    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc_id, packed, marks in zip(batch["doc_id"], batch["packed"], batch["marks"], strict=True):
-                words = zstandard.decompress(packed).split()
-                kept = words
-                if marks is not None:
-                    gone = covered(np.unique(unmark(marks)), len(words), cover.window)
-                    kept = [word for word, drop in zip(words, gone.tolist(), strict=True) if not drop]
-                content = b" ".join(kept)
-                shown = [content.decode("utf-8", "surrogatepass")] * with_text
-                out.append((doc_id, len(words), len(words) - len(kept), sha256(content).hexdigest(), *shown))
-            yield pd.DataFrame(out, columns=names)
+    def remove(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for doc_id, packed, begun in zip(texts["doc_id"], texts["packed"], places.by_document(texts["rid"], marks["marks"]), strict=True):
+            words = kept = zstandard.decompress(packed).split()
+            if len(begun):
+                gone = covered(begun, len(words), cover.window)
+                kept = [word for word, drop in zip(words, gone.tolist(), strict=True) if not drop]
+            content = b" ".join(kept)
+            shown = [content.decode("utf-8", "surrogatepass")] * with_text
+            out.append((doc_id, len(words), len(words) - len(kept), sha256(content).hexdigest(), *shown))
+        return pd.DataFrame(out, columns=names).astype({"doc_id": texts["doc_id"].dtype})
 
     kind = rows.frame.schema[identifier].dataType.simpleString()
     schema = f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text
-    return packed_texts(rows, identifier, text).join(starts, "rid", "left").select("doc_id", "packed", "marks").mapInPandas(remove, schema)
+    texts = packed_texts(rows, identifier, text).groupBy("part")
+    return texts.cogroup(starts.groupBy("part")).applyInPandas(remove, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
