@@ -1,0 +1,109 @@
+"""The quality classifier, and the pipeline."""
+
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import cases
+import corpus_pipeline
+from tierlake.llm import quality
+from tierlake.llm.common import stored
+from tierlake.llm.queries import ORACLES, QUERIES
+
+
+def learned(spark, sf_dir):
+    features = quality.measured(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return features, quality.train(features, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    found = QUERIES["op4_quality"](spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = found.join(labels, "doc_id").where("held_out").collect()
+    right = sum(row.predicted == row.quality for row in rows) / len(rows)
+    assert len(rows) > 50 and right > 0.95
+    assert found.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_expression_equals_the_rules_in_python(spark, sf_dir):
+    features, rules = learned(spark, sf_dir)
+    assert 0 < len(rules.weighted) < 150
+    scores = {row.doc_id: row for row in quality.scored(features, rules).collect()}
+    for row in features.collect():
+        margin = rules.intercept
+        for rule, weight in rules.weighted:
+            margin += weight * all((row[n] <= b) if most else (row[n] > b) for n, most, b in rule)
+        import math
+
+        got = scores[row.doc_id]
+        assert got.score == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-12)
+        assert got.predicted == int(got.score >= 0.5)
+        assert got.held_out == (zlib.crc32(str(row.doc_id).encode()) % 3 == 1)
+
+
+def test_statistics_of_awkward_texts(spark, tmp_path):
+    docs = cases.documents(spark, tmp_path)
+    found = quality.measured(docs).collect()
+    assert len(found) == len(cases.texts())
+    assert all(value is not None for row in found for name, value in row.asDict().items() if name != "doc_id")
+    shout = quality.measured(cases.documents(spark, tmp_path / "s", [(1, "AB!! Cd, ef | gh\nx\nx", None)])).first()
+    assert (shout.capital_words, shout.exclamations, shout.bars) == (1 / 7, 2 / 7, 1 / 7)
+    assert shout.repeated_lines == pytest.approx(1 / 3)
+
+
+def test_without_labels_or_with_one_class(spark, tmp_path):
+    docs = cases.documents(spark, tmp_path)
+    features = quality.measured(docs)
+    nothing = spark.createDataFrame([(1, None), (999_999, 1), (None, 1)], "doc_id bigint, quality int")
+    rules = quality.train(features, nothing)
+    assert {row.score for row in quality.scored(features, rules).select("score").distinct().collect()} == {0.5}
+    good = spark.createDataFrame([(k, 1) for k in range(60)], "doc_id bigint, quality int")
+    assert quality.accepted(docs, quality.train(features, good)).count() == docs.count()
+    assert quality.accepted(docs, quality.train(features, good)).columns == docs.columns
+    none = cases.nothing(spark, tmp_path / "none")
+    assert quality.scored(quality.measured(none), rules).count() == 0
+
+
+def test_held_out_labels_are_never_learned(spark, sf_dir):
+    features = quality.measured(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    turned = labels.withColumn("quality", F.when(quality.held_out("doc_id"), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert quality.train(features, labels) == quality.train(features, turned)
+
+
+def test_pipeline_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, counts = docs.columns, []
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES, 1):
+        kept = stored(stage(spark, docs, sf_dir), "test-stage")
+        if number < len(corpus_pipeline.STAGES):
+            assert kept.columns == columns
+        if number < 4:
+            assert kept.join(docs, columns, "left_anti").count() == 0 and kept.count() < docs.count()
+        if number == 4:
+            assert kept.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
+        counts.append(kept.count())
+        docs = kept
+    assert counts[-1] >= counts[-2] and docs.columns[-2:] == ["sequence_id", "offset"]
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 0").select("doc_id")
+    # A dozen labels to learn from leave a mistake or two; the accuracy test has more.
+    assert docs.join(labels, "doc_id", "left_semi").select("doc_id").distinct().count() < labels.count() / 3
+
+
+def test_pipeline_on_awkward_and_on_no_documents(spark, tmp_path):
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(0)], "doc_id bigint, quality int, toxic int")
+    for name, rows in {"some": cases.texts(), "none": []}.items():
+        folder = tmp_path / name
+        folder.mkdir()
+        cases.documents(spark, folder, rows)
+        labels.write.parquet(str(folder / "labels.parquet"))
+        packed = corpus_pipeline.run(spark, str(folder))
+        distinct = {text or "" for _, text, _ in rows}
+        assert packed.count() >= (1 if rows else 0) and packed.select("doc_id").distinct().count() <= max(len(distinct), 0)
+
+
+def test_every_operator_has_a_query():
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert set(ORACLES) <= set(QUERIES)
