@@ -1,5 +1,6 @@
 """The quality classifier, and the pipeline."""
 
+import math
 import zlib
 
 import pytest
@@ -35,8 +36,6 @@ def test_expression_equals_the_rules_in_python(spark, sf_dir):
         margin = rules.intercept
         for rule, weight in rules.weighted:
             margin += weight * all((row[n] <= b) if most else (row[n] > b) for n, most, b in rule)
-        import math
-
         got = scores[row.doc_id]
         assert got.score == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-12)
         assert got.predicted == int(got.score >= 0.5)
@@ -51,6 +50,16 @@ def test_statistics_of_awkward_texts(spark, tmp_path):
     shout = quality.measured(cases.documents(spark, tmp_path / "s", [(1, "AB!! Cd, ef | gh\nx\nx", None)])).first()
     assert (shout.capital_words, shout.exclamations, shout.bars) == (1 / 7, 2 / 7, 1 / 7)
     assert shout.repeated_lines == pytest.approx(1 / 3)
+    assert shout.words == pytest.approx(math.log1p(7)) and shout.capitals == 3 / 18
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", "\n", "É!", "x" * 9, " leading and trailing ", "HELLO WORLD", "..??!!"])
+def test_words_and_marks_against_python(text):
+    found = dict(zip(quality.NAMES, quality.measure(text), strict=True))
+    words = len(cases.words(text))
+    assert found["words"] == pytest.approx(math.log1p(words))
+    assert found["exclamations"] == text.count("!") / max(words, 1)
+    assert found["doubled_marks"] == sum(a == b and a in ".?!" for a, b in zip(text, text[1:])) / max(words, 1)
 
 
 def test_without_labels_or_with_one_class(spark, tmp_path):

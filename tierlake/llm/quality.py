@@ -1,10 +1,10 @@
 """A quality classifier as a sparse ensemble of rules.
 
-Statistics of a text are Spark expressions over the whole text. Shallow trees of a
+Statistics of a text count its bytes by class, over the whole text. Shallow trees of a
 random forest, fitted on them, give paths; each path is a rule, a conjunction of
 comparisons. A logistic model with a lasso penalty weighs the rules and leaves
-most at zero. What remains is compiled into one Spark expression, which scores any
-frame with a text column without a join, a shuffle or Python.
+most at zero. What remains is compiled into one Spark expression over the statistics,
+which scores any frame with a text column without a join or a shuffle.
 
 * Null texts count as empty; empty texts get a score like any other.
 * Labels, language, source and identifier are never read by the expression.
@@ -20,38 +20,63 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import log
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import WORD, fresh, plain_text, stored
-
-
-def statistics(text: str) -> dict[str, Column]:
-    """Statistics of a text column by name."""
-    content = plain_text(text)
-    count = lambda pattern: F.regexp_count(content, F.lit(pattern)).cast("double")
-    chars = F.length(content).cast("double")
-    words = count(WORD)
-    lines = F.split(content, "\n")
-    n_lines = F.size(lines).cast("double")
-    per = lambda value, whole: value / F.greatest(whole, F.lit(1.0))
-    return {
-        "words": F.log1p(words),
-        "word_length": per(chars, words),
-        "line_length": F.log1p(per(chars, n_lines)),
-        "capitals": per(count(r"\p{Lu}"), chars),
-        "capital_words": per(count(r"\b\p{Lu}\p{Lu}+"), words),
-        "digits": per(count(r"\p{Nd}"), chars),
-        "symbols": per(count(r"[#$%&*+<=>@\\^_`{|}~]"), words),
-        "bars": per(count(r"\|"), words),
-        "exclamations": per(count("!"), words),
-        "sentence_ends": per(count(r"\p{Ll}[.?]"), words),
-        "doubled_marks": per(count(r"([^\p{L}\p{Nd}\s])\1"), words),
-        "repeated_lines": 1 - per(F.size(F.array_distinct(lines)).cast("double"), n_lines),
-        "other_characters": per(count(r"[^\p{L}\p{M}\p{Nd}\p{P}\p{S}\s]"), chars),
-    }
+from tierlake.llm.common import fresh, plain_text, ship, stored
+
+
+# Classes of bytes.
+SPACE, LOWER, UPPER, DIGIT, SYMBOL, MARK, BEYOND, CONTROL = range(8)
+CLASSES = np.full(256, CONTROL, np.uint8)
+CLASSES[128:] = BEYOND
+for _kind, _bytes in [
+    (SPACE, b" \t\n\v\f\r"), (LOWER, bytes(range(97, 123))), (UPPER, bytes(range(65, 91))), (DIGIT, bytes(range(48, 58))),
+    (SYMBOL, b"#$%&*+<=>@\\^_`{|}~"), (MARK, b"!\"'(),-./:;?[]"),
+]:
+    CLASSES[list(_bytes)] = _kind
+
+NAMES = (
+    "words", "word_length", "line_length", "capitals", "capital_words", "digits", "symbols", "bars", "exclamations",
+    "sentence_ends", "doubled_marks", "repeated_lines", "controls",
+)
+
+
+def measure(text: str) -> tuple[float, ...]:
+    """The statistics of a whole text, in the order of their names."""
+    content = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    often = np.bincount(content, minlength=256)
+    kinds = CLASSES[content]
+    by_kind = np.bincount(CLASSES, weights=often, minlength=8)
+    space, upper = kinds == SPACE, kinds == UPPER
+    words = int(np.count_nonzero(~space[1:] & space[:-1])) + int(len(space) > 0 and not space[0])
+    lines = text.split("\n")
+    pairs = upper[1:] & upper[:-1]
+    shouted = int(np.count_nonzero(pairs[1:] & ~pairs[:-1])) + int(len(pairs) > 0 and pairs[0])
+    ends = (content[1:] == ord(".")) | (content[1:] == ord("?"))
+    ended = np.count_nonzero(ends & ((kinds[:-1] == LOWER) | (kinds[:-1] == BEYOND)))
+    doubled = np.count_nonzero((content[1:] == content[:-1]) & ((kinds[1:] == SYMBOL) | (kinds[1:] == MARK)))
+    per_word, per_char = 1 / max(words, 1), 1 / max(len(text), 1)
+    return (
+        float(np.log1p(words)), len(text) * per_word, float(np.log1p(len(text) / len(lines))),
+        by_kind[UPPER] * per_char, shouted * per_word, by_kind[DIGIT] * per_char, by_kind[SYMBOL] * per_word,
+        often[ord("|")] * per_word, often[ord("!")] * per_word, ended * per_word, doubled * per_word,
+        1 - len(set(lines)) / len(lines), by_kind[CONTROL] * per_char,
+    )
+
+
+def statistics(text: str) -> Column:
+    """A struct of the statistics of a text column; a task holds one text's arrays at a time."""
+
+    @F.pandas_udf(", ".join(f"{name} double" for name in NAMES))
+    def measured_batch(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([measure(content) for content in texts], columns=list(NAMES), dtype="float64")
+
+    return measured_batch(plain_text(text))
 
 
 #: A comparison: statistic, whether it must be at most the bound, bound.
@@ -72,9 +97,6 @@ class Rules:
             margin = margin + F.when(holds(rule, values), weight).otherwise(0.0)
         return 1 / (1 + F.exp(-margin))
 
-    def used(self) -> set[str]:
-        return {name for rule, _ in self.weighted for name, _, _ in rule}
-
 
 def holds(rule: tuple[Test, ...], values: dict[str, Column]) -> Column:
     tests = [values[name] <= bound if most else values[name] > bound for name, most, bound in rule]
@@ -132,14 +154,14 @@ def held_out(identifier: str) -> Column:
 
 def measured(docs: DataFrame, identifier: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and the statistics of every document, stored."""
-    return stored(docs.select(F.col(identifier).alias("doc_id"), *[
-        value.alias(name) for name, value in statistics(text).items()
-    ]), "quality-statistics")
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(identifier).alias("doc_id"), statistics(text).alias("statistics"))
+    return stored(rows.select("doc_id", "statistics.*"), "quality-statistics")
 
 
 def train(features: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = 20_000) -> Rules:
     """Rules learned from the labels of documents that are not held out."""
-    names = list(statistics("text"))
+    names = list(NAMES)
     known = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("double").alias("label"))
     known = known.where(~held_out("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(fit_rows)
     sample = stored(features.join(known, "doc_id").select("label", *names), "quality-sample")
@@ -155,9 +177,10 @@ def scored(features: DataFrame, rules: Rules) -> DataFrame:
 
 def accepted(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
     """The documents that score at least 0.5."""
-    values = {name: value for name, value in statistics(text).items() if name in rules.used()}
-    score = fresh(docs.columns, "_score")
-    return docs.withColumn(score, rules.score(values)).where(F.col(score) >= 0.5).drop(score)
+    ship(docs.sparkSession)
+    found = fresh(docs.columns, "_statistics")
+    values = {name: F.col(found).getField(name) for name in NAMES}
+    return docs.withColumn(found, statistics(text)).where(rules.score(values) >= 0.5).drop(found)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
