@@ -25,7 +25,7 @@ HEADLINE = [
     "gold_user_profile", "gold_city_analysis", "gold_global_kpis",
     "silver_users", "silver_posts_text", "silver_todos_status",
     "dedup_keep_first", "record_hash", "title_case", "word_count",
-    "dq_suite_users", "dq_suite_posts", "dq_suite_profile", "dq_referential", "dq_unique",
+    "dq_suite_users", "dq_suite_posts", "dq_suite_profile", "dq_referential", "dq_unique", "dq_summary",
     "bronze_partition_roundtrip", "raw_to_processed",
 ]
 

@@ -18,7 +18,9 @@ which scores any frame with a text column without a join or a shuffle.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import islice
 from math import log
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -42,7 +44,7 @@ for _kind, _bytes in [
 
 NAMES = (
     "words", "word_length", "line_length", "capitals", "capital_words", "digits", "symbols", "bars", "exclamations",
-    "sentence_ends", "doubled_marks", "repeated_lines", "controls",
+    "sentence_ends", "doubled_marks", "repeated_lines", "controls", "stutter",
 )
 
 
@@ -52,9 +54,9 @@ def measure(text: str) -> tuple[float, ...]:
     often = np.bincount(content, minlength=256)
     kinds = CLASSES[content]
     by_kind = np.bincount(CLASSES, weights=often, minlength=8)
-    space, upper = kinds == SPACE, kinds == UPPER
-    words = int(np.count_nonzero(~space[1:] & space[:-1])) + int(len(space) > 0 and not space[0])
-    lines = text.split("\n")
+    upper = kinds == UPPER
+    tokens, lines = content.tobytes().split(), text.split("\n")
+    words = len(tokens)
     pairs = upper[1:] & upper[:-1]
     shouted = int(np.count_nonzero(pairs[1:] & ~pairs[:-1])) + int(len(pairs) > 0 and pairs[0])
     ends = (content[1:] == ord(".")) | (content[1:] == ord("?"))
@@ -66,6 +68,7 @@ def measure(text: str) -> tuple[float, ...]:
         by_kind[UPPER] * per_char, shouted * per_word, by_kind[DIGIT] * per_char, by_kind[SYMBOL] * per_word,
         often[ord("|")] * per_word, often[ord("!")] * per_word, ended * per_word, doubled * per_word,
         1 - len(set(lines)) / len(lines), by_kind[CONTROL] * per_char,
+        sum(map(eq, tokens, islice(tokens, 1, None))) * per_word,
     )
 
 
@@ -126,7 +129,7 @@ def paths(model, names: list[str]) -> list[tuple[Test, ...]]:
     return sorted(found)
 
 
-def fit(sample: DataFrame, names: list[str], trees: int = 16, depth: int = 3, penalty: float = 0.002, seed: int = 7) -> Rules:
+def fit(sample: DataFrame, names: list[str], trees: int = 20, depth: int = 3, penalty: float = 0.0005, seed: int = 7) -> Rules:
     """Rules from a bounded sample with the statistics and a label 0 or 1."""
     counts = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
     good, bad = counts.get(1.0, 0), counts.get(0.0, 0)
