@@ -40,7 +40,7 @@ def texts(seed=5):
     rng.shuffle(order)
     made = [(order[k], text, f"s{order[k] % 5}" if order[k] % 7 else None) for k, text in enumerate(rows)]
     # A repeated row, and rows without an identifier.
-    return [*made, made[2], (None, "nameless text of several words here", "s1"), (None, None, "s1")]
+    return [*made, made[2], (2**62 + 1, "large number here", "s2"), (None, "nameless text of several words here", "s1"), (None, None, "s1")]
 
 
 def documents(spark, folder, rows=None, parts=3):

@@ -120,6 +120,11 @@ def numbered(docs: DataFrame) -> Located:
     return Located(frame.select(*rows.columns, rows.file, rows.row), rows.columns, rows.file, rows.row, total)
 
 
+def spelled(column: str) -> Column:
+    """An identifier on its way through pandas, which would round large ones beside nulls; to be cast back."""
+    return F.col(column).cast("string").alias("doc_id")
+
+
 def plain_text(column: str) -> Column:
     """The text, with null as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import located, plain_text, ship, stored
+from tierlake.llm.common import located, plain_text, ship, spelled, stored
 
 LEVELS, LANES, DENSE = 4, 48, 8
 PIECE = re.compile(r"\n|(?<=[.!?]) ")
@@ -146,12 +146,12 @@ def fingerprints(docs: DataFrame, identifier: str = "doc_id", text: str = "text"
             yield pd.DataFrame(out, columns=COLUMNS)
 
     ordered = rows.frame.select(
-        F.col(identifier).alias("doc_id"), plain_text(text).alias("content"),
-        F.col(rows.file).alias("file"), F.col(rows.row).alias("row"),
+        spelled(identifier), plain_text(text).alias("content"),
+        F.col(identifier).alias("id"), F.col(rows.file).alias("file"), F.col(rows.row).alias("row"),
     )
-    order = [F.desc("doc_id"), F.col("file"), F.col("row")]
+    order = [F.desc("id"), F.col("file"), F.col("row")]
     ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order)
-    walked = stored(ordered.mapInPandas(walk, f"doc_id {kind}, {TYPES}, part int, head string, tail string"), "fingerprints")
+    walked = stored(ordered.mapInPandas(walk, f"doc_id string, {TYPES}, part int, head string, tail string"), "fingerprints")
     # A row per partition from here on.
     heads = walked.where("head is not null").select("part", "head")
     follows = heads.select("part").select(
@@ -160,8 +160,8 @@ def fingerprints(docs: DataFrame, identifier: str = "doc_id", text: str = "text"
     )
     tails = walked.where("tail is not null").select("doc_id", "part", "tail").join(follows, "part")
     tails = tails.join(heads.withColumnRenamed("part", "next"), "next")
-    last = tails.select("doc_id", "tail", "head").mapInPandas(meet, f"doc_id {kind}, {TYPES}")
-    return walked.where("part is null").select(*COLUMNS).unionByName(last)
+    last = tails.select("doc_id", "tail", "head").mapInPandas(meet, f"doc_id string, {TYPES}")
+    return walked.where("part is null").select(*COLUMNS).unionByName(last).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import located, ship
+from tierlake.llm.common import located, ship, spelled
 from tierlake.llm.markup import Block, blocks
 
 #: Least tokens of a class, least pages it spans, and least share of the host's pages.
@@ -86,7 +86,7 @@ def extract(pages: DataFrame, identifier: str = "page_id", url: str = "url", htm
     ship(pages.sparkSession)
     rows = located(pages)
     read = rows.frame.select(
-        F.col(identifier).alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"),
+        spelled(identifier).alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"),
         F.coalesce(html, F.lit("")).alias("html"), F.xxhash64(rows.file, rows.row).alias("page"),
     )
     found = templates(read.select("host", "page", "html"))
@@ -103,7 +103,8 @@ def extract(pages: DataFrame, identifier: str = "page_id", url: str = "url", htm
 
     kind = rows.frame.schema[identifier].dataType.simpleString()
     joined = read.drop("page").join(found, "host", "left").select("page_id", "url", "html", "template")
-    return joined.mapInPandas(write, f"page_id {kind}, url string, text string, n_chars bigint")
+    extracted = joined.mapInPandas(write, "page_id string, url string, text string, n_chars bigint")
+    return extracted.withColumn("page_id", F.col("page_id").cast(kind))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import Located, numbered, plain_text, ship, stored
+from tierlake.llm.common import Located, numbered, plain_text, ship, spelled, stored
 from tierlake.llm.components import components
 from tierlake.llm.postings import PACKED, buckets_for, pack, shared_postings
 from tierlake.llm.shingles import set_name, shingle_set
@@ -114,9 +114,10 @@ def profiles(rows: Located, identifier: str, text: str, rule: Rule) -> DataFrame
         if held:
             yield repeated()
 
-    texts = rows.frame.select(F.col(rows.row).alias("rid"), F.col(identifier).alias("doc_id"), plain_text(text).alias("content"))
+    texts = rows.frame.select(F.col(rows.row).alias("rid"), spelled(identifier), plain_text(text).alias("content"))
     kind = rows.frame.schema[identifier].dataType.simpleString()
-    return texts.mapInPandas(read, f"rid bigint, doc_id {kind}, n bigint, node binary, common binary, counts binary")
+    found = texts.mapInPandas(read, "rid bigint, doc_id string, n bigint, node binary, common binary, counts binary")
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def common_table(profile: DataFrame) -> np.ndarray:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import located, plain_text, ranked, ship, stored
+from tierlake.llm.common import located, plain_text, ranked, ship, spelled, stored
 from tierlake.llm.tokens import token_ids
 
 
@@ -197,11 +197,12 @@ def pieces(
             yield pd.DataFrame(out, columns=names)
 
     kind = rows.frame.schema[identifier].dataType.simpleString()
-    schema = f"doc_id {kind}, file string, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return rows.frame.select(
-        F.col(identifier).alias("doc_id"), F.col(rows.file).alias("file"), F.col(rows.row).alias("row"),
+    schema = "doc_id string, file string, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+    found = rows.frame.select(
+        spelled(identifier), F.col(rows.file).alias("file"), F.col(rows.row).alias("row"),
         plain_text(text).alias("content"),
     ).mapInPandas(cut, schema + ", ids binary" * with_ids)
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, **options) -> DataFrame:
@@ -223,9 +224,12 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, **options) -> Da
                 sequence_id=first[run] + at // each[run], offset=offset[run] + at % each[run] * length
             )
 
-    shown = [field for field in placed.schema if field.name not in ("file", "row", "rank")]
+    kind = cut.schema["doc_id"].dataType
+    placed = placed.drop("file", "row").withColumn("doc_id", spelled("doc_id"))
+    shown = [field for field in placed.schema if field.name != "rank"]
     schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in shown)
-    return placed.drop("file", "row").mapInPandas(place, f"{schema}, sequence_id bigint, offset bigint")
+    found = placed.mapInPandas(place, f"{schema}, sequence_id bigint, offset bigint")
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def default_tokenizer() -> str:

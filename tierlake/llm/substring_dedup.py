@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import Located, numbered, plain_text, ship, stored
+from tierlake.llm.common import Located, numbered, plain_text, ship, spelled, stored
 from tierlake.llm.postings import PACKED, buckets_for, pack, shared_postings
 from tierlake.llm.shingles import windows, word_hashes
 
@@ -103,7 +103,7 @@ def packed_texts(rows: Located, identifier: str, text: str) -> DataFrame:
     )
     return rows.frame.select(
         F.floor(F.col(rows.row) / TOGETHER).alias("part"), F.col(rows.row).alias("rid"),
-        F.col(identifier).alias("doc_id"), pack_text(plain_text(text)).alias("packed"),
+        spelled(identifier), pack_text(plain_text(text)).alias("packed"),
     )
 
 
@@ -184,12 +184,13 @@ def cleaned(docs: DataFrame, identifier: str = "doc_id", text: str = "text", cov
             content = b" ".join(kept)
             shown = [content.decode("utf-8", "surrogatepass")] * with_text
             out.append((doc_id, len(words), len(words) - len(kept), sha256(content).hexdigest(), *shown))
-        return pd.DataFrame(out, columns=names).astype({"doc_id": texts["doc_id"].dtype})
+        return pd.DataFrame(out, columns=names)
 
     kind = rows.frame.schema[identifier].dataType.simpleString()
-    schema = f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text
+    schema = "doc_id string, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text
     texts = packed_texts(rows, identifier, text).groupBy("part")
-    return texts.cogroup(starts.groupBy("part")).applyInPandas(remove, schema)
+    found = texts.cogroup(starts.groupBy("part")).applyInPandas(remove, schema)
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
