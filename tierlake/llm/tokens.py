@@ -7,31 +7,40 @@ from functools import lru_cache
 
 import numpy as np
 
-# White space at which a text can be cut without changing its ids; chunks of Latin-1
-# that need no normalization but lower case; the tokenizer's own cut of such chunks into words.
-CUTS = str.maketrans({"\t": " ", "\n": " ", "\r": " "})
-PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
-WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+# Texts of Latin-1 that need no normalization but lower case, the tokenizer's own cut of
+# such texts into words, and white space at which any text can be cut without changing its ids.
+PLAIN = re.compile(r"[\x20-\x7e\t\n\rÀ-ÖØ-öø-ÿ]*")
+WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+CUTS = re.compile(r"[ \t\n\r]+")
 
 
 class Remembered(dict):
-    """Packed ids by text, forgotten together when there are too many."""
+    """Packed ids by text. When it is full the older half goes, but for what is used meanwhile."""
 
-    most = 0
+    most = 250_000
 
-    def keep(self, text: str, ids: bytes) -> bytes:
+    def __init__(self):
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.made(text)
         if len(text) <= 64:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
 
+    def made(self, text: str) -> bytes:
+        raise NotImplementedError
+
 
 class WordIds(Remembered):
     """Packed ids of words, by the tokenizer."""
 
-    most = 800_000
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -42,42 +51,40 @@ class WordIds(Remembered):
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if word.isascii():
-            ids = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(word)])
-        else:
-            ids = self.whole(word)
-        return self.keep(word, ids)
+    def made(self, text: str) -> bytes:
+        if text.isascii():
+            return b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(text)])
+        return self.whole(text)
 
 
 class ChunkIds(Remembered):
-    """Packed ids of what stands between white space; plain chunks are put together from their words."""
+    """Packed ids of chunks of other texts, between white space."""
 
-    most = 300_000
+    most = 25_000
 
-    def __init__(self, path: str):
+    def __init__(self, words: WordIds):
         super().__init__()
-        self.words = WordIds(path)
+        self.words = words
 
-    def __missing__(self, chunk: str) -> bytes:
-        if PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            ids = b"".join([self.words[word] for word in WORDS.findall(chunk.lower())])
-        else:
-            ids = self.words.whole(chunk)
-        return self.keep(chunk, ids)
+    def made(self, text: str) -> bytes:
+        return self.words.whole(text)
 
 
 @lru_cache(maxsize=2)
-def chunks_of(path: str) -> ChunkIds:
-    return ChunkIds(path)
+def tokens_of(path: str) -> tuple[WordIds, ChunkIds]:
+    words = WordIds(path)
+    return words, ChunkIds(words)
 
 
 def token_ids(text: str, path: str) -> np.ndarray:
     """Ids as the tokenizer of word_bpe_49k.json gives them for the whole text.
 
-    It drops white space and never joins across it, so the chunks between give the
-    same ids one by one; the words of a chunk don't depend on each other either.
+    It drops white space and never joins across it or from word to word, so the
+    parts give the same ids one by one.
     """
-    chunks = chunks_of(path)
-    packed = b"".join([chunks[chunk] for chunk in text.translate(CUTS).split(" ") if chunk])
+    words, chunks = tokens_of(path)
+    if PLAIN.fullmatch(text) and "<|" not in text:
+        packed = b"".join([words[word] for word in WORDS.findall(text.lower())])
+    else:
+        packed = b"".join([chunks[chunk] for chunk in CUTS.split(text) if chunk])
     return np.frombuffer(packed, "<u4")
