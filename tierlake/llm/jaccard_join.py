@@ -53,7 +53,7 @@ COMMON_MOST, COMMON_LEAST = 1 << 19, 8
 #: Shingles that are counted together in a task.
 COUNTED = 1 << 22
 #: Rounds in which sets outside their region are given to another pivot.
-ROUNDS = 4
+ROUNDS = 5
 
 NODE = np.dtype([("node", "V12"), ("n", "<i4")])
 
@@ -196,15 +196,18 @@ def overlaps(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
 def candidates(members: DataFrame, salt: int, tried: DataFrame, rule: Rule) -> DataFrame:
     """a, b: every set with a pivot of another label that it shares most cells with."""
-    members = members.select("cell", "node", "n", "label")
+    members = members.select("cell", "node", "n", "f", "label")
     draw = F.struct(
         F.xxhash64("label", F.lit(salt)).alias("by_label"), F.xxhash64("node", F.lit(salt)).alias("by_node"),
-        "label", F.col("node").alias("pivot"), F.col("n").alias("m"),
+        "label", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("f").alias("g"),
     )
     pivots = members.groupBy("cell").agg(
         F.min(draw).alias("p"), F.min("label").alias("low"), F.max("label").alias("high")
-    ).where("low <> high").select("cell", "p.pivot", "p.m", F.col("p.label").alias("other"))
-    met = members.join(pivots, "cell").where((F.col("label") != F.col("other")) & rule.similar_sizes(F.col("n"), F.col("m")))
+    ).where("low <> high").select("cell", "p.pivot", "p.m", "p.g", F.col("p.label").alias("other"))
+    met = members.join(pivots, "cell").where(
+        (F.col("label") != F.col("other")) & rule.similar_sizes(F.col("n"), F.col("m"))
+        & rule.may_link(F.col("n"), F.col("m"), F.least("f", "g"))
+    )
     counted = met.groupBy("node", "pivot").agg(F.count("*").alias("cells"), F.first("n").alias("n"), F.first("m").alias("m"))
     hopeful = counted.where(rule.may_link(F.col("n"), F.col("m"), 2 * F.col("cells")))
     fresh_pairs = hopeful.join(tried.select(F.col("a").alias("node"), F.col("b").alias("pivot")), ["node", "pivot"], "left_anti")
@@ -226,6 +229,13 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return moved.select(*labels.columns)
 
 
+def crowded_cells(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members with their new labels, without cells where all have one: their sets are connected."""
+    named = members.select("cell", "node", "n").join(labels.select("node", "f", "label"), "node")
+    several = named.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return named.join(several.select("cell"), "cell", "left_semi").select("cell", "node", "n", "f", "label")
+
+
 def boundary_pairs(members: DataFrame, tried: DataFrame, rule: Rule) -> DataFrame:
     """a, b: sets of different labels that share enough cells and pass the triangle inequality."""
     sizes = members.groupBy("cell", "label").agg(F.count("*").alias("size"))
@@ -233,17 +243,18 @@ def boundary_pairs(members: DataFrame, tried: DataFrame, rule: Rule) -> DataFram
     most = most.where("labels > 1").select("cell", F.col("most.label").alias("major"))
     crowded = members.join(most, "cell")
     few = crowded.where("label <> major").select(
-        "cell", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"),
+        "cell", F.col("node").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("label").alias("la"),
         F.col("pivot").alias("pa"), F.col("distance").alias("da"),
     )
     all_rows = crowded.select(
-        "cell", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), "major",
+        "cell", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("label").alias("lb"), "major",
         F.col("pivot").alias("pb"), F.col("distance").alias("db"),
     )
     once = (F.col("lb") == F.col("major")) | (F.col("a") < F.col("b"))
     apart = F.coalesce((F.col("pa") == F.col("pb")) & (F.abs(F.col("da") - F.col("db")) > 1 - rule.percent / 100 + 1e-9), F.lit(False))
     met = few.join(all_rows, "cell").where(
         (F.col("la") != F.col("lb")) & once & ~apart & rule.similar_sizes(F.col("na"), F.col("nb"))
+        & rule.may_link(F.col("na"), F.col("nb"), F.least("fa", "fb"))
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("na", "nb").alias("na"), F.greatest("na", "nb").alias("nb"))
     counted = met.groupBy("a", "b").agg(F.count("*").alias("cells"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     hopeful = counted.where(rule.may_link(F.col("na"), F.col("nb"), F.col("cells"))).select("a", "b")
@@ -268,7 +279,8 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     nodes = documents.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "rid")).alias("first")
     )
-    inside = stored(found.select("node", "n").distinct(), "join-nodes")
+    # f: cells of a set that others share; two sets share no more cells than either has.
+    inside = stored(found.groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("f")), "join-nodes")
     pack_text = F.pandas_udf(
         lambda texts: pd.Series([zstandard.compress(x.encode("utf-8", "surrogatepass")) for x in texts]), "binary"
     )
@@ -277,23 +289,25 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     texts = stored(whole.join(wanted, "rid").select("node", "n", pack_text("content").alias("packed")), "join-texts")
 
     labels = inside.select(
-        "node", F.col("node").alias("label"), F.lit(None).cast("binary").alias("pivot"), F.lit(None).cast("double").alias("distance")
+        "node", "f", F.col("node").alias("label"), F.lit(None).cast("binary").alias("pivot"), F.lit(None).cast("double").alias("distance")
     )
     tried = labels.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("both"), F.lit(1).cast("bigint").alias("either")).limit(0)
+    members = found.withColumns({"f": F.col("n"), "label": F.col("node")})
     for salt in range(ROUNDS):
-        pairs = candidates(found.join(labels, "node"), salt, tried, rule)
+        pairs = candidates(members, salt, tried, rule)
         done = stored(overlaps(pairs, texts, rule), "join-regions")
         if done.isEmpty():
             break
         regions = done.select(F.col("a").alias("node"), F.col("b").alias("_p"), (1 - F.col("both") / F.col("either")).alias("_d"))
         labels = relabelled(labels, linked(done, rule)).join(regions, "node", "left").select(
-            "node", "label",
+            "node", "f", "label",
             F.when(F.col("pivot").isNull(), F.col("_p")).otherwise(F.col("pivot")).alias("pivot"),
             F.when(F.col("pivot").isNull(), F.col("_d")).otherwise(F.col("distance")).alias("distance"),
         )
         labels = stored(labels, "join-labels")
         tried = tried.unionByName(done)
-    rest = boundary_pairs(found.join(labels, "node"), tried, rule)
+        members = stored(crowded_cells(members, labels), "join-members")
+    rest = boundary_pairs(members.drop("f", "label").join(labels, "node"), tried, rule)
     links = linked(tried, rule).unionByName(linked(stored(overlaps(rest, texts, rule), "join-boundary"), rule))
     roots = components(links.select("a", "b"))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
