@@ -17,16 +17,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 PACKED = "bucket int, known boolean, base bigint, keys binary, payloads binary"
-#: Postings that a task holds at once while it gathers a bucket, and those of a slice.
-PER_BUCKET, SLICE = 1 << 20, 1 << 15
+#: Postings that a task holds at once while it gathers a bucket, least and most, and those of a slice.
+LEAST_PER_BUCKET, PER_BUCKET, SLICE = 1 << 15, 1 << 20, 1 << 15
 
 Unpack = Callable[[np.ndarray, np.ndarray, np.ndarray], pd.DataFrame]
 
 
 def buckets_for(frame: DataFrame, postings: float) -> int:
-    """As many buckets as keep each one small, and the cluster busy."""
+    """As many buckets as keep each one small, and the cluster busy, but not more than fill packed rows."""
     width = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(width, int(postings / PER_BUCKET) + 1)
+    return max(min(width, int(postings / LEAST_PER_BUCKET) + 1), int(postings / PER_BUCKET) + 1)
 
 
 def again(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
