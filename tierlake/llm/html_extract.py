@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import located, ship, spelled
+from tierlake.llm.common import located, ship, spelled, stored
 from tierlake.llm.markup import Block, blocks
 
 #: Least tokens of a class, least pages it spans, and least share of the host's pages.
@@ -69,7 +69,9 @@ def templates(pages: DataFrame) -> DataFrame:
     # A host has at most tokens per page / CLASS_SHARE such tokens, however many pages it has.
     classes = spanning.groupBy("host", "vector").agg(F.collect_list("token").alias("tokens"))
     valid = classes.where(F.size("tokens") >= CLASS_TOKENS)
-    return valid.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+    made = valid.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+    # Stored, so that the join with the pages has shuffles of its own and a hot host's pages can be split.
+    return stored(made, "html-templates")
 
 
 def main_text(html: str, template: frozenset[int]) -> str:
