@@ -50,7 +50,7 @@ def test_statistics_of_awkward_texts(spark, tmp_path):
     shout = quality.measured(cases.documents(spark, tmp_path / "s", [(1, "AB!! Cd, ef | gh\nx\nx", None)])).first()
     assert (shout.capital_words, shout.exclamations, shout.bars) == (1 / 7, 2 / 7, 1 / 7)
     assert shout.repeated_lines == pytest.approx(1 / 3)
-    assert shout.words == pytest.approx(math.log1p(7)) and shout.capitals == 3 / 18
+    assert shout.words == pytest.approx(math.log1p(7)) and shout.capitals == 3 / 20
 
 
 @pytest.mark.parametrize("text", ["", " ", "a", "\n", "É!", "x" * 9, " leading and trailing ", "HELLO WORLD", "..??!!"])
