@@ -133,3 +133,35 @@ def test_inverted_index_finds_what_a_scan_of_all_rules_finds(spark):
     frame = spark.createDataFrame([(row,) for row in rows], "tokens array<string>")
     found = [(r.tokens, r.fits) for r in frame.select("tokens", fits("tokens").alias("fits")).collect()]
     assert all(fit == any(rule <= set(tokens) for rule, _, _ in rules) for tokens, fit in found)
+
+
+def test_pages_are_labelled_by_the_document_they_show(spark, sf_dir):
+    from html import unescape
+
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("doc_id", url_filter.document_of(F.col("url")))
+    rows = given.join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), "doc_id").collect()
+    assert len(rows) == given.count()
+    for row in rows:
+        heading = re.search(r"<h1>(.*?)</h1>", row.html, re.S).group(1)
+        assert unescape(heading)[:20].lower() in row.text.lower()
+    labels = {r.doc_id: r.quality == 0 or r.toxic == 1 for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    wanted = Counter(labels[r.doc_id] for r in rows if r.doc_id in labels)
+    assert Counter(r.blocked for r in url_filter.labelled_urls(spark, sf_dir).collect()) == wanted
+
+
+def urls_of(spark, groups):
+    """tokens and blocked of urls, from groups (host, urls, how many of them are blocked)."""
+    rows = [(f"http://{host}/en/{k}", k < bad) for host, n, bad in groups for k in range(n)]
+    return spark.createDataFrame(rows, "url string, blocked boolean").select(url_filter.tokens_of(F.col("url")).alias("tokens"), "blocked")
+
+
+def test_support_does_not_grow_with_the_corpus_and_confidence_is_set_against_the_base_rate(spark):
+    # 40 of 8000 urls, 0.5 percent, half of them blocked, against 5 percent elsewhere.
+    rules = url_filter.mine(urls_of(spark, [("cheap-pills.example.com", 40, 20), *((f"h{k}.example.com", 398, 20) for k in range(20))]))
+    assert {frozenset({"word:pills"}), frozenset({"host:cheap-pills"})} <= {tokens for tokens, *_ in rules}
+    assert all(any("pills" in token or "cheap" in token for token in tokens) for tokens, *_ in rules)
+
+
+def test_chance_mines_no_rule(spark):
+    # 10 of 26 against a quarter: a lift of 1.5, but no wonder among thirty hosts.
+    assert url_filter.mine(urls_of(spark, [("odd.example.com", 26, 10), *((f"h{k}.example.com", 100, 25) for k in range(30))])) == []

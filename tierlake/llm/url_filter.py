@@ -4,9 +4,15 @@ A given rule is a host and a path, like `example.org/en/`; it fits that host and
 its subdomains when the path starts with its path, and the longest fitting rule
 decides. Other urls are judged by association rules: every labelled url is a basket
 of its tokens (labels of the host, words in them, suffixes, path segments, query
-keys) and of its class; FP-growth finds frequent baskets, and rules that imply
-`block` with enough support and confidence, and more than any shorter rule inside
-them, are kept. They match by an inverted index on the rarest token of each.
+keys) and of its class; FP-growth finds the sets of tokens that enough urls have.
+Of the rules that imply `block` those are kept whose confidence is well above the
+share of blocked urls, by more than chance explains among as many sets as were
+looked at, and above that of any shorter rule inside them. They match by an
+inverted index on the rarest token of each.
+
+The support is a number of urls, so a rule needs as many of them in a large corpus
+as in a small one. Tokens that the same labelled urls have are mined as one and
+spelled out again in the rules; tokens that all of them have say nothing.
 
 * Null urls and urls without :// have an empty host and path, fit no given rule
   and have no tokens: they are allowed, as is any url that no rule blocks.
@@ -14,20 +20,23 @@ them, are kept. They match by an inverted index on the rarest token of each.
   alike. Without labels there are no mined rules. An empty table gives an empty
   table; other columns are not read.
 
-The number of mined rules is bounded by the support: a url has few tokens, so only
-(baskets per url) / (least support) of them can be frequent, whatever the input.
+A frequent set needs `least_rows` urls and a url has few tokens that differ, so the
+sets grow with the corpus at most as the labelled urls do. They stay in the
+cluster; only the rules that pass both bounds reach the driver.
 """
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
+from itertools import chain, combinations, product
 
 import pandas as pd
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import ship
+from tierlake.llm.common import ship, stored
 from tierlake.llm.html_extract import host_of
 
 # The given rules by verdict.
@@ -70,27 +79,70 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(F.concat(labels, words, suffix, segments, keys))
 
 
-def mine(
-    urls: DataFrame, least_support: float = 0.01, least_rows: int = 25, least_confidence: float = 0.6
-) -> list[Mined]:
-    """Rules (tokens, confidence, support) that imply a block, from urls (tokens, blocked)."""
-    baskets = urls.where("blocked is not null").select(
-        F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items")
-    ).where(F.size("items") > 0)
-    count = baskets.count()
-    if count < least_rows:
+def representatives(baskets: DataFrame, count: int, least_rows: int) -> dict[str, list[str]]:
+    """Tokens of at least so many baskets (row, tokens), but not of all, by the least token of the same baskets."""
+    tokens = baskets.select(F.xxhash64("row").alias("row"), F.explode("tokens").alias("token"))
+    vectors = tokens.groupBy("token").agg(F.bit_xor("row").alias("vector"), F.count("*").alias("n"))
+    vectors = vectors.where((F.col("n") >= least_rows) & (F.col("n") < count))
+    same = vectors.groupBy("vector", "n").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    return {row["tokens"][0]: row["tokens"] for row in same.select("tokens").collect()}
+
+
+def surprise(confidence: Column, rows: Column, base: float) -> Column:
+    """The bound of Chernoff: chance gives this confidence over so many rows at most exp(-surprise) times."""
+    missed = F.when(confidence < 1, (1 - confidence) * F.ln((1 - confidence) / (1 - base))).otherwise(0.0)
+    return rows * (confidence * F.ln(confidence / base) + missed)
+
+
+def mine(urls: DataFrame, least_rows: int = 25, least_lift: float = 1.5, chance: float = 0.05) -> list[Mined]:
+    """Rules (tokens, confidence, support) that imply a block, from urls (tokens, blocked).
+
+    A rule has its tokens in `least_rows` urls, `least_lift` times the confidence of
+    the empty rule (or half of what that one misses, if less), and such rules come up
+    by chance in a share `chance` of corpora at most.
+    """
+    labelled = urls.where("blocked is not null").where(F.size("tokens") > 0).select("tokens", "blocked")
+    labelled = stored(labelled.withColumn("row", F.monotonically_increasing_id()), "url-baskets")
+    count, blocked = labelled.agg(F.count("*"), F.count_if("blocked")).first()
+    if count < least_rows or blocked in (0, count):
         return []
-    support = max(least_support, least_rows / count)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence).fit(baskets)
+    base = blocked / count
+    classes = representatives(labelled, count, least_rows)
+    if not classes:
+        return []
+    kept = labelled.sparkSession.createDataFrame([(token,) for token in classes], "token string")
+    items = labelled.select("row", F.explode("tokens").alias("token")).join(kept, "token")
+    items = items.groupBy("row").agg(F.collect_list("token").alias("tokens"))
+    baskets = items.join(labelled.select("row", "blocked"), "row").select(
+        F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items")
+    )
+    held = baskets.count()
+    confidence = min(least_lift * base, (1 + base) / 2)
+    # Half a basket less, so that rounding never asks for one more. A rule of least_rows urls may block fewer.
+    support = (max(math.ceil(confidence * least_rows), 1) - 0.5) / held
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    tests = model.freqItemsets.where(~F.array_contains("items", BLOCK) & (F.col("freq") >= least_rows)).count()
+    share = F.least(F.col("confidence"), F.lit(1.0))
+    rows = F.col("support") * held / F.col("confidence")
     implied = model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCK)))
-    rules = [
-        (frozenset(row["antecedent"]), row["confidence"], row["support"])
+    implied = implied.where((rows > least_rows - 0.5) & (surprise(share, rows, base) >= math.log(max(tests, 1) / chance)))
+    found = {
+        frozenset(row["antecedent"]): (row["confidence"], row["support"] * held / count)
         for row in implied.select("antecedent", "confidence", "support").collect()
+    }
+    least = [
+        (tokens, *figures) for tokens, figures in found.items()
+        if not any(found.get(frozenset(part), (0.0,))[0] >= figures[0] for part in parts(tokens))
     ]
-    return [
-        rule for rule in sorted(rules, key=lambda rule: (len(rule[0]), sorted(rule[0])))
-        if not any(other[0] < rule[0] and other[1] >= rule[1] for other in rules)
+    spelled_out = [
+        (frozenset(tokens), *figures) for rule, *figures in least for tokens in product(*(classes[token] for token in rule))
     ]
+    return sorted(spelled_out, key=lambda rule: (len(rule[0]), sorted(rule[0])))
+
+
+def parts(tokens: frozenset[str]):
+    """The smaller sets inside, without the empty one."""
+    return chain.from_iterable(combinations(tokens, size) for size in range(1, len(tokens)))
 
 
 def index(rules: list[Mined]) -> dict[str, list[frozenset[str]]]:
@@ -132,11 +184,19 @@ def judge(pages: DataFrame, mined: list[Mined], given: dict[str, str] = GIVEN, i
     return rows.select("page_id", "host", "path", "rule", F.coalesce(own, learned).alias("verdict"))
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages are labelled by the row of `labels` with their number: low quality or toxic is to be blocked."""
+def document_of(url: Column) -> Column:
+    """The number of the document a page shows, the last one in the path of its url; null without."""
+    return F.regexp_extract(path_of(url), "([0-9]+)[^0-9]*$", 1).try_cast("bigint")
+
+
+def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tokens and blocked of the pages whose documents are labelled: low quality or toxic is to be blocked."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
-        F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked")
+        "doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked")
     )
-    labelled = pages.select("page_id", tokens_of(F.col("url")).alias("tokens")).join(labels, "page_id")
-    return judge(pages, mine(labelled))
+    return pages.select(document_of(F.col("url")).alias("doc_id"), tokens_of(F.col("url")).alias("tokens")).join(labels, "doc_id")
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), mine(labelled_urls(spark, sf_dir)))
