@@ -151,6 +151,24 @@ def test_likeness_follows_jaccard(size):
         assert abs(fingerprints.likeness(a, b) - size / (size + 2 * extra)) < 0.17
 
 
+@pytest.mark.parametrize("lines, often", [(1, 1000), (1, 30), (10, 100), (1, 10**5)])
+def test_repeated_pieces_count_as_often_as_they_occur(lines, often):
+    a, b = ([f"{name} {k}" for k in range(lines)] * often for name in "ab")
+    assert fingerprints.likeness(fingerprints.Vector().add(a), fingerprints.Vector().add(b)) < 0.25
+    both = fingerprints.Vector().add(a).add(b), fingerprints.Vector().add(a).add(b[: len(b) // 2])
+    assert abs(fingerprints.likeness(*both) - 0.75) < 0.1
+
+
+@pytest.mark.parametrize("size", [10**5, 10**6])
+def test_likeness_of_very_long_texts(size):
+    shared = fingerprints.Vector().add(f"shared {k}" for k in range(size))
+    a, b = (fingerprints.Vector().add(f"{name} {k}" for k in range(size)) for name in "ab")
+    assert fingerprints.likeness(a, b) < 0.25
+    a.wide, a.sparse = a.wide + shared.wide, a.sparse + shared.sparse
+    b.wide, b.sparse = b.wide + shared.wide, b.sparse + shared.sparse
+    assert abs(fingerprints.likeness(a, b) - 1 / 3) < 0.17
+
+
 # Mixing
 
 
