@@ -67,6 +67,16 @@ def test_text_of_an_article_is_kept_though_pages_share_it(spark, tmp_path):
     assert {r.text for r in html_extract.extract(pages(spark, tmp_path, rows)).collect()} == {"Same\nLicence line"}
 
 
+def test_copies_are_no_template(spark, tmp_path):
+    story = "<html><body><div>{}</div><div><p>first of {}</p><p>second of {}</p></div><div>rights</div></body></html>"
+    rows = [(k, f"https://two.example/{k}", story.format("Site", "one", "one")) for k in range(2)]
+    rows += [(10 + k, f"https://half.example/{k}", story.format("Site", *[k if k > 5 else "copied"] * 2) + f"<script>{k}</script>") for k in range(10)]
+    found = {r.page_id: r.text for r in html_extract.extract(pages(spark, tmp_path, rows)).collect()}
+    assert all(found[k] == "Site\nfirst of one\nsecond of one\nrights" for k in range(2))
+    names = {10 + k: k if k > 5 else "copied" for k in range(10)}
+    assert all(found[k] == f"first of {name}\nsecond of {name}" for k, name in names.items())
+
+
 def test_no_pages(spark, tmp_path):
     none = pages(spark, tmp_path, [])
     assert html_extract.extract(none).count() == 0

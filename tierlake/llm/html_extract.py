@@ -3,24 +3,28 @@
 The tokens of a page are its block elements by path and its blocks of text. A
 token's occurrence vector over the pages of a host says how often each page has
 it; tokens of equal vectors form a class. A class that is large enough and spans
-at least half of a host's pages is valid: its tokens were written by the template.
+at least three and half of a host's pages is valid: its tokens were written by the
+template. Pages of one host whose blocks are the same count once, whatever their
+urls, scripts or comments: copies say nothing about what a template writes.
 Classes nest by the paths of their elements. What the template leaves open are the
 slots; the main text is what stands in the slot of the article, or, on pages
 without one, in the slots left after those that belong to menus, headers, footers,
 sidebars, notices, adverts, forms and comments. Text inside the article is kept
 even if other pages repeat it: it is content of the slot.
 
-Vectors are named by an exclusive or of hashes of (page, count), so a host of any
-size is aggregated in the map tasks and never gathered.
+A page is named by a hash of its blocks in their order, and vectors by an
+exclusive or of hashes of (page, count) over distinct pages. Rows are dealt by host
+and token, so no host is ever gathered.
 
 * Null or empty html gives an empty text. Pages without a host have no template.
-* Hosts of a single page have no template either, only the second rule holds.
-* Repeated rows are pages of their own. An empty table gives an empty table; other
+* Hosts of one or two distinct pages have no template either, only the second rule holds.
+* Repeated rows are rows of their own; for the template they count once. An empty table gives an empty table; other
   columns are not read.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,8 +36,12 @@ from pyspark.sql import functions as F
 from tierlake.llm.common import located, ship, spelled, stored
 from tierlake.llm.markup import Block, blocks
 
-#: Least tokens of a class, least pages it spans, and least share of the host's pages.
-CLASS_TOKENS, CLASS_PAGES, CLASS_SHARE = 2, 2, 0.5
+#: Least tokens of a class, least distinct pages it spans, and least share of the host's distinct pages.
+CLASS_TOKENS, CLASS_PAGES, CLASS_SHARE = 2, 3, 0.5
+
+
+#: Stands for a whole page among the tokens.
+WHOLE = 0
 
 
 def host_of(url: Column) -> Column:
@@ -48,22 +56,27 @@ def token(block: Block) -> int:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host and template, the tokens of its valid classes, from pages (host, page, html)."""
+    """host and template, the tokens of its valid classes, from pages (host, html)."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for host, page, html in zip(batch["host"], batch["page"], batch["html"], strict=True):
-                counts = Counter(token(block) for block in blocks(html) if not block.element.hidden)
-                out += [(host, page, key, n) for key, n in counts.items()]
+            for host, html in zip(batch["host"], batch["html"], strict=True):
+                keys = [token(block) for block in blocks(html) if not block.element.hidden]
+                page = xxhash.xxh3_64_intdigest(array("q", keys).tobytes()) - (1 << 63)
+                out += [(host, page, key, n) for key, n in Counter(keys).items()]
+                out.append((host, page, WHOLE, 1))
             yield pd.DataFrame(out, columns=["host", "page", "token", "n"])
 
     tokens = pages.where("host <> ''").mapInPandas(read, "host string, page bigint, token bigint, n bigint")
-    vectors = tokens.groupBy("host", "token").agg(
+    # Copies count once; one shuffle by host and token serves both steps.
+    once = tokens.repartition("host", "token").dropDuplicates(["host", "token", "page", "n"])
+    vectors = once.groupBy("host", "token").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages")
     )
-    sizes = pages.groupBy("host").agg(F.count("*").alias("all_pages"))
-    spanning = vectors.where(F.col("pages") >= CLASS_PAGES).join(sizes, "host").where(
+    vectors = stored(vectors.where(F.col("pages") >= CLASS_PAGES), "html-vectors")
+    sizes = vectors.where(F.col("token") == WHOLE).select("host", F.col("pages").alias("all_pages"))
+    spanning = vectors.where(F.col("token") != WHOLE).join(sizes, "host").where(
         F.col("pages") >= CLASS_SHARE * F.col("all_pages")
     )
     # A host has at most tokens per page / CLASS_SHARE such tokens, however many pages it has.
@@ -89,9 +102,9 @@ def extract(pages: DataFrame, identifier: str = "page_id", url: str = "url", htm
     rows = located(pages)
     read = rows.frame.select(
         spelled(identifier).alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"),
-        F.coalesce(html, F.lit("")).alias("html"), F.xxhash64(rows.file, rows.row).alias("page"),
+        F.coalesce(html, F.lit("")).alias("html"),
     )
-    found = templates(read.select("host", "page", "html"))
+    found = templates(read.select("host", "html"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -104,7 +117,7 @@ def extract(pages: DataFrame, identifier: str = "page_id", url: str = "url", htm
             })
 
     kind = rows.frame.schema[identifier].dataType.simpleString()
-    joined = read.drop("page").join(found, "host", "left").select("page_id", "url", "html", "template")
+    joined = read.join(found, "host", "left").select("page_id", "url", "html", "template")
     extracted = joined.mapInPandas(write, "page_id string, url string, text string, n_chars bigint")
     return extracted.withColumn("page_id", F.col("page_id").cast(kind))
 
