@@ -44,6 +44,20 @@ def test_blocks_of_main_text(html, text):
     assert main_text(html, frozenset()) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<div class='content has-sidebar'><article><p>text</p></article></div>", "text"),
+    ("<div id='search-results'><article><p>text</p></article></div>", "text"),
+    ("<div class='nav-open'><p>text</p></div>", "text"),
+    ("<form class='sidebar'><main><p>text</p><nav>menu</nav></main></form>", "text"),
+    ("<article><p>a</p><div class='share-price'>b</div><div id='social-history'>c</div><section class='related'>d</section></article>", "a\nb\nc\nd"),
+    ("<article><p>text</p></article><div id='comments'><article>me too</article></div>", "text"),
+    ("<article><p>text</p><section class='comments'><article>me too</article></section></article>", "text"),
+    ("<div class='site-footer'>end</div><div id='main-nav'>menu</div><div>text</div>", "text"),
+])
+def test_names_count_as_wholes_and_wrappers_do_not_hide_the_article(html, text):
+    assert main_text(html, frozenset()) == text
+
+
 def made(number, body):
     return f"<html><body><div><span>Site name</span></div><div>{body}</div><div>All rights reserved</div></body></html>"
 

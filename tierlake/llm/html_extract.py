@@ -90,9 +90,11 @@ def templates(pages: DataFrame) -> DataFrame:
 def main_text(html: str, template: frozenset[int]) -> str:
     """The blocks in the slots of the main text, one per line."""
     found = [block for block in blocks(html) if block.text and not block.element.hidden and not block.element.beside]
-    inside = [block.text for block in found if block.element.main]
+    inside = [block for block in found if block.element.main]
     if inside:
-        return "\n".join(inside)
+        # Articles in comments or sidebars count only if there is none outside them.
+        chosen = [block for block in inside if not block.element.lifted] or inside
+        return "\n".join(block.text for block in chosen)
     return "\n".join(block.text for block in found if token(block) not in template)
 
 
