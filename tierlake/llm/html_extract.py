@@ -1,4 +1,4 @@
-"""Main text of web pages by template deduction over equivalence classes of tokens.
+"""Main text of web pages by their article, else by template deduction over equivalence classes of tokens.
 
 The tokens of a page are its block elements by path and its blocks of text. A
 token's occurrence vector over the pages of a host says how often each page has
@@ -6,11 +6,12 @@ it; tokens of equal vectors form a class. A class that is large enough and spans
 at least three and half of a host's pages is valid: its tokens were written by the
 template. Pages of one host whose blocks are the same count once, whatever their
 urls, scripts or comments: copies say nothing about what a template writes.
-Classes nest by the paths of their elements. What the template leaves open are the
-slots; the main text is what stands in the slot of the article, or, on pages
-without one, in the slots left after those that belong to menus, headers, footers,
-sidebars, notices, adverts, forms and comments. Text inside the article is kept
-even if other pages repeat it: it is content of the slot.
+The template of a host is the flat set of these tokens; classes are not nested.
+
+The main text of a page with text in <article> or <main> is that text, by tag and name
+alone: the template is not looked at, and text is kept even if other pages repeat it.
+On other pages it is what the template leaves, without menus, headers, footers,
+sidebars, notices, adverts, forms and comments.
 
 A page is named by a hash of its blocks in their order, and vectors by an
 exclusive or of hashes of (page, count) over distinct pages. Rows are dealt by host
