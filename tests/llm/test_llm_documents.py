@@ -194,6 +194,18 @@ def test_mixing_meets_targets(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixed_takes_documents_that_are_in_no_file(spark):
+    rows = [(k, "some words " * (k % 7 + 1), f"s{k % 3}") for k in range(60)]
+    made = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    wanted = Counter()
+    for row in mixing.mix(made).collect():
+        wanted[row.doc_id] += row.copies
+    assert sum(wanted.values()) > 0
+    assert Counter(r.doc_id for r in mixing.mixed(made).collect()) == +wanted
+    grouped = made.groupBy("doc_id", "source").agg(F.first("text").alias("text"))
+    assert Counter(r.doc_id for r in mixing.mixed(grouped).collect()) == +wanted
+
+
 def python_targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: weights[k % 3] for k, s in enumerate(order)}

@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import WORD, fresh, located, plain_text, ranked, stored
+from tierlake.llm.common import WORD, Located, fresh, located, plain_text, ranked, stored
 
 # Fixed values of the recipe: weights of the sources in order, share of all words, repeats.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
@@ -112,7 +112,14 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST,
 ) -> DataFrame:
     """doc_id, size, source_size, target, copies, and the row's place (file, row)."""
-    rows = located(docs)
+    return mix_located(located(docs), identifier, text, source, weights, share, most)
+
+
+def mix_located(
+    rows: Located, identifier: str = "doc_id", text: str = "text", source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST,
+) -> DataFrame:
+    """The mix of rows whose places are known."""
     sized = stored(rows.frame.select(
         F.col(identifier).alias("doc_id"),
         F.col(source).alias("source"),
@@ -172,7 +179,7 @@ def phases(rated: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as the mix takes it."""
     rows = located(docs)
-    taken = mix(rows.frame.select(*rows.columns) if rows.frame is docs else docs, **options).where("copies > 0")
+    taken = mix_located(rows, **options).where("copies > 0")
     copies = fresh([*rows.columns, rows.file, rows.row], "_copies")
     taken = taken.select(F.col("file").alias(rows.file), F.col("row").alias(rows.row), F.col("copies").alias(copies))
     repeated = rows.frame.join(taken, [rows.file, rows.row])
