@@ -2,7 +2,7 @@
 
 from tierlake.llm import (
     exact_dedup, filter_audit, fingerprints, html_extract, jaccard_join, mixing, packing, quality, sharding, substring_dedup,
-    url_filter,
+    url_filter, whitening,
 )
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.query,
     "op9_html_extract": html_extract.query,
     "op10_packing": packing.query,
+    "op12_whitening": whitening.query,
     "op13_filter_audit": filter_audit.query,
 }
 
