@@ -4,8 +4,10 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tierlake.llm import bidiagonal, whitening
+from tierlake.llm import bidiagonal, neighbour_graph, partition_search, whitening
+from tierlake.llm.queries import QUERIES
 
 FRAME = "vec_id bigint, embedding array<float>, label int, vector string, n int, part string, query_id string, score string, rank string"
 
@@ -114,3 +116,96 @@ def test_deviation_beyond_a_long():
     sums = np.array([10**9 * 10**11, 5 * 10**11], object)
     assert whitening.deviations(x, 10**11, sums) == [None, 0]
     assert whitening.deviations(x, 2, np.array([10**9, 10], object)) == [10**18, 10**18]
+
+
+# Nearest neighbours
+
+
+def nearest_of_all(rows, nearest, wanted):
+    """Every query against every other row, entry by entry."""
+    kept = []
+    for i, v in rows:
+        usable = v is not None and len(v) == 12 and all(x is not None and math.isfinite(x) for x in v) and any(v)
+        if i is not None and usable and (i, tuple(v)) not in kept:
+            kept.append((i, tuple(v)))
+    found = set()
+    for i, v in kept:
+        if wanted(i):
+            scored = sorted((-sum_in_order(v, w), j) for j, w in kept if j != i)[:nearest]
+            found |= {(i, rank, j, -score) for rank, (score, j) in enumerate(scored, 1)}
+    return found
+
+
+def sum_in_order(v, w):
+    total = 0.0
+    for a, b in zip(v, w, strict=True):
+        total += a * b
+    return total
+
+
+def results(frame):
+    return {tuple(row) for row in frame.select("query_id", "rank", "vec_id", "score").collect()}
+
+
+def awkward_vectors():
+    rows = drawn(120)
+    rows += [(1000 + k, rows[5][1]) for k in range(60)] + [(2000 + k, [-x for x in rows[5][1]]) for k in range(3)]
+    rows += [(3000, [0.0] * 12), (3001, [-0.0] * 12), (None, rows[6][1]), rows[10], (20, rows[30][1])]
+    return rows + AWKWARD[:6]
+
+
+def test_search_against_every_pair(spark, tmp_path):
+    rows = awkward_vectors()
+    found = partition_search.search(table(spark, tmp_path, rows), F.col("vec_id") % 20 == 0, nearest=7)
+    assert results(found) == nearest_of_all(rows, 7, lambda i: i % 20 == 0)
+
+
+def test_search_in_small_blocks_of_all_parts(spark, tmp_path, monkeypatch):
+    """With every part visited the result is exact, however the parts are dealt out."""
+    for name, value in {"TOGETHER": 7, "LEAST_IN_PART": 10, "CHECKED": 8}.items():
+        monkeypatch.setattr(partition_search, name, value)
+    rows = awkward_vectors()
+    found = partition_search.search(table(spark, tmp_path, rows), F.col("vec_id") % 3 == 0, nearest=25, recall=1.1)
+    assert results(found) == nearest_of_all(rows, 25, lambda i: i % 3 == 0)
+
+
+def test_search_returns_all_candidates_if_few(spark, tmp_path):
+    for name, rows in [("few", drawn(5)), ("alone", drawn(1)), ("none", []), ("awkward", AWKWARD[:6])]:
+        (tmp_path / name).mkdir()
+        found = partition_search.search(table(spark, tmp_path / name, rows), F.lit(True))
+        assert found.columns == ["query_id", "rank", "vec_id", "score"]
+        assert results(found) == nearest_of_all(rows, 20, lambda i: True)
+
+
+def test_few_parts_are_enough_where_there_are_neighbourhoods(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(partition_search, "LEAST_IN_PART", 16)
+    rng = np.random.default_rng(4)
+    centres = 4 * rng.normal(size=(40, 12))
+    rows = [(k, [float(np.float32(x)) for x in centres[k % 40] + 0.1 * rng.normal(size=12)]) for k in range(2000)]
+    points = partition_search.distinct_vectors(
+        partition_search.usable(table(spark, tmp_path, rows), "vec_id", "embedding", 1e9)[0], 11
+    )
+    index, _ = partition_search.fit(points, 12, 10, 0.95)
+    assert len(index.sizes) == 32 and index.sizes.sum() == 2000
+    assert index.probes <= 8 and index.recall >= 0.95
+
+
+def test_recall_on_given_vectors(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    found = QUERIES["op11_neighbours"](spark, sf_dir).collect()
+    given = sorted(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect())
+    x = np.array([row.embedding for row in given], float)
+    queries = [k for k, row in enumerate(given) if row.vec_id % 20 == 0]
+    scores = x[queries] @ x.T
+    scores[np.arange(len(queries)), queries] = -np.inf
+    true = {(given[k].vec_id, given[j].vec_id) for k, row in zip(queries, np.argsort(-scores, axis=1)[:, :20], strict=True) for j in row}
+    assert len(found) == len(true) and len(true & {(r.query_id, r.vec_id) for r in found}) >= 0.9 * len(true)
+
+
+def test_parts_of_a_graph_are_balanced_and_close():
+    rng = np.random.default_rng(2)
+    group = np.repeat(np.arange(8), 50)
+    near = np.array([rng.choice(np.flatnonzero((group == group[k]) & (np.arange(400) != k)), 6, replace=False) for k in range(400)])
+    part = neighbour_graph.balanced(near, 8)
+    assert set(np.bincount(part)) == {50}
+    assert np.mean(part[near] != part[:, None]) < 0.2

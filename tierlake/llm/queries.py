@@ -1,7 +1,7 @@
 """One query per operator, and SQL where it can express the result."""
 
 from tierlake.llm import (
-    exact_dedup, filter_audit, fingerprints, html_extract, jaccard_join, mixing, packing, quality, sharding, substring_dedup,
+    exact_dedup, filter_audit, fingerprints, html_extract, jaccard_join, mixing, packing, partition_search, quality, sharding, substring_dedup,
     url_filter, whitening,
 )
 
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.query,
     "op9_html_extract": html_extract.query,
     "op10_packing": packing.query,
+    "op11_neighbours": partition_search.query,
     "op12_whitening": whitening.query,
     "op13_filter_audit": filter_audit.query,
 }

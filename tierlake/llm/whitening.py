@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tierlake.llm.bidiagonal import right_singular
 from tierlake.llm.common import ship, stored
+from tierlake.llm.vectors import matrix, usable
 
 #: Rows that are centred and reduced together; rows of the result built at once.
 TOGETHER, WRITTEN = 4096, 1 << 16
@@ -52,8 +53,12 @@ class Grid:
 
     def numbers(self, entries: pa.Array, width: int) -> np.ndarray:
         """A row of whole numbers per vector."""
-        values = entries.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
-        return np.floor(self.scale * values).astype(np.int64) + self.offset
+        return np.floor(self.scale * matrix(entries, width)).astype(np.int64) + self.offset
+
+    @property
+    def most(self) -> float:
+        """Entries from here on are no long."""
+        return (2.0**62 - abs(self.offset)) / self.scale
 
 
 @dataclass(frozen=True)
@@ -94,19 +99,6 @@ def deviations(x: np.ndarray, n: int, sums: np.ndarray) -> list[int | None]:
     return [value if value < 1 << 63 else None for value in found]
 
 
-def usable(vectors: DataFrame, identifier: str, vector: str, grid: Grid) -> tuple[DataFrame, int]:
-    """vec_id and vector of the rows that take part, and the length of the vectors, 0 without any."""
-    rows = vectors.select(F.col(identifier).alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
-    most = (2.0**62 - abs(grid.offset)) / grid.scale
-    rows = rows.where(F.col("vector").isNotNull() & (F.size("vector") > 0)).where(
-        F.forall("vector", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < most))
-    )
-    widths = rows.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
-    if widths is None:
-        return rows.limit(0), 0
-    return rows.where(F.size("vector") == widths["width"]), widths["width"]
-
-
 def column_sums(rows: DataFrame, width: int, grid: Grid) -> tuple[int, np.ndarray]:
     """How many rows there are, and the sum of each dimension, exact."""
 
@@ -197,7 +189,7 @@ def whiten(
     """A row per vector and component, numbered from 1 by falling variance."""
     spark = vectors.sparkSession
     ship(spark)
-    rows, width = usable(vectors, identifier, vector, grid)
+    rows, width = usable(vectors, identifier, vector, grid.most)
     kind = rows.schema["vec_id"].dataType.simpleString()
     schema = f"vec_id {kind}, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
     learned = learn(rows, width, grid, components) if width else None
