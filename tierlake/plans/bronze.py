@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -27,6 +27,7 @@ from tierlake.quality.rulesets import bronze as bronze_suite
 from tierlake.run import RunInfo
 from tierlake.sources import files, sinks
 from tierlake.sources.entities import EntitySpec, read_entity
+from tierlake.sources.publish import Place
 
 log = logging.getLogger(__name__)
 
@@ -88,46 +89,68 @@ def run_bronze_job(
     this run alone; the row rules are measured by that same write. Only when no
     critical rule failed is the day published, so a stopped run leaves the
     target as it was, and what is published is exactly what was checked,
-    whatever lands or runs meanwhile. The staging folder is removed either way.
+    whatever lands or runs meanwhile. Runs that publish one day take turns, the
+    last one stays; a day that a dead run left half published is mended first.
 
     ``publish`` is ``rename``, which moves the day's folder and writes nothing,
-    or ``rewrite``, which reads and writes it again, for object stores where a
-    move is a copy; by default the file system decides. An entity without rules
-    is written directly.
+    or ``rewrite``, which reads and writes it again, for stores where a move is
+    a copy; by default the file system decides. An entity without rules is
+    published unchecked.
     """
     target = f"{base}/bronze/{spec.name}"
+    how = publish or ("rename" if files.renames_folders(spark, target) else "rewrite")
+    if how not in ("rename", "rewrite"):
+        raise ValueError(f"publish is rename or rewrite, not {how}")
     records = dated(read_entity(spark, spec, with_position), spec, run)
-    # All rows share the run's day: each task writes its part, none moves.
-    if not checks.get(spec.name):
-        log.warning("%s: no rules defined, nothing checked", spec.name)
-        rows = sinks.write_partitions(records, target, rebalance=False)[sinks.ROWS]
-        return BronzeWrite(target, rows, records.schema, day_partition(run))
-    suite = bronze_suite(spec.name, checks[spec.name])
+    place, rewrite = _place(spark, base, spec.name, run), _rewriting(spark, records.schema, target, run)
+    place.recover(rewrite)
     staging = f"{base}/_staging/bronze/{spec.name}/{run.stamp}-{uuid.uuid4().hex}"
+    suite, results = None, []
+    if checks.get(spec.name):
+        suite = bronze_suite(spec.name, checks[spec.name])
+    else:
+        log.warning("%s: no rules defined, nothing checked", spec.name)
     try:
-        metrics = sinks.write_partitions(records, staging, *suite.row_metrics(records), rebalance=False)
+        # All rows share the run's day: each task writes its part, none moves.
+        metrics = sinks.write_partitions(records, staging, *(suite.row_metrics(records) if suite else ()), rebalance=False)
         staged = BronzeWrite(staging, metrics[sinks.ROWS], records.schema, day_partition(run))
-        results = enforce(suite.evaluate_observed(staged.read(spark), metrics))
-        _publish(spark, staged, target, publish)
+        if suite:
+            results = enforce(suite.evaluate_observed(staged.read(spark), metrics))
+        _publish(place, staged, how, rewrite)
     finally:
-        files.remove(spark, staging)
+        # A rewrite that broke off needs what it read; the next run of the day finishes it.
+        if not files.exists(spark, place.pending):
+            files.remove(spark, staging)
     return BronzeWrite(target, staged.rows, records.schema, day_partition(run), results)
 
 
-def _publish(spark: SparkSession, staged: BronzeWrite, target: str, how: str | None) -> None:
+def _place(spark: SparkSession, base: str, name: str, run: RunInfo) -> Place:
+    day = "/".join(f"{part}={value}" for part, value in day_partition(run).items())
+    return Place(spark, f"{base}/bronze/{name}/{day}", f"{base}/_claims/bronze/{name}/{run.date}")
+
+
+def _rewriting(spark: SparkSession, schema: T.StructType, target: str, run: RunInfo) -> Callable[[str], None]:
+    """Write the day that a staging folder holds at the target, every row of it."""
+
+    def rewrite(staging: str) -> None:
+        staged = sinks.read_partitions(spark, staging, schema, only=day_partition(run))
+        checked = staged.count()
+        rows = sinks.write_partitions(staged, target, rebalance=False)[sinks.ROWS]
+        if rows != checked:
+            raise RuntimeError(f"{target}: {rows} rows published, {checked} checked")
+
+    return rewrite
+
+
+def _publish(place: Place, staged: BronzeWrite, how: str, rewrite: Callable[[str], None]) -> None:
     """Put the staged day in the place of the target's; an empty one changes nothing."""
     if not staged.rows:
         return
-    how = how or ("rename" if files.renames_folders(spark, target) else "rewrite")
     if how == "rename":
         day = "/".join(f"{name}={value}" for name, value in staged.partition.items())
-        files.replace_folder(spark, f"{staged.path}/{day}", f"{target}/{day}", f"{staged.path}/_replaced")
-    elif how == "rewrite":
-        rows = sinks.write_partitions(staged.read(spark), target, rebalance=False)[sinks.ROWS]
-        if rows != staged.rows:
-            raise RuntimeError(f"{target}: {rows} rows published, {staged.rows} checked")
+        place.publish_by_rename(f"{staged.path}/{day}", rewrite)
     else:
-        raise ValueError(f"publish is rename or rewrite, not {how}")
+        place.publish_by_rewrite(staged.path, rewrite)
 
 
 def day_partition(run: RunInfo) -> dict[str, str]:
