@@ -1,38 +1,44 @@
 """Whole runs: landing files to gold tables and quality reports.
 
 Every layer is written and read back before the next one starts: lineage stays
-short, a layer can be run again alone, and a lost executor costs tasks and not
-the run.
+short, and a lost executor costs tasks and not the run. Each finished table is
+noted in the run's ledger. A run that was stopped goes on after its last finished
+table (``resume=True``), and a layer can be made again alone, with what follows
+from it, from the layers below as that run left them (``again_from="gold"``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+import logging
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierlake.plans import bronze, gold, silver
+from tierlake.plans import bronze, gold, ledger, silver
 from tierlake.plans.parallel import side_by_side
 from tierlake.quality import report, rulesets
 from tierlake.quality.rulesets import BRONZE_CHECKS
 from tierlake.run import RunInfo
-from tierlake.sources import sinks
+from tierlake.sources import files, sinks, tables
 from tierlake.sources.entities import EntitySpec, landed
 from tierlake.sources.inventory import lake_inventory
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Lake:
-    """The tables of a finished run, all read from storage."""
+    """The tables of a lake, all read from storage; counts are those of one run, the latest if none is named."""
 
     spark: SparkSession
     base: str
-    rows: dict[tuple[str, str], int] = field(default_factory=dict)
+    stamp: str | None = None
 
     def table(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._path(layer, name))
+        return tables.read_table(self.spark, self._path(layer, name))
 
     def users(self) -> DataFrame:
         return self.table("silver", "users")
@@ -61,31 +67,51 @@ class Lake:
     def inventory(self) -> DataFrame:
         return lake_inventory(self.spark, self.base)
 
+    def ledger(self) -> ledger.Ledger:
+        stamp = self.stamp or (ledger.runs(self.spark, self.base) or [""])[-1]
+        return ledger.Ledger(self.spark, self.base, stamp)
+
+    def all_counts(self) -> DataFrame:
+        """Run, entity, rows ingested, kept in silver and removed, of every run of this lake."""
+        return ledger.counts(ledger.stored(self.spark, self.base))
+
     def counts(self) -> DataFrame:
         """Entity, rows ingested, kept in silver and removed, as counted by the run's writes."""
-        entities = [name for layer, name in self.rows if layer == "bronze"]
-        found = [(name, self.rows["bronze", name], self.rows.get(("silver", name))) for name in entities]
-        table = self.spark.createDataFrame(found, "entity string, ingested bigint, kept bigint")
-        return table.withColumn("removed", table.ingested - table.kept)
+        own = ledger.stored(self.spark, self.base).where(F.col("run") == self.ledger().stamp)
+        return ledger.counts(own).drop("run")
 
     def totals(self) -> DataFrame:
         """Entities and records ingested by the run."""
         return self.counts().selectExpr("count(*) AS entities", "coalesce(sum(ingested), 0) AS records")
 
     def write(self, df: DataFrame, layer: str, name: str) -> DataFrame:
-        """Replace a table, and give what was written as read from storage."""
+        """Replace a table, note it, and give what was written as read from storage."""
         path = self._path(layer, name)
-        self.rows[layer, name] = sinks.write_table(df, path)[sinks.ROWS]
-        return self.spark.read.schema(df.schema).parquet(path)
+        rows = tables.replace_table(df, path)[sinks.ROWS]
+        folder = tables.folder(self.spark, path)
+        self.ledger().record(ledger.Entry(layer, name, path, rows, folder, schema=df.schema.json()))
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def made(self, layer: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The table as this run left it; it is written only if the run has not finished it."""
+        done = self.ledger().entries().get((layer, name))
+        if done and files.exists(self.spark, done.folder):
+            log.info("%s %s: finished by an earlier attempt", layer, name)
+            return self.spark.read.schema(done.struct()).parquet(done.folder)
+        return self.write(make(), layer, name)
 
     def _path(self, layer: str, name: str) -> str:
         return f"{self.base}/{layer}/{name}"
 
 
-def run_medallion(spark: SparkSession, specs: Mapping[str, EntitySpec], base: str, run: RunInfo) -> Lake:
+def run_medallion(
+    spark: SparkSession, specs: Mapping[str, EntitySpec], base: str, run: RunInfo,
+    resume: bool = False, again_from: str | None = None,
+) -> Lake:
     """Snapshot bronze, silver, gold and reports; quality reports, never blocks."""
-    written = bronze.write_snapshots(spark, specs, base, run)
-    return _refine(spark, written, base, run)
+    lake = _begun(spark, base, run, resume, again_from)
+    written = _ingested(lake, specs, lambda todo: bronze.write_snapshots(spark, todo, base, run))
+    return _refine(lake, written, run)
 
 
 def run(
@@ -95,14 +121,52 @@ def run(
     run_info: RunInfo,
     specs: Mapping[str, EntitySpec] | None = None,
     checks: Mapping[str, list[dict]] = BRONZE_CHECKS,
+    resume: bool = False,
+    again_from: str | None = None,
 ) -> Lake:
-    """Raw folder to processed lake: gated, dated bronze, then the layers above."""
+    """Raw folder to processed lake: gated, dated bronze, then the layers above.
+
+    With ``resume`` the run of this stamp goes on after its last finished table. With
+    ``again_from`` the tables of that layer and the later ones are made again.
+    """
     specs = specs or landed(raw_dir)
-    written = side_by_side(spark, {
-        name: partial(bronze.run_bronze_job, spark, spec, out_dir, run_info, checks, with_position=True)
-        for name, spec in specs.items()
-    })
-    return _refine(spark, written, out_dir, run_info)
+    lake = _begun(spark, out_dir, run_info, resume, again_from)
+
+    def gated(todo: Mapping[str, EntitySpec]) -> dict[str, bronze.BronzeWrite]:
+        return side_by_side(spark, {
+            name: partial(bronze.run_bronze_job, spark, spec, out_dir, run_info, checks, with_position=True)
+            for name, spec in todo.items()
+        })
+
+    return _refine(lake, _ingested(lake, specs, gated), run_info)
+
+
+def _begun(spark: SparkSession, base: str, run: RunInfo, resume: bool, again_from: str | None) -> Lake:
+    lake = Lake(spark, base, run.stamp)
+    if again_from or not resume:
+        lake.ledger().forget(again_from or ledger.LAYERS[0])
+    return lake
+
+
+def _ingested(
+    lake: Lake, specs: Mapping[str, EntitySpec], ingest: Callable[[Mapping[str, EntitySpec]], dict[str, bronze.BronzeWrite]]
+) -> dict[str, bronze.BronzeWrite]:
+    """What bronze holds of every entity; those that the run has finished are not ingested again."""
+    done = {name: entry for (layer, name), entry in lake.ledger().entries().items() if layer == "bronze" and name in specs}
+    found = {
+        name: bronze.BronzeWrite(entry.path, entry.rows, entry.struct(), entry.partition) for name, entry in done.items()
+    }
+    # Each is noted on its own, so one that fails costs no other its place.
+    todo = {name: partial(_ingest_one, lake, name, spec, ingest) for name, spec in specs.items() if name not in found}
+    return found | side_by_side(lake.spark, todo)
+
+
+def _ingest_one(lake: Lake, name: str, spec: EntitySpec, ingest: Callable) -> bronze.BronzeWrite:
+    write = ingest({name: spec})[name]
+    lake.ledger().record(ledger.Entry(
+        "bronze", name, write.path, write.rows, partition=dict(write.partition), schema=write.schema.json()
+    ))
+    return write
 
 
 def check_quality(lake: Lake, users: DataFrame, posts: DataFrame, profile: DataFrame, run: RunInfo) -> None:
@@ -119,19 +183,26 @@ def check_quality(lake: Lake, users: DataFrame, posts: DataFrame, profile: DataF
     sinks.write_reports(report.union_reports(reports), f"{lake.base}/quality_reports")
 
 
-def _refine(spark: SparkSession, written: Mapping[str, bronze.BronzeWrite], base: str, run: RunInfo) -> Lake:
-    lake = Lake(spark, base, {("bronze", name): write.rows for name, write in written.items()})
-    tables = {name: write.read(spark) for name, write in written.items()}
+def _refine(lake: Lake, written: Mapping[str, bronze.BronzeWrite], run: RunInfo) -> Lake:
+    landed_tables = {name: write.read(lake.spark) for name, write in written.items()}
     cleaned = {
-        "users": silver.silver_users(tables["users"], run),
-        "posts": silver.silver_posts(tables["posts"], run),
-        "todos": silver.silver_todos(tables["todos"], run),
+        "users": lambda: silver.silver_users(landed_tables["users"], run),
+        "posts": lambda: silver.silver_posts(landed_tables["posts"], run),
+        "todos": lambda: silver.silver_todos(landed_tables["todos"], run),
     }
-    stored = side_by_side(spark, {name: partial(lake.write, df, "silver", name) for name, df in cleaned.items()})
-    made = gold.user_profile(stored["users"], stored["posts"], stored["todos"], run)
-    profile = lake.write(made, "gold", "user_profile")
-    side_by_side(spark, {
-        "cities": partial(lake.write, gold.city_analysis(profile, run), "gold", "city_analysis"),
-        "quality": partial(check_quality, lake, stored["users"], stored["posts"], profile, run),
+    stored = side_by_side(lake.spark, {name: partial(lake.made, "silver", name, make) for name, make in cleaned.items()})
+    profile = lake.made(
+        "gold", "user_profile", lambda: gold.user_profile(stored["users"], stored["posts"], stored["todos"], run)
+    )
+    side_by_side(lake.spark, {
+        "cities": partial(lake.made, "gold", "city_analysis", lambda: gold.city_analysis(profile, run)),
+        "quality": partial(_reported, lake, stored["users"], stored["posts"], profile, run),
     })
     return lake
+
+
+def _reported(lake: Lake, users: DataFrame, posts: DataFrame, profile: DataFrame, run: RunInfo) -> None:
+    if ("quality_reports", "all") in lake.ledger().entries():
+        return
+    check_quality(lake, users, posts, profile, run)
+    lake.ledger().record(ledger.Entry("quality_reports", "all", f"{lake.base}/quality_reports"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake import schemas
-from tierlake.sources.sinks import write_table
+from tierlake.sources.sinks import write_folder
 
 CORRUPT = "_corrupt_record"
 # Formats of text whose reader can be told to stop at a malformed record.
@@ -73,7 +73,7 @@ def read_tolerant(spark: SparkSession, spec: EntitySpec, staged: str) -> tuple[D
     schema = T.StructType([*spec.schema.fields, T.StructField(CORRUPT, T.StringType())])
     reader = _reader(spark, spec, schema, "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     parsed = reader.load(spec.path).withColumn("_source_file", F.col("_metadata.file_path"))
-    write_table(parsed, staged)
+    write_folder(parsed, staged)
     table = spark.read.schema(parsed.schema).parquet(staged)
     rejected = F.col(CORRUPT).isNotNull()
     return table.where(~rejected).select(*spec.schema.fieldNames()), table.where(rejected).select("_source_file", CORRUPT)

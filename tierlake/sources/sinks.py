@@ -14,8 +14,8 @@ ROWS = "rows"
 SNAPSHOT_PARTITION = "_ingestion_timestamp"
 
 
-def write_table(df: DataFrame, path: str, *metrics: Column) -> dict[str, int]:
-    """Replace the whole table."""
+def write_folder(df: DataFrame, path: str, *metrics: Column) -> dict[str, int]:
+    """Fill a folder that nothing else uses; tables that others read are replaced by `tables.replace_table`."""
     return _observed_write(df, metrics, lambda out: out.write.mode("overwrite").parquet(path))
 
 
