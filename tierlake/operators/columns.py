@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.functions.keys import date_parts, record_hash
+from tierlake.functions.keys import canonical, date_parts, record_hash
 from tierlake.run import RunInfo
 
 METADATA_PREFIX = "_"
@@ -87,7 +87,8 @@ def drop_metadata(df: DataFrame) -> DataFrame:
 
 def with_record_hash(df: DataFrame) -> DataFrame:
     """Add the hash of the business columns as they are now."""
-    hashed = record_hash([column(name).alias(name) for name in business_columns(df)])
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+    hashed = record_hash([canonical(column(name), kinds[name]).alias(name) for name in business_columns(df)])
     return df.withColumn("_record_hash", hashed)
 
 

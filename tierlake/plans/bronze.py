@@ -26,6 +26,7 @@ from tierlake.quality.rulesets import BRONZE_CHECKS
 from tierlake.quality.rulesets import bronze as bronze_suite
 from tierlake.run import RunInfo
 from tierlake.sources import files, sinks
+from tierlake.sources.claims import stamped
 from tierlake.sources.entities import EntitySpec, read_entity
 from tierlake.sources.publish import Place
 
@@ -62,12 +63,17 @@ def dated(records: DataFrame, spec: EntitySpec, run: RunInfo) -> DataFrame:
 
 
 def write_snapshots(spark: SparkSession, specs: Mapping[str, EntitySpec], base: str, run: RunInfo) -> dict[str, BronzeWrite]:
-    """Ingest every entity as this run's snapshot below ``<base>/bronze``."""
+    """Ingest every entity as this run's snapshot below ``<base>/bronze``.
+
+    Each run has a snapshot of its own, also if another one began in the same second;
+    a repeated run replaces its own.
+    """
     return side_by_side(spark, {name: partial(_write_snapshot, spark, spec, base, run) for name, spec in specs.items()})
 
 
 def _write_snapshot(spark: SparkSession, spec: EntitySpec, base: str, run: RunInfo) -> BronzeWrite:
     path = f"{base}/bronze/{spec.name}"
+    run = stamped(spark, f"{path}/_stamps", run)
     records = snapshot(read_entity(spark, spec, with_position=True), spec, run)
     rows = sinks.write_snapshot(records, path)[sinks.ROWS]
     log.info("%s: %d records at %s", spec.name, rows, path)

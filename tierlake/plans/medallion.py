@@ -23,6 +23,7 @@ from tierlake.quality import report, rulesets
 from tierlake.quality.rulesets import BRONZE_CHECKS
 from tierlake.run import RunInfo
 from tierlake.sources import files, sinks, tables
+from tierlake.sources.claims import stamped
 from tierlake.sources.entities import EntitySpec, landed
 from tierlake.sources.inventory import lake_inventory
 
@@ -109,6 +110,7 @@ def run_medallion(
     resume: bool = False, again_from: str | None = None,
 ) -> Lake:
     """Snapshot bronze, silver, gold and reports; quality reports, never blocks."""
+    run = stamped(spark, f"{base}/_runs/_stamps", run)
     lake = _begun(spark, base, run, resume, again_from)
     written = _ingested(lake, specs, lambda todo: bronze.write_snapshots(spark, todo, base, run))
     return _refine(lake, written, run)
@@ -130,6 +132,7 @@ def run(
     ``again_from`` the tables of that layer and the later ones are made again.
     """
     specs = specs or landed(raw_dir)
+    run_info = stamped(spark, f"{out_dir}/_runs/_stamps", run_info)
     lake = _begun(spark, out_dir, run_info, resume, again_from)
 
     def gated(todo: Mapping[str, EntitySpec]) -> dict[str, bronze.BronzeWrite]:

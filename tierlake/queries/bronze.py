@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierlake import schemas
 from tierlake.functions.keys import record_hash, run_stamp
@@ -45,6 +47,18 @@ def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def map_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a map of properties, also inside a struct and an array, built in two orders."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    pairs = [(F.lit("type"), F.col("event_type")), (F.lit("user"), F.col("user_id").cast("string"))]
+    made = []
+    for built, order in (("forward", pairs), ("backward", pairs[::-1])):
+        tags = F.create_map(*[part for pair in order for part in pair])
+        rows = events.select("event_id", tags.alias("tags"), F.struct(F.array(tags).alias("list")).alias("inside"))
+        made.append(with_record_hash(rows).select("event_id", F.lit(built).alias("built"), F.col("_record_hash").alias("record_hash")))
+    return made[0].unionByName(made[1])
+
+
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts")
     stamped = with_job_lineage(events, RUN, "landing/events", "events")
@@ -65,11 +79,12 @@ def partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested users ingested by two runs, the later one twice: two snapshots stay, nested as landed."""
+    """Nested users ingested by three runs, the second one twice: three snapshots stay, nested as landed."""
     base = scratch_folder(spark, "snapshots")
     tables.raw_users(spark, sf_dir).write.json(f"{base}/landing/users")
     specs = landed(f"{base}/landing", {"users": schemas.USERS})
-    for run in (RUN, LATER_RUN, LATER_RUN):
+    # The third is another run of the second's second, so it has a snapshot of its own.
+    for run in (RUN, LATER_RUN, LATER_RUN, replace(LATER_RUN, identity="another")):
         written = write_snapshots(spark, specs, base, run)
     path = written["users"].path
     snapshots = sinks.read_partitions(spark, path, by=(sinks.SNAPSHOT_PARTITION,))
@@ -137,6 +152,22 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.unionByName(texts)
 
 
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as CSV lines; of errors the number is spoilt, of purchases the user is missing, whom the schema requires."""
+    path = scratch_folder(spark, "rejects")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    number = F.when(F.col("event_type") == "error", F.concat(F.lit("no "), "event_id")).otherwise(F.col("event_id").cast("string"))
+    user = F.when(F.col("event_type") == "purchase", "").otherwise(F.col("user_id").cast("string"))
+    events.select(F.concat_ws(",", number, user, "event_type").alias("value")).write.text(f"{path}/landing")
+    schema = T.StructType([T.StructField(f.name, f.dataType, f.name != "user_id") for f in events.schema.fields])
+    good, bad = read_tolerant(spark, EntitySpec("events", f"{path}/landing", schema, format="csv"), f"{path}/staged")
+    records = good.select(*events.columns, F.lit(None).cast("string").alias("rejected"))
+    texts = bad.where("_source_file LIKE '%/landing/%'").select(
+        *[F.lit(None).cast(kind).alias(name) for name, kind in events.dtypes], F.col(CORRUPT).alias("rejected")
+    )
+    return records.unionByName(texts)
+
+
 def _all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: table(spark, sf_dir, name) for name in COLUMNS}
 
@@ -197,6 +228,17 @@ def raw_to_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_metadata(lake.profile())
 
 
+def arrays_to_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from JSON arrays that span lines, cut into records before they are parsed."""
+    base = scratch_folder(spark, "arrays")
+    for name, make in tables.RAW.items():
+        tables.land_arrays(make(spark, sf_dir), f"{base}/landing/{name}")
+    lake = medallion.run(
+        spark, f"{base}/landing", f"{base}/lake", RUN, landed(f"{base}/landing", multi_line=True)
+    )
+    return drop_metadata(lake.profile())
+
+
 def full_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed JSON through the snapshot run, to the summary of its stored reports."""
     base = scratch_folder(spark, "full")
@@ -207,6 +249,7 @@ def full_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "record_hash": hashes,
+    "record_hash_maps": map_hashes,
     "bronze_metadata": metadata,
     "bronze_partition_roundtrip": partition_roundtrip,
     "bronze_snapshot_roundtrip": snapshot_roundtrip,
@@ -214,11 +257,13 @@ QUERIES = {
     "bronze_gate_blocks": gate_blocks,
     "run_counts": run_counts,
     "ingest_rejects": rejects,
+    "ingest_rejects_csv": csv_rejects,
     "table_profile": profiles,
     "ingest_totals": totals,
     "preview_top": top_orders,
     "lake_inventory": inventory,
     "raw_to_processed": raw_to_processed,
+    "arrays_to_processed": arrays_to_processed,
     "full_run_summary": full_run_summary,
 }
 
@@ -237,6 +282,7 @@ def _profile_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+_TAGS = """'[{"key":"type","value":"' || event_type || '"},{"key":"user","value":"' || user_id || '"}]'"""
 _DAY = "strftime(ts, 'ano=%Y/mes=%m/dia=%d')"
 
 ORACLES = {
@@ -248,6 +294,15 @@ SELECT o_orderkey, true AS business_only,
            || (CASE WHEN starts_with(o_orderpriority, '1') THEN 'null'
                ELSE '"' || o_orderpriority || '"' END) || '}') AS record_hash
 FROM orders""",
+    "record_hash_maps": f"""
+SELECT event_id, built, md5('{{"event_id":' || event_id || ',"tags":' || tags || ',"inside":{{"list":[' || tags || ']}}}}') AS record_hash
+FROM (SELECT event_id, {_TAGS} AS tags FROM events) CROSS JOIN (VALUES ('forward'), ('backward')) AS orders(built)""",
+    "ingest_rejects_csv": """
+SELECT CASE WHEN good THEN event_id END AS event_id, CASE WHEN good THEN user_id END AS user_id,
+       CASE WHEN good THEN event_type END AS event_type,
+       CASE WHEN event_type = 'error' THEN 'no ' || event_id || ',' || user_id || ',' || event_type
+            WHEN event_type = 'purchase' THEN '{"event_id":' || event_id || ',"user_id":null,"event_type":"purchase"}' END AS rejected
+FROM (SELECT *, event_type NOT IN ('error', 'purchase') AS good FROM events)""",
     "bronze_metadata": """
 SELECT event_id, '20240203_040506' AS _ingestion_timestamp, '2024-02-03' AS _ingestion_date,
        'landing/events' AS _source_url, 'events' AS _source_entity, 'queries' AS _job_name,
@@ -265,7 +320,7 @@ SELECT user_id AS id, name, 'Street ' || CAST(user_id AS VARCHAR) AS street, add
        'struct<street:string,suite:string,city:string,zipcode:string,geo:struct<lat:string,lng:string>>' AS address_type,
        'struct<name:string,catchPhrase:string,bs:string>' AS company_type,
        run, 'landing_files' AS _source_system
-FROM users CROSS JOIN (VALUES ('20240203_040506'), ('20240204_040506')) AS runs(run)""",
+FROM users CROSS JOIN (VALUES ('20240203_040506'), ('20240204_040506'), ('20240204_040506_01')) AS runs(run)""",
     "bronze_gate_blocks": """
 SELECT o_custkey AS "userId", o_orderkey AS id, o_orderpriority AS title,
        o_orderstatus || ' ' || o_orderpriority AS body,
@@ -307,4 +362,5 @@ SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DES
 SELECT DISTINCT 'bronze' AS layer, 'events' AS dataset, 'events/' || {_DAY} AS folder, true AS filled, true AS agrees FROM events
 UNION ALL SELECT DISTINCT 'silver', 'customer', 'customer', true, true FROM customer""",
     "raw_to_processed": PROFILE_SQL,
+    "arrays_to_processed": PROFILE_SQL,
 }

@@ -146,3 +146,12 @@ def land(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Write every raw entity as JSON lines below the folder."""
     for name, make in RAW.items():
         make(spark, sf_dir).write.mode("overwrite").json(f"{folder}/{name}")
+
+
+def land_arrays(records: DataFrame, folder: str, files: int = 8) -> None:
+    """Write the records as JSON arrays, a record to a line and an array to a file."""
+    columns = records.columns
+    whole = records.withColumn("_file", F.pmod(F.xxhash64(*columns), F.lit(files)))
+    arrays = whole.groupBy("_file").agg(F.array_join(F.collect_list(F.to_json(F.struct(*columns))), ",\n").alias("content"))
+    values = arrays.select(F.concat(F.lit("[\n"), "content", F.lit("\n]")).alias("value"))
+    values.write.option("maxRecordsPerFile", 1).text(folder)

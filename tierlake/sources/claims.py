@@ -13,16 +13,19 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
 
+from tierlake.run import RunInfo
 from tierlake.sources import files
 
 log = logging.getLogger(__name__)
 
 #: Seconds to wait for a claim, between two looks at it, and until it counts as abandoned.
 PATIENCE, LOOK, ABANDONED = 600.0, 0.2, 3600.0
+#: Seconds until a small file that is being made has its content.
+WRITTEN = 5.0
 
 
 class ClaimedError(RuntimeError):
@@ -85,3 +88,22 @@ def _take_away(spark: SparkSession, path: str, expected: str, owner: str) -> Non
         return
     log.warning("%s: taken over from a run that left it", path)
     files.remove(spark, aside)
+
+
+def stamped(spark: SparkSession, folder: str, run: RunInfo) -> RunInfo:
+    """The run with a stamp that no other run has in this folder: its own, or the next free one.
+
+    A stamp is claimed for good by a small file that holds the run's identity, so a
+    repeated run finds its stamp again.
+    """
+    for number in range(10_000):
+        tried = replace(run, suffix=f"_{number:02d}" if number else "")
+        path = f"{folder}/{tried.stamp}"
+        if files.create(spark, path, run.identity):
+            return tried
+        until = time.monotonic() + WRITTEN
+        while not (known := files.read_text(spark, path)) and time.monotonic() < until:
+            time.sleep(LOOK)
+        if known == run.identity:
+            return tried
+    raise ClaimedError(f"{folder} has no free stamp for {run.stamp}")
