@@ -275,6 +275,65 @@ def test_jaccard_join_against_all_pairs(docs, monkeypatch, rounds):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == python_components(ROWS)
 
 
+def crowd(count, seed=1):
+    """Copies of a text with words left out or changed, most of them too far from each other to link."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for k in range(count):
+        words, edits = list(base), int(rng.integers(1, 12))
+        for at in sorted(rng.choice(len(words), edits, replace=False), reverse=True):
+            if rng.random() < 0.7:
+                del words[at]
+            else:
+                words[at] = f"x{rng.integers(0, 40)}"
+        rows.append((k, " ".join(words), None))
+    return rows
+
+
+def matrix_components(rows):
+    """Components from all intersections at once."""
+    sets = [set(zip(*(text.split()[k:] for k in range(5)), strict=False)) for _, text, _ in rows]
+    number = {shingle: k for k, shingle in enumerate(sorted(set().union(*sets)))}
+    incidence = np.zeros((len(sets), len(number)), np.float32)
+    for k, own in enumerate(sets):
+        incidence[k, [number[shingle] for shingle in own]] = 1
+    both, sizes = incidence @ incidence.T, incidence.sum(axis=1)
+    linked = 100 * both >= 75 * (sizes[:, None] + sizes[None, :] - both)
+    least = np.arange(len(rows))
+    while True:
+        lower = np.where(linked, least[None, :], len(rows)).min(axis=1)
+        if (lower == least).all():
+            share = float(linked.mean())
+            return {k: int(root) for k, root in enumerate(least)}, share
+        least = lower
+
+
+def test_a_crowd_is_joined_without_pairing_all_of_it(spark, tmp_path, monkeypatch):
+    """Pairs that are formed and verified grow with the sets, not with their square."""
+    rows, counted = crowd(2000), []
+    wanted, share = matrix_components(rows)
+    assert 0.01 < share < 0.4 and len(set(wanted.values())) > 100
+    for name in ("overlaps", "boundary_pairs"):
+        made = getattr(jaccard_join, name)
+
+        def counts(*arguments, made=made, name=name):
+            found = made(*arguments)
+            counted.append((name, (found if name == "boundary_pairs" else arguments[0]).count()))
+            return found
+
+        monkeypatch.setattr(jaccard_join, name, counts)
+    found = jaccard_join.join(cases.documents(spark, tmp_path, rows))[1].collect()
+    assert {r.doc_id: r.component_id for r in found} == wanted
+    assert sum(n for _, n in counted) < 20 * len(rows)
+
+
+def test_rows_without_identifier_give_way_in_their_group(spark, tmp_path):
+    text = "some words that make up one text of two rows"
+    kept = jaccard_join.keep_one(cases.documents(spark, tmp_path, [(None, text, "a"), (5, text, "b"), (7, text, "c"), (None, "alone", "d")]))
+    assert cases.collected(kept.select("doc_id", "source")) == sorted([(5, "b"), (None, "d")], key=repr)
+
+
 def test_jaccard_join_with_all_shingles_common(docs, monkeypatch):
     monkeypatch.setattr(jaccard_join, "COMMON_LEAST", 0)
     found = jaccard_join.join(docs)[1].collect()

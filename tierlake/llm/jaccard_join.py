@@ -9,22 +9,30 @@
    window is where the set is replicated; two sets that link share a cell.
    Shingles that many documents share come last in the order, which keeps cells
    small; the order never changes the result.
-2. Regions. In cells of several sets, documents are pivots: every set goes to the
-   pivot it shares most cells with, its Voronoi region, and its exact distance to
-   it is computed. Sets within the radius are linked to the pivot and share its
-   label, so no pair among them has to be looked at. What is left outside goes to
-   other pivots of its cells in the next round.
-3. Boundaries. Sets of different labels that share a cell are paired, unless their
-   distances to one pivot differ by more than the radius (triangle inequality),
-   or the cells they share are too few for the overlap they need. The pairs that
-   are left are verified on the whole sets.
+2. Regions, round by round. The pivot of a crowded cell is its most central document,
+   the one that meets most others in all its cells: of copies of a text with edits, that
+   is the text itself. Every set goes to the pivot it shares most cells with, its Voronoi
+   region, and its exact distance to it is computed. Sets within the radius are linked to
+   the pivot and share its label, so no pair among them has to be looked at. Of what is
+   left, sets that too few others share anything with can't link and leave the cell; the
+   rest of the cells that still hold several labels are divided again by other pivots.
+3. Differences. What is still crowded then is joined again region by region, by what its
+   sets differ in from their pivot: |a xor b| follows from |a xor p|, |b xor p| and what
+   these two share. Two sets whose differences share nothing can only link if both link
+   with the pivot. So only sets that differ in the same way meet, however many are close
+   to one pivot; shingles in which the same sets differ count as one of some weight.
+4. Boundaries. Sets of different labels and regions that are left in a cell are paired,
+   unless their distances to any pivot that both were compared with differ by more than
+   the radius (triangle inequality), or the cells they share are too few for the overlap
+   they need. The pairs that are left are verified on the whole sets.
 
 Equal sets are one node with as many rows as there are. A pair may stay untried
 only if its nodes are already connected, so components are exact.
 
 * Null texts and texts without words have an empty set, link with nothing and are
   a component of their own; texts of fewer words than a shingle are one shingle.
-* Null identifiers never name a component unless it has no other.
+* Null identifiers never name a component unless it has no other, and a row without one
+  is kept only if its group has no other.
 * Repeated rows are rows of their own. An empty table gives an empty table.
 * Shingles are compared by 64-bit hashes, whole sets by 96 bits.
 """
@@ -50,10 +58,10 @@ from tierlake.llm.shingles import set_name, shingle_set
 COMMON_BITS = 1 << 23
 #: Most shingles that are put last in the order, and the least count for that.
 COMMON_MOST, COMMON_LEAST = 1 << 19, 8
-#: Shingles that are counted together in a task.
-COUNTED = 1 << 22
-#: Rounds in which sets outside their region are given to another pivot.
-ROUNDS = 5
+#: Shingles that are counted together in a task, and postings that leave it together.
+COUNTED, POSTED = 1 << 21, 1 << 18
+#: Rounds in which sets outside their region are given to another pivot, at most.
+ROUNDS = 2
 
 NODE = np.dtype([("node", "V12"), ("n", "<i4")])
 
@@ -148,8 +156,13 @@ def cells(rows: Located, text: str, rule: Rule, common: np.ndarray, buckets: int
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(table.value).view(bool)
+        keys, nodes, lengths, seen, size = [], [], [], set(), 0
+
+        def posted() -> pd.DataFrame:
+            payloads = np.repeat(np.array(nodes, NODE), lengths)
+            return pack(np.concatenate(keys), payloads, buckets)
+
         for batch in batches:
-            keys, nodes, lengths, seen = [], [], [], set()
             for content in batch["content"]:
                 shingles = shingle_set(content, rule.width)
                 node = set_name(shingles)
@@ -159,9 +172,12 @@ def cells(rows: Located, text: str, rule: Rule, common: np.ndarray, buckets: int
                 keys.append(window(shingles, bits))
                 nodes.append((node, len(shingles)))
                 lengths.append(len(keys[-1]))
-            if keys:
-                payloads = np.repeat(np.array(nodes, NODE), lengths)
-                yield pack(np.concatenate(keys), payloads, buckets)
+                size += lengths[-1]
+                if size > POSTED:
+                    yield posted()
+                    keys, nodes, lengths, seen, size = [], [], [], set(), 0
+        if keys:
+            yield posted()
 
     def unpack(keys: np.ndarray, payloads: np.ndarray, _: np.ndarray) -> pd.DataFrame:
         return pd.DataFrame({
@@ -194,24 +210,23 @@ def overlaps(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     return both.withColumn("either", F.col("_na") + F.col("_nb") - F.col("both")).drop("_a", "_b", "_na", "_nb")
 
 
-def candidates(members: DataFrame, salt: int, tried: DataFrame, rule: Rule) -> DataFrame:
-    """a, b: every set with a pivot of another label that it shares most cells with."""
-    members = members.select("cell", "node", "n", "f", "label")
-    draw = F.struct(
-        F.xxhash64("label", F.lit(salt)).alias("by_label"), F.xxhash64("node", F.lit(salt)).alias("by_node"),
-        "label", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("f").alias("g"),
+def candidates(members: DataFrame, tried: DataFrame, rule: Rule) -> DataFrame:
+    """a, b: every set with a pivot of another label that it shares most cells with.
+
+    A cell's pivot is its most central set that has not been one before.
+    """
+    members = members.select("cell", "node", "n", "f", "central", "label")
+    rank = F.struct("central", "node", "label", F.col("n").alias("m"), F.col("f").alias("g"))
+    fresh = members.join(tried.select(F.col("b").alias("node")).distinct(), "node", "left_anti")
+    pivots = fresh.groupBy("cell").agg(F.max(rank).alias("p")).select(
+        "cell", F.col("p.node").alias("pivot"), "p.m", "p.g", F.col("p.label").alias("other")
     )
-    pivots = members.groupBy("cell").agg(
-        F.min(draw).alias("p"), F.min("label").alias("low"), F.max("label").alias("high")
-    ).where("low <> high").select("cell", "p.pivot", "p.m", "p.g", F.col("p.label").alias("other"))
     met = members.join(pivots, "cell").where(
         (F.col("label") != F.col("other")) & rule.similar_sizes(F.col("n"), F.col("m"))
         & rule.may_link(F.col("n"), F.col("m"), F.least("f", "g"))
     )
-    counted = met.groupBy("node", "pivot").agg(F.count("*").alias("cells"), F.first("n").alias("n"), F.first("m").alias("m"))
-    hopeful = counted.where(rule.may_link(F.col("n"), F.col("m"), 2 * F.col("cells")))
-    fresh_pairs = hopeful.join(tried.select(F.col("a").alias("node"), F.col("b").alias("pivot")), ["node", "pivot"], "left_anti")
-    best = fresh_pairs.groupBy("node").agg(F.max(F.struct("cells", "pivot")).alias("best"))
+    counted = met.groupBy("node", "pivot").agg(F.count("*").alias("cells"))
+    best = counted.groupBy("node").agg(F.max(F.struct("cells", "pivot")).alias("best"))
     return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
 
 
@@ -229,32 +244,105 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return moved.select(*labels.columns)
 
 
-def crowded_cells(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members with their new labels, without cells where all have one: their sets are connected."""
-    named = members.select("cell", "node", "n").join(labels.select("node", "f", "label"), "node")
-    several = named.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    return named.join(several.select("cell"), "cell", "left_semi").select("cell", "node", "n", "f", "label")
+def crowded_cells(members: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """The members with their new labels, without cells where all have one: their sets are connected.
+
+    Sets that can't reach the overlap they need with even the smallest set of the cell leave it.
+    """
+    named = members.select("cell", "node").join(labels.select("node", "n", "f", "central", "label"), "node")
+    smallest = named.groupBy("cell").agg(F.min("n").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
+    partner = F.greatest("m", F.ceil(F.col("n") * rule.percent / 100))
+    able = named.join(smallest.where("low <> high").select("cell", "m"), "cell").where(rule.may_link(F.col("n"), partner, F.col("f")))
+    several = able.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return able.join(several.select("cell"), "cell", "left_semi").select("cell", "node", "n", "f", "central", "label")
+
+
+def homes(members: DataFrame) -> DataFrame:
+    """a, b: every set with the centre of its region, itself if it is one.
+
+    The way goes from a set to the most central set of all its cells, and on from there.
+    """
+    rank = F.struct("central", "node")
+    tops = members.groupBy("cell").agg(F.max(rank).alias("top"))
+    up = stored(members.join(tops, "cell").groupBy("node").agg(F.max("top").getField("node").alias("up")), "join-up")
+    for _ in range(2):
+        above = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        up = up.join(above, "up").select("node", F.col("top").alias("up"))
+    return up.select(F.col("node").alias("a"), F.col("up").alias("b"))
+
+
+def differences(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) with both, either, and the shingles that only one of the two sets has."""
+
+    @F.pandas_udf("binary")
+    def apart(first: pd.Series, second: pd.Series) -> pd.Series:
+        return pd.Series([
+            np.setxor1d(shingles_of(x, rule.width), shingles_of(y, rule.width), assume_unique=True).tobytes()
+            for x, y in zip(first, second, strict=True)
+        ])
+
+    a = texts.select(F.col("node").alias("a"), F.col("packed").alias("_a"), F.col("n").alias("na"))
+    b = texts.select(F.col("node").alias("b"), F.col("packed").alias("_b"), F.col("n").alias("_nb"))
+    found = pairs.join(a, "a").join(b, "b").withColumn("only", apart("_a", "_b"))
+    either = (F.col("na") + F.col("_nb") + F.col("d")) / 2
+    found = found.withColumn("d", (F.length("only") / 8).cast("bigint")).withColumn("either", either.cast("bigint"))
+    return found.withColumn("both", F.col("either") - F.col("d")).select("a", "b", "na", "d", "both", "either", "only")
+
+
+def links_within(regions: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """a, b, both, either: linked sets of different labels in one region, but for those that link with its centre."""
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for home, node, only in zip(batch["home"], batch["node"], batch["only"], strict=True):
+                own = np.frombuffer(only, np.int64)
+                yield pd.DataFrame({"home": [home] * len(own), "node": [node] * len(own), "shingle": own})
+
+    sets = regions.select(F.col("b").alias("home"), F.col("a").alias("node"), "only")
+    postings = stored(sets.mapInPandas(spread, "home binary, node binary, shingle bigint"), "join-differences")
+    alike = postings.groupBy("home", "shingle").agg(
+        F.count("*").alias("count"), F.bit_xor(F.xxhash64("node")).alias("v"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("w")
+    ).where("count > 1")
+    kept = alike.groupBy("home", "count", "v", "w").agg(F.min("shingle").alias("shingle"), F.count("*").alias("weight"))
+    known = regions.select(F.col("b").alias("home"), F.col("a").alias("node"), F.col("na").alias("n"), "d").join(
+        labels.select("node", "label"), "node")
+    sizes = known.groupBy("home", "label").agg(F.count("*").alias("size"))
+    major = sizes.groupBy("home").agg(F.max(F.struct("size", "label")).alias("most"), F.count("*").alias("labels"))
+    known = known.join(major.where("labels > 1").select("home", F.col("most.label").alias("major")), "home")
+    rows = stored(
+        postings.join(kept.select("home", "shingle", "weight"), ["home", "shingle"]).join(known, ["home", "node"]),
+        "join-alike")
+    few = rows.where("label <> major").select("home", "shingle", *(F.col(x).alias(f"{x}a") for x in ("node", "n", "d", "label")))
+    every = rows.select("home", "shingle", "weight", "major", *(F.col(x).alias(f"{x}b") for x in ("node", "n", "d", "label")))
+    once = (F.col("labelb") == F.col("major")) | (F.col("nodea") < F.col("nodeb"))
+    met = few.join(every, ["home", "shingle"]).where(
+        (F.col("labela") != F.col("labelb")) & once & rule.similar_sizes(F.col("na"), F.col("nb"))
+    )
+    counted = met.groupBy(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).agg(
+        F.sum("weight").alias("same"), *(F.first(x).alias(x) for x in ("na", "nb", "da", "db"))
+    )
+    total = F.col("na") + F.col("nb")
+    both = F.col("same") + ((total - F.col("da") - F.col("db")) / 2).cast("bigint")
+    return linked(counted.select("a", "b", both.alias("both"), (total - both).alias("either")), rule)
 
 
 def boundary_pairs(members: DataFrame, tried: DataFrame, rule: Rule) -> DataFrame:
-    """a, b: sets of different labels that share enough cells and pass the triangle inequality."""
+    """a, b: sets of different labels and homes that share enough cells and pass the triangle inequality."""
+    whole = members.groupBy("cell").agg(F.min("home").alias("low"), F.max("home").alias("high"))
+    members = members.join(whole.where("low <> high").select("cell"), "cell", "left_semi")
     sizes = members.groupBy("cell", "label").agg(F.count("*").alias("size"))
     most = sizes.groupBy("cell").agg(F.max(F.struct("size", "label")).alias("most"), F.count("*").alias("labels"))
     most = most.where("labels > 1").select("cell", F.col("most.label").alias("major"))
     crowded = members.join(most, "cell")
-    few = crowded.where("label <> major").select(
-        "cell", F.col("node").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("label").alias("la"),
-        F.col("pivot").alias("pa"), F.col("distance").alias("da"),
-    )
-    all_rows = crowded.select(
-        "cell", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("label").alias("lb"), "major",
-        F.col("pivot").alias("pb"), F.col("distance").alias("db"),
-    )
+    names = {"node": "", "n": "n", "f": "f", "label": "l", "reached": "r", "home": "h"}
+    few = crowded.where("label <> major").select("cell", *(F.col(x).alias(f"{to}a") for x, to in names.items()))
+    every = crowded.select("cell", "major", *(F.col(x).alias(f"{to}b") for x, to in names.items()))
     once = (F.col("lb") == F.col("major")) | (F.col("a") < F.col("b"))
-    apart = F.coalesce((F.col("pa") == F.col("pb")) & (F.abs(F.col("da") - F.col("db")) > 1 - rule.percent / 100 + 1e-9), F.lit(False))
-    met = few.join(all_rows, "cell").where(
-        (F.col("la") != F.col("lb")) & once & ~apart & rule.similar_sizes(F.col("na"), F.col("nb"))
-        & rule.may_link(F.col("na"), F.col("nb"), F.least("fa", "fb"))
+    radius = 1 - rule.percent / 100 + 1e-9
+    apart = F.exists("ra", lambda x: F.exists("rb", lambda y: (x.pivot == y.pivot) & (F.abs(x.distance - y.distance) > radius)))
+    met = few.join(every, "cell").where(
+        (F.col("la") != F.col("lb")) & (F.col("ha") != F.col("hb")) & once & rule.similar_sizes(F.col("na"), F.col("nb"))
+        & rule.may_link(F.col("na"), F.col("nb"), F.least("fa", "fb")) & ~apart
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("na", "nb").alias("na"), F.greatest("na", "nb").alias("nb"))
     counted = met.groupBy("a", "b").agg(F.count("*").alias("cells"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     hopeful = counted.where(rule.may_link(F.col("na"), F.col("nb"), F.col("cells"))).select("a", "b")
@@ -267,20 +355,22 @@ def linked(overlap: DataFrame, rule: Rule) -> DataFrame:
 
 
 def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> tuple[Located, DataFrame]:
-    """The numbered rows, and rid, doc_id, n_shingles, component_id and first (the least doc_id, rid) of each."""
+    """The numbered rows, and rid, doc_id, n_shingles, component_id and first (its least doc_id and rid) of each."""
     ship(docs.sparkSession)
     rows = numbered(docs)
     profile = stored(profiles(rows, identifier, text, rule), "join-profiles")
     documents = profile.where("node is not null").select("rid", "doc_id", "n", "node")
     common = common_table(profile)
     postings = documents.agg(F.sum("n")).first()[0] or 0
-    found = cells(rows, text, rule, common, buckets_for(docs, postings * (1 - rule.percent / 100)))
-
-    nodes = documents.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "rid")).alias("first")
-    )
-    # f: cells of a set that others share; two sets share no more cells than either has.
-    inside = stored(found.groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("f")), "join-nodes")
+    found = cells(rows, text, rule, common, buckets_for(docs, postings * (1 - rule.percent / 100), POSTED))
+
+    own = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "rid")
+    nodes = documents.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(own).alias("first"))
+    # f: cells of a set that others share; two sets share no more cells than either has. central: sets met in them.
+    sizes = found.groupBy("cell").agg(F.count("*").alias("size"))
+    inside = stored(found.join(sizes, "cell").groupBy("node").agg(
+        F.first("n").alias("n"), F.count("*").alias("f"), F.sum(F.col("size") - 1).alias("central")
+    ), "join-nodes")
     pack_text = F.pandas_udf(
         lambda texts: pd.Series([zstandard.compress(x.encode("utf-8", "surrogatepass")) for x in texts]), "binary"
     )
@@ -288,32 +378,42 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     whole = rows.frame.select(F.col(rows.row).alias("rid"), plain_text(text).alias("content"))
     texts = stored(whole.join(wanted, "rid").select("node", "n", pack_text("content").alias("packed")), "join-texts")
 
-    labels = inside.select(
-        "node", "f", F.col("node").alias("label"), F.lit(None).cast("binary").alias("pivot"), F.lit(None).cast("double").alias("distance")
-    )
+    nowhere = F.array().cast("array<struct<pivot:binary,distance:double>>")
+    labels = inside.select("node", "n", "f", "central", F.col("node").alias("label"), nowhere.alias("reached"))
     tried = labels.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("both"), F.lit(1).cast("bigint").alias("either")).limit(0)
-    members = found.withColumns({"f": F.col("n"), "label": F.col("node")})
-    for salt in range(ROUNDS):
-        pairs = candidates(members, salt, tried, rule)
-        done = stored(overlaps(pairs, texts, rule), "join-regions")
+    members = stored(crowded_cells(found, labels, rule), "join-members")
+    for _ in range(ROUNDS):
+        done = stored(overlaps(candidates(members, tried, rule), texts, rule), "join-regions")
         if done.isEmpty():
             break
-        regions = done.select(F.col("a").alias("node"), F.col("b").alias("_p"), (1 - F.col("both") / F.col("either")).alias("_d"))
-        labels = relabelled(labels, linked(done, rule)).join(regions, "node", "left").select(
-            "node", "f", "label",
-            F.when(F.col("pivot").isNull(), F.col("_p")).otherwise(F.col("pivot")).alias("pivot"),
-            F.when(F.col("pivot").isNull(), F.col("_d")).otherwise(F.col("distance")).alias("distance"),
+        at = F.struct(F.col("b").alias("pivot"), (1 - F.col("both") / F.col("either")).alias("distance"))
+        regions = done.select(F.col("a").alias("node"), F.array(at).alias("at"))
+        # A pivot is no way from itself.
+        centres = done.select(F.col("b").alias("node")).distinct().select(
+            "node", F.array(F.struct(F.col("node").alias("pivot"), F.lit(0.0).alias("distance"))).alias("here")
+        )
+        labels = relabelled(labels, linked(done, rule)).join(regions, "node", "left").join(centres, "node", "left").select(
+            "node", "n", "f", "central", "label",
+            F.concat("reached", F.coalesce("at", nowhere), F.coalesce("here", nowhere)).alias("reached"),
         )
         labels = stored(labels, "join-labels")
         tried = tried.unionByName(done)
-        members = stored(crowded_cells(members, labels), "join-members")
-    rest = boundary_pairs(members.drop("f", "label").join(labels, "node"), tried, rule)
-    links = linked(tried, rule).unionByName(linked(stored(overlaps(rest, texts, rule), "join-boundary"), rule))
+        members = stored(crowded_cells(members, labels, rule), "join-members")
+    regions = stored(differences(homes(members), texts, rule), "join-homes")
+    labels = stored(relabelled(labels, linked(regions, rule)), "join-labels")
+    # Only sets nearer than twice the radius can link with what links with the centre; the others are on their own.
+    regions = regions.where(F.col("both") * 100 >= F.col("either") * (2 * rule.percent - 100))
+    within = stored(links_within(regions, labels, rule), "join-within")
+    home = regions.select(F.col("a").alias("node"), F.col("b").alias("home"))
+    left = members.select("cell", "node").join(labels.join(home, "node", "left").withColumn("home", F.coalesce("home", "node")), "node")
+    rest = boundary_pairs(left, tried, rule)
+    met = stored(overlaps(rest, texts, rule), "join-boundary")
+    links = linked(tried, rule).select("a", "b").unionByName(linked(regions, rule).select("a", "b"))
+    links = links.unionByName(within.select("a", "b")).unionByName(linked(met, rule).select("a", "b"))
     roots = components(links.select("a", "b"))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     tops = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.min("first").alias("first"))
     named = rooted.select("node", "root").join(tops, "root").select("node", "component_id", "first")
-    own = F.struct("doc_id", "rid")
     alone = documents.where("n = 0").select(
         "rid", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), own.alias("first")
     )

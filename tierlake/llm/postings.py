@@ -23,10 +23,10 @@ LEAST_PER_BUCKET, PER_BUCKET, SLICE = 1 << 15, 1 << 20, 1 << 15
 Unpack = Callable[[np.ndarray, np.ndarray, np.ndarray], pd.DataFrame]
 
 
-def buckets_for(frame: DataFrame, postings: float) -> int:
+def buckets_for(frame: DataFrame, postings: float, most: int = PER_BUCKET) -> int:
     """As many buckets as keep each one small, and the cluster busy, but not more than fill packed rows."""
     width = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(min(width, int(postings / LEAST_PER_BUCKET) + 1), int(postings / PER_BUCKET) + 1)
+    return max(min(width, int(postings / LEAST_PER_BUCKET) + 1), int(postings / most) + 1)
 
 
 def again(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
