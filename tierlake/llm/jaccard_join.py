@@ -272,21 +272,28 @@ def homes(members: DataFrame) -> DataFrame:
 
 
 def differences(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) with both, either, and the shingles that only one of the two sets has."""
+    """The pairs (a, b) with both, either, and the shingles that only one of the two sets has.
 
-    @F.pandas_udf("binary")
-    def apart(first: pd.Series, second: pd.Series) -> pd.Series:
-        return pd.Series([
-            np.setxor1d(shingles_of(x, rule.width), shingles_of(y, rule.width), assume_unique=True).tobytes()
-            for x, y in zip(first, second, strict=True)
-        ])
+    These are null beyond twice the radius: nothing can link with a and with what links with b.
+    """
+
+    @F.pandas_udf("both bigint, only binary")
+    def apart(first: pd.Series, second: pd.Series) -> pd.DataFrame:
+        found = []
+        for x, y in zip(first, second, strict=True):
+            x, y = shingles_of(x, rule.width), shingles_of(y, rule.width)
+            only = np.setxor1d(x, y, assume_unique=True)
+            both = (len(x) + len(y) - len(only)) // 2
+            near = both * 100 >= (both + len(only)) * (2 * rule.percent - 100)
+            found.append((both, only.tobytes() if near else None))
+        return pd.DataFrame(found, columns=["both", "only"])
 
     a = texts.select(F.col("node").alias("a"), F.col("packed").alias("_a"), F.col("n").alias("na"))
     b = texts.select(F.col("node").alias("b"), F.col("packed").alias("_b"), F.col("n").alias("_nb"))
-    found = pairs.join(a, "a").join(b, "b").withColumn("only", apart("_a", "_b"))
-    either = (F.col("na") + F.col("_nb") + F.col("d")) / 2
-    found = found.withColumn("d", (F.length("only") / 8).cast("bigint")).withColumn("either", either.cast("bigint"))
-    return found.withColumn("both", F.col("either") - F.col("d")).select("a", "b", "na", "d", "both", "either", "only")
+    found = pairs.join(a, "a").join(b, "b").withColumn("_found", apart("_a", "_b"))
+    found = found.select("a", "b", "na", "_nb", "_found.both", "_found.only")
+    found = found.withColumn("either", F.col("na") + F.col("_nb") - F.col("both"))
+    return found.select("a", "b", "na", (F.col("either") - F.col("both")).alias("d"), "both", "either", "only")
 
 
 def links_within(regions: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
@@ -371,17 +378,18 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     inside = stored(found.join(sizes, "cell").groupBy("node").agg(
         F.first("n").alias("n"), F.count("*").alias("f"), F.sum(F.col("size") - 1).alias("central")
     ), "join-nodes")
+    nowhere = F.array().cast("array<struct<pivot:binary,distance:double>>")
+    labels = inside.select("node", "n", "f", "central", F.col("node").alias("label"), nowhere.alias("reached"))
+    tried = labels.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("both"), F.lit(1).cast("bigint").alias("either")).limit(0)
+    members = stored(crowded_cells(found, labels, rule), "join-members")
     pack_text = F.pandas_udf(
         lambda texts: pd.Series([zstandard.compress(x.encode("utf-8", "surrogatepass")) for x in texts]), "binary"
     )
-    wanted = inside.join(nodes, "node").select("node", "n", F.col("first.rid").alias("rid"))
+    # Only sets in crowded cells are ever compared.
+    compared = inside.join(members.select("node").distinct(), "node", "left_semi")
+    wanted = compared.join(nodes, "node").select("node", "n", F.col("first.rid").alias("rid"))
     whole = rows.frame.select(F.col(rows.row).alias("rid"), plain_text(text).alias("content"))
     texts = stored(whole.join(wanted, "rid").select("node", "n", pack_text("content").alias("packed")), "join-texts")
-
-    nowhere = F.array().cast("array<struct<pivot:binary,distance:double>>")
-    labels = inside.select("node", "n", "f", "central", F.col("node").alias("label"), nowhere.alias("reached"))
-    tried = labels.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("both"), F.lit(1).cast("bigint").alias("either")).limit(0)
-    members = stored(crowded_cells(found, labels, rule), "join-members")
     for _ in range(ROUNDS):
         done = stored(overlaps(candidates(members, tried, rule), texts, rule), "join-regions")
         if done.isEmpty():
@@ -402,7 +410,7 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     regions = stored(differences(homes(members), texts, rule), "join-homes")
     labels = stored(relabelled(labels, linked(regions, rule)), "join-labels")
     # Only sets nearer than twice the radius can link with what links with the centre; the others are on their own.
-    regions = regions.where(F.col("both") * 100 >= F.col("either") * (2 * rule.percent - 100))
+    regions = regions.where("only is not null")
     within = stored(links_within(regions, labels, rule), "join-within")
     home = regions.select(F.col("a").alias("node"), F.col("b").alias("home"))
     left = members.select("cell", "node").join(labels.join(home, "node", "left").withColumn("home", F.coalesce("home", "node")), "node")
