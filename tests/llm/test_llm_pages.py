@@ -58,6 +58,17 @@ def test_names_count_as_wholes_and_wrappers_do_not_hide_the_article(html, text):
     assert main_text(html, frozenset()) == text
 
 
+@pytest.mark.parametrize("name", ["user-comments", "reader-comments", "post-comments", "commentlist", "google-ads", "newsletter-form"])
+def test_comments_and_adverts_go_by_their_names(name):
+    assert main_text(f"<article><p>story</p><div class={name}><p>JUNK</p></div></article>", frozenset()) == "story"
+    assert main_text(f"<div><p>story</p></div><div class='{name}'><p>JUNK</p></div>", frozenset()) == "story"
+
+
+@pytest.mark.parametrize("name", ["post", "user", "post-form", "reader-list", "google", "thread"])
+def test_names_of_places_alone_hide_nothing(name):
+    assert main_text(f"<article><p>story</p><div class={name}><p>more</p></div></article>", frozenset()) == "story\nmore"
+
+
 def made(number, body):
     return f"<html><body><div><span>Site name</span></div><div>{body}</div><div>All rights reserved</div></body></html>"
 

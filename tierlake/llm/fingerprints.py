@@ -19,7 +19,7 @@ From the larger of the two estimates and the counts follows the Jaccard similari
 of the two multisets. The scale is off by 18 percent (a standard deviation).
 
 Null texts count as empty, an empty text is one empty piece. Equal texts have
-equal fingerprints and likeness 1; others have less. The next document is the one
+equal fingerprints and likeness 1, and so have texts of the same pieces in another order. The next document is the one
 of the next lower identifier; null identifiers come last, and rows of one
 identifier follow by file and row. A table of one row is its own next document,
 an empty table gives an empty table. Other columns are not read.

@@ -19,14 +19,14 @@ MAIN = frozenset("article main".split())
 BESIDE = frozenset("nav footer aside form menu button select textarea dialog datalist label".split())
 BESIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs comment comments"
-    " complementary consent contentinfo cookie cookies disqus footer gdpr masthead menu modal nav navbar navigation"
+    " commentlist complementary consent contentinfo cookie cookies disqus footer gdpr masthead menu modal nav navbar navigation"
     " newsletter notice notices popup promo promotion related replies respond search share sharing sidebar signup"
     " social sponsor sponsored subscribe toolbar widget".split()
 )
-# Words that may stand beside those in a name: where a block is, or what holds it.
+# Words that may stand beside those in a name: where a block is, what holds it, or whose it is.
 PLACE_WORDS = frozenset(
-    "area bar block bottom box container inner items left links list main page primary right secondary section site"
-    " slot top unit wrap wrapper".split()
+    "area bar block bottom box container form google inner items left links list main page post primary reader readers"
+    " right secondary section site slot thread top unit user users wrap wrapper".split()
 )
 # Names that inside an article may as well be those of its own sections.
 OWN_WORDS = frozenset("related search social share notice notices respond".split())
