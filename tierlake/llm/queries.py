@@ -21,4 +21,4 @@ QUERIES = {
     "op13_filter_audit": filter_audit.query,
 }
 
-ORACLES = {"op1_exact_dedup": exact_dedup.SQL, "op13_filter_audit": filter_audit.SQL}
+ORACLES = {"op1_exact_dedup": exact_dedup.SQL, "op13_filter_audit": filter_audit.SQL, "op8_substring_dedup": substring_dedup.SQL}

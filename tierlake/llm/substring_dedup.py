@@ -195,3 +195,24 @@ def cleaned(docs: DataFrame, identifier: str = "doc_id", text: str = "text", cov
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = r"""
+WITH texts AS MATERIALIZED (
+    SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+    SELECT rid, begun, array_to_string(words[begun:begun + 34], ' ') AS content
+    FROM (SELECT rid, words, unnest(range(1, greatest(len(words) - 34, 0) + 1)) AS begun FROM texts)
+), again AS (
+    SELECT rid, begun FROM (SELECT rid, begun, count(*) OVER (PARTITION BY content) AS n FROM starts) WHERE n > 1
+), gone AS (
+    SELECT DISTINCT rid, begun + k AS place FROM again, range(35) AS shifts(k)
+), flat AS (
+    SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts
+), kept AS (
+    SELECT rid, string_agg(word, ' ' ORDER BY place) AS content, count(*) AS n FROM flat ANTI JOIN gone USING (rid, place) GROUP BY rid
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(content, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (rid)
+"""
