@@ -66,6 +66,32 @@ def test_exact_dedup_goes_on_with_its_state(spark, docs, tmp_path):
     assert sorted(row.size for row in state.retained().select("size").collect()) == sorted(texts.values())
 
 
+@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
+def test_exact_dedup_checks_texts_of_earlier_runs(spark, tmp_path, order):
+    # All texts have one digest; the state of the first run holds a text that the second run lacks.
+    state = exact_dedup.DedupState(spark, str(tmp_path / "state"), lambda content: F.lit(b"same"))
+    runs = [[(9, "alpha", None), (4, None, None)], [(1, "beta", None), (3, "alpha", None), (7, "", None)]]
+    for number in order:
+        part = exact_dedup.located(cases.documents(spark, tmp_path / f"run {number}", runs[number]))
+        state.ingest(part, "doc_id", "text")
+        decided = exact_dedup.decide(state, part, "doc_id", "text")
+    found = {(row.id, row.keep.id, row["size"], row.kept) for row in decided.collect()}
+    assert found == {(9, 9, 2, True), (3, 9, 2, False), (1, 1, 1, True), (4, 7, 2, False), (7, 7, 2, True)}
+
+
+def test_exact_dedup_decides_over_all_runs_of_a_state(spark, tmp_path):
+    state = exact_dedup.DedupState(spark, str(tmp_path / "state"))
+    whole = cases.documents(spark, tmp_path / "whole", ROWS)
+    wanted = exact_dedup.deduplicate(whole)[1]
+    # Both runs read parts of the same files.
+    for part in (whole.where("source = 's1'"), whole.where("source <> 's1' or source is null")):
+        rows = exact_dedup.located(part)
+        state.ingest(rows, "doc_id", "text")
+    found = exact_dedup.decide(state, rows, "doc_id", "text")
+    columns = ["id", "keep", "size", "kept", "digest"]
+    assert cases.collected(found.select(columns)) == cases.collected(wanted.select(columns))
+
+
 def test_exact_dedup_keeps_columns(docs, empty):
     kept = exact_dedup.keep_one(docs)
     assert kept.columns == docs.columns

@@ -5,9 +5,12 @@ and content locator (file and row). The landed rows are streamed into an
 aggregation keyed by digest whose state lives in RocksDB and never expires: it
 retains the identifier and the locator of the row that stays and the number of
 rows seen. Later runs on the same folder go on with that state. A row that hits
-another row's digest is compared with the retained row's whole text, fetched by
-its locator; texts that share a digest by accident are told apart.
+another row's digest is compared with the retained row's whole text, whichever run
+landed that; texts of earlier runs are fetched by their locators. Texts that share
+a digest by accident are told apart.
 
+* Files of earlier runs have to stay where they are, with the same text column; one
+  that is gone stops the run if another text has a digest of its own.
 * Null texts count as empty; equal means equal bytes, whatever the collation.
 * The row with the largest identifier stays, null being the smallest; among rows
   of one identifier the last by file and row stays, so exactly one row stays.
@@ -17,6 +20,7 @@ its locator; texts that share a digest by accident are told apart.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,15 +95,41 @@ class DedupState:
         )
 
 
+def fetched(places: DataFrame, text: str) -> DataFrame:
+    """The rows with the whole text at their locator (file, row) as content."""
+    spark = places.sparkSession
+    # A row per file, as in any listing of the folder. The paths come as URIs.
+    files = [unquote(row.file) for row in places.select("file").distinct().collect()]
+    texts = spark.read.parquet(*files)
+    meta = texts.metadataColumn("_metadata")
+    texts = texts.select(
+        meta.getField("file_path").alias("file"), meta.getField("row_index").alias("row"),
+        F.encode(plain_text(text), "UTF-8").alias("content"),
+    )
+    return places.join(texts, ["file", "row"])
+
+
+def hits(state: DedupState, retained: DataFrame, docs: Located, identifier: str, text: str) -> DataFrame:
+    """digest, id, file, row, content, keep and size of every landed row whose digest another row has."""
+    shared = retained.where("size > 1")
+    own = stored(state.rows(docs, identifier, text).join(shared, "digest"), "dedup-hits")
+    if state.landed().count() <= docs.frame.count():
+        return own
+    earlier = state.landed().join(shared, "digest").join(own.select("file", "row"), ["file", "row"], "left_anti")
+    earlier = stored(earlier.select("digest", "id", "file", "row", "keep", "size"), "dedup-earlier")
+    if earlier.isEmpty():
+        return own
+    return own.unionByName(stored(fetched(earlier, text), "dedup-fetched"))
+
+
 def decide(state: DedupState, docs: Located, identifier: str, text: str) -> DataFrame:
-    """id, file, row, digest, keep (id, file, row), size and kept of every landed document."""
+    """id, file, row, digest, keep (id, file, row), size and kept of every document landed in any run, `docs` among them."""
     retained = stored(state.retained(), "dedup-state")
-    repeated = state.rows(docs, identifier, text).join(retained.where("size > 1"), "digest")
-    repeated = stored(repeated, "dedup-hits")
-    hits = repeated.where(~here().eqNullSafe(F.col("keep")))
+    repeated = hits(state, retained, docs, identifier, text)
+    others = repeated.where(~here().eqNullSafe(F.col("keep")))
     holders = repeated.where(here().eqNullSafe(F.col("keep"))).select("digest", F.col("content").alias("held"))
     # Not made distinct here: Spark splits a hot digest only if nothing above the join needs its rows together.
-    accidents = stored(hits.join(holders, "digest").where("content <> held").select("digest"), "dedup-accidents")
+    accidents = stored(others.join(holders, "digest").where("content <> held").select("digest"), "dedup-accidents")
 
     rows = state.landed().join(retained, "digest")
     if not accidents.isEmpty():
