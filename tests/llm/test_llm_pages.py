@@ -1,7 +1,10 @@
 """HTML extraction and the URL filter."""
 
+import math
+import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import combinations
 from urllib.parse import urlsplit
 
 import pytest
@@ -200,3 +203,67 @@ def test_support_does_not_grow_with_the_corpus_and_confidence_is_set_against_the
 def test_chance_mines_no_rule(spark):
     # 10 of 26 against a quarter: a lift of 1.5, but no wonder among thirty hosts.
     assert url_filter.mine(urls_of(spark, [("odd.example.com", 26, 10), *((f"h{k}.example.com", 100, 25) for k in range(30))])) == []
+
+
+def brute_rules(baskets, least_rows=25, least_lift=1.5, chance=0.05):
+    """Rules over classes of tokens, by looking at every set of classes."""
+    rows = {token: frozenset(k for k, (tokens, _) in enumerate(baskets) if token in tokens) for tokens, _ in baskets for token in tokens}
+    rows = {token: at for token, at in rows.items() if least_rows <= len(at) < len(baskets)}
+    classes = defaultdict(list)
+    for token in sorted(rows):
+        classes[rows[token]].append(token)
+    bad = frozenset(k for k, (_, blocked) in enumerate(baskets) if blocked)
+    base = len(bad) / len(baskets)
+    least = min(least_lift * base, (1 + base) / 2)
+    sets = {}
+    for size in range(1, len(classes) + 1):
+        for chosen in combinations(classes, size):
+            held = frozenset.intersection(*chosen)
+            if len(held) >= least_rows:
+                sets[frozenset(chosen)] = len(held & bad) / len(held), len(held)
+    passed = {}
+    for chosen, (share, n) in sets.items():
+        missed = (1 - share) * math.log((1 - share) / (1 - base)) if share < 1 else 0
+        wonder = n * (share * math.log(share / base) + missed) if share else 0
+        if share >= least and wonder >= math.log(len(sets) / chance):
+            passed[chosen] = share, n
+    return {
+        frozenset(frozenset(classes[at]) for at in chosen): (share, n) for chosen, (share, n) in passed.items()
+        if not any(other < chosen and passed[other][0] >= share for other in passed)
+    }
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mining_against_every_set_of_tokens(spark, seed):
+    rng, baskets = random.Random(seed), []
+    for _ in range(900):
+        groups = [name for name, often in (("a", 0.5), ("b", 0.4), ("c", 0.3), ("d", 0.2), ("e", 0.1)) if rng.random() < often]
+        # Tokens of a class come together; one token is everywhere, others are rare.
+        tokens = ["all", f"rare{rng.randrange(200)}"] + [f"{name}{k}" for name in groups for k in range(1 + ord(name) % 3)]
+        baskets.append((tokens, rng.random() < (0.9 if {"a", "d"} <= set(groups) else 0.7 if "e" in groups else 0.15)))
+    wanted = brute_rules(baskets)
+    mined = url_filter.mine(spark.createDataFrame(baskets, "tokens array<string>, blocked boolean"))
+    found = {}
+    for tokens, confidence, support, same in mined:
+        classes = {name: {name, *(token for token, of in same.items() if of == name)} for name in tokens}
+        found[frozenset(map(frozenset, classes.values()))] = confidence, support * len(baskets)
+    # Rules of one class come once for each of its tokens.
+    spelled = {frozenset([frozenset([t])]): v for c, v in wanted.items() if len(c) == 1 for t in next(iter(c))}
+    spelled |= {c: v for c, v in wanted.items() if len(c) > 1}
+    assert any(len(c) > 1 for c in wanted) and found.keys() == spelled.keys()
+    assert all(found[c] == pytest.approx(spelled[c][0:1] + (spelled[c][0] * spelled[c][1],)) for c in found)
+    fits = url_filter.blocked_by(mined)
+    rows = [(tokens,) for tokens, _ in baskets] + [(["a0", "d0"],), (["d1", "a1"],), ([],)]
+    for row in spark.createDataFrame(rows, "tokens array<string>").select("tokens", fits("tokens").alias("fits")).collect():
+        assert row.fits == any(all(c & set(row.tokens) for c in rule) for rule in wanted)
+
+
+def test_rules_are_in_proportion_to_their_tokens(spark):
+    # Groups of 12 tokens that always come together; two groups block only together.
+    pairs = [(a, b) for a in range(5) for b in range(a)]
+    rows = [([f"g{g}t{t}" for g in pair for t in range(12)], pair[0] - pair[1] == 1) for pair in pairs for _ in range(60)]
+    mined = url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, blocked boolean"))
+    assert any(len(tokens) > 1 for tokens, *_ in mined) and len(mined) <= 60 + len(pairs)
+    fits = url_filter.blocked_by(mined)
+    asked = spark.createDataFrame([(["g2t3", "g1t7"],), (["g2t3", "g2t7"],), (["g3t0", "g1t1"],)], "tokens array<string>")
+    assert [r.fits for r in asked.select(fits("tokens").alias("fits")).collect()] == [True, False, False]

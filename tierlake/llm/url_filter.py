@@ -11,8 +11,10 @@ looked at, and above that of any shorter rule inside them. They match by an
 inverted index on the rarest token of each.
 
 The support is a number of urls, so a rule needs as many of them in a large corpus
-as in a small one. Tokens that the same labelled urls have are mined as one and
-spelled out again in the rules; tokens that all of them have say nothing.
+as in a small one. Tokens that the same labelled urls have are mined as one; tokens
+that all of them have say nothing. A rule of one such token is spelled out for each of
+its equals. A rule of several names one token of each class and tells which tokens
+stand for it, so rules stay in proportion to the tokens.
 
 * Null urls and urls without :// have an empty host and path, fit no given rule
   and have no tokens: they are allowed, as is any url that no rule blocks.
@@ -22,14 +24,15 @@ spelled out again in the rules; tokens that all of them have say nothing.
 
 A frequent set needs `least_rows` urls and a url has few tokens that differ, so the
 sets grow with the corpus at most as the labelled urls do. They stay in the
-cluster; only the rules that pass both bounds reach the driver.
+cluster, as the classes of tokens do; only the rules that pass both bounds and the
+classes in them reach the driver, and the single tokens that FP-growth itself counts.
 """
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
-from itertools import chain, combinations, product
+from itertools import chain, combinations
 
 import pandas as pd
 from pyspark.ml.fpm import FPGrowth
@@ -43,7 +46,8 @@ from tierlake.llm.html_extract import host_of
 GIVEN = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 BLOCK = "=block"
 
-Mined = tuple[frozenset[str], float, float]
+#: Tokens, confidence, support, and by token the one of the rule it stands for.
+Mined = tuple[frozenset[str], float, float, dict[str, str]]
 
 
 def path_of(url: Column) -> Column:
@@ -79,13 +83,13 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(F.concat(labels, words, suffix, segments, keys))
 
 
-def representatives(baskets: DataFrame, count: int, least_rows: int) -> dict[str, list[str]]:
-    """Tokens of at least so many baskets (row, tokens), but not of all, by the least token of the same baskets."""
+def token_classes(baskets: DataFrame, count: int, least_rows: int) -> DataFrame:
+    """token and name: tokens of at least so many baskets (row, tokens), but not of all, named by the least token of the same baskets."""
     tokens = baskets.select(F.xxhash64("row").alias("row"), F.explode("tokens").alias("token"))
     vectors = tokens.groupBy("token").agg(F.bit_xor("row").alias("vector"), F.count("*").alias("n"))
     vectors = vectors.where((F.col("n") >= least_rows) & (F.col("n") < count))
-    same = vectors.groupBy("vector", "n").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    return {row["tokens"][0]: row["tokens"] for row in same.select("tokens").collect()}
+    names = vectors.groupBy("vector", "n").agg(F.min("token").alias("name"))
+    return stored(vectors.join(names, ["vector", "n"]).select("token", "name"), "url-classes")
 
 
 def surprise(confidence: Column, rows: Column, base: float) -> Column:
@@ -107,11 +111,11 @@ def mine(urls: DataFrame, least_rows: int = 25, least_lift: float = 1.5, chance:
     if count < least_rows or blocked in (0, count):
         return []
     base = blocked / count
-    classes = representatives(labelled, count, least_rows)
-    if not classes:
+    classes = token_classes(labelled, count, least_rows)
+    if classes.isEmpty():
         return []
-    kept = labelled.sparkSession.createDataFrame([(token,) for token in classes], "token string")
-    items = labelled.select("row", F.explode("tokens").alias("token")).join(kept, "token")
+    named = classes.where("token = name").select("token")
+    items = labelled.select("row", F.explode("tokens").alias("token")).join(named, "token")
     items = items.groupBy("row").agg(F.collect_list("token").alias("tokens"))
     baskets = items.join(labelled.select("row", "blocked"), "row").select(
         F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items")
@@ -134,10 +138,24 @@ def mine(urls: DataFrame, least_rows: int = 25, least_lift: float = 1.5, chance:
         (tokens, *figures) for tokens, figures in found.items()
         if not any(found.get(frozenset(part), (0.0,))[0] >= figures[0] for part in parts(tokens))
     ]
-    spelled_out = [
-        (frozenset(tokens), *figures) for rule, *figures in least for tokens in product(*(classes[token] for token in rule))
+    return sorted(spelled_out(least, classes), key=lambda rule: (len(rule[0]), sorted(rule[0])))
+
+
+def spelled_out(rules: list[tuple[frozenset[str], float, float]], classes: DataFrame) -> list[Mined]:
+    """The rules of one class for each of its tokens, and the others with what stands for their tokens."""
+    used = sorted({token for tokens, *_ in rules for token in tokens})
+    if not used:
+        return []
+    wanted = classes.sparkSession.createDataFrame([(token,) for token in used], "name string")
+    same: dict[str, list[str]] = defaultdict(list)
+    for row in classes.join(wanted, "name").select("name", "token").collect():
+        same[row.name].append(row.token)
+    single = [(frozenset([token]), *figures, {}) for (name, *more), *figures in rules if not more for token in same[name]]
+    several = [
+        (tokens, *figures, {token: name for name in tokens for token in same[name] if token != name})
+        for tokens, *figures in rules if len(tokens) > 1
     ]
-    return sorted(spelled_out, key=lambda rule: (len(rule[0]), sorted(rule[0])))
+    return single + several
 
 
 def parts(tokens: frozenset[str]):
@@ -148,11 +166,11 @@ def parts(tokens: frozenset[str]):
 def index(rules: list[Mined]) -> dict[str, list[frozenset[str]]]:
     """The rules by the token that the fewest of them have."""
     often: dict[str, int] = defaultdict(int)
-    for tokens, _, _ in rules:
+    for tokens, *_ in rules:
         for token in tokens:
             often[token] += 1
     entries: dict[str, list[frozenset[str]]] = defaultdict(list)
-    for tokens, _, _ in rules:
+    for tokens, *_ in rules:
         entries[min(tokens, key=lambda token: (often[token], token))].append(tokens)
     return dict(entries)
 
@@ -160,12 +178,15 @@ def index(rules: list[Mined]) -> dict[str, list[frozenset[str]]]:
 def blocked_by(rules: list[Mined]):
     """A function of a token array that says whether a mined rule fits."""
     entries = index(rules)
+    # A token is in one class at most.
+    stands_for = {token: name for _, _, _, *same in rules for names in same for token, name in names.items()}
 
     @F.pandas_udf("boolean")
     def fits(tokens: pd.Series) -> pd.Series:
         found = []
         for row in tokens:
             own = set(row)
+            own.update([stands_for[token] for token in row if token in stands_for])
             found.append(any(rule <= own for token in own for rule in entries.get(token, ())))
         return pd.Series(found, dtype="bool")
 
