@@ -445,6 +445,19 @@ def test_tokens_are_those_of_the_whole_text():
         assert token_ids(text, TOKENIZER).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_tokenizers_that_cut_otherwise_get_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tierlake.llm.tokens import token_ids, tokens_of
+
+    given, other = (str(public_tokenizers.path(name)) for name in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+    assert tokens_of(given)[2] and not tokens_of(other)[2]
+    whole = Tokenizer.from_file(other)
+    for text in ("Two  words\n\nand It's 1234 more", "", " ", "é ß\u00a0x <|endoftext|> y", "word " * 3000):
+        assert token_ids(text, other).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("capacity", [64, 4096])
 def test_packing_round_trip(docs, empty, capacity):
     from tokenizers import Tokenizer

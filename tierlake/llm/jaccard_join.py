@@ -441,3 +441,34 @@ def keep_one(docs: DataFrame, identifier: str = "doc_id", text: str = "text") ->
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = join(spark.read.parquet(f"{sf_dir}/documents.parquet"))[1]
     return joined.select("doc_id", "n_shingles", "component_id")
+
+
+SQL = r"""
+WITH RECURSIVE texts AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, list_sort(list_distinct(list_transform(
+        range(1, CASE WHEN len(words) = 0 THEN 1 ELSE greatest(len(words) - 4, 1) + 1 END),
+        lambda k: array_to_string(words[k:k + 4], ' ')))) AS shingles
+    FROM texts
+), nodes AS MATERIALIZED (
+    SELECT row_number() OVER () AS node, shingles, len(shingles) AS n, min(doc_id) AS least
+    FROM sets WHERE len(shingles) > 0 GROUP BY shingles
+), flat AS MATERIALIZED (
+    SELECT node, n, md5_number_lower(unnest(shingles)) AS shingle FROM nodes
+), pairs AS (
+    SELECT x.node AS a, y.node AS b FROM flat x JOIN flat y USING (shingle)
+    WHERE x.node < y.node AND 100 * least(x.n, y.n) >= 75 * greatest(x.n, y.n)
+    GROUP BY x.node, y.node, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), links AS MATERIALIZED (
+    SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reached(node, other) AS (
+    SELECT node, node FROM nodes UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other
+), named AS (
+    SELECT r.node, min(o.least) AS component_id FROM reached r JOIN nodes o ON o.node = r.other GROUP BY r.node
+)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(g.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN nodes o ON o.shingles = s.shingles LEFT JOIN named g ON g.node = o.node
+"""

@@ -21,4 +21,9 @@ QUERIES = {
     "op13_filter_audit": filter_audit.query,
 }
 
-ORACLES = {"op1_exact_dedup": exact_dedup.SQL, "op13_filter_audit": filter_audit.SQL, "op8_substring_dedup": substring_dedup.SQL}
+ORACLES = {
+    "op1_exact_dedup": exact_dedup.SQL,
+    "op7_jaccard_join": jaccard_join.SQL,
+    "op8_substring_dedup": substring_dedup.SQL,
+    "op13_filter_audit": filter_audit.SQL,
+}

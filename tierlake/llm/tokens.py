@@ -1,9 +1,15 @@
-"""Token ids of texts, inside tasks."""
+"""Token ids of texts, inside tasks.
+
+Texts are encoded in parts if the tokenizer's file normalizes and cuts them in the
+way written out here, and as a whole if it does anything else.
+"""
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 
@@ -12,6 +18,31 @@ import numpy as np
 PLAIN = re.compile(r"[\x20-\x7e\t\n\rÀ-ÖØ-öø-ÿ]*")
 WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 CUTS = re.compile(r"[ \t\n\r]+")
+# What a tokenizer's file says of normalization and cutting if the above holds for it.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed", "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+SPECIAL = re.compile(r"<\|\S*")
+
+
+def in_parts(specification: dict) -> bool:
+    """Whether texts can be cut as written out here before this tokenizer sees them."""
+    return (
+        specification["normalizer"] == NORMALIZER and specification["pre_tokenizer"] == PRE_TOKENIZER
+        and not specification["model"].get("dropout")
+        and all(SPECIAL.fullmatch(token["content"]) for token in specification["added_tokens"])
+    )
 
 
 class Remembered(dict):
@@ -46,6 +77,8 @@ class WordIds(Remembered):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.model = self.tokenizer.model
 
     def whole(self, text: str) -> bytes:
@@ -71,19 +104,21 @@ class ChunkIds(Remembered):
 
 
 @lru_cache(maxsize=2)
-def tokens_of(path: str) -> tuple[WordIds, ChunkIds]:
+def tokens_of(path: str) -> tuple[WordIds, ChunkIds, bool]:
     words = WordIds(path)
-    return words, ChunkIds(words)
+    return words, ChunkIds(words), in_parts(json.loads(Path(path).read_text("utf-8")))
 
 
 def token_ids(text: str, path: str) -> np.ndarray:
-    """Ids as the tokenizer of word_bpe_49k.json gives them for the whole text.
+    """Ids as the tokenizer of this file gives them for the whole text.
 
-    It drops white space and never joins across it or from word to word, so the
-    parts give the same ids one by one.
+    One that drops white space and never joins across it or from word to word, as
+    that of word_bpe_49k.json, gives the same ids for the parts one by one.
     """
-    words, chunks = tokens_of(path)
-    if PLAIN.fullmatch(text) and "<|" not in text:
+    words, chunks, parts = tokens_of(path)
+    if not parts:
+        packed = words.whole(text)
+    elif PLAIN.fullmatch(text) and "<|" not in text:
         packed = b"".join([words[word] for word in WORDS.findall(text.lower())])
     else:
         packed = b"".join([chunks[chunk] for chunk in CUTS.split(text) if chunk])
