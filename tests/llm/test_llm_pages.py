@@ -105,6 +105,90 @@ def test_copies_are_no_template(spark, tmp_path):
     assert all(found[k] == f"first of {name}\nsecond of {name}" for k, name in names.items())
 
 
+def page_of(rng, number, layout):
+    """A page of a host; its class names say nothing about what is in it."""
+    prose = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    story = "".join(f"<p>{prose(rng.randint(8, 30))}</p>" for _ in range(rng.randint(1, 5)))
+    teaser = f"<div class=k2><ul><li>{prose(3)}</li><li>{prose(3)}</li></ul><p>Read on</p></div>"
+    body = [
+        f"<div class=k1><p>Site</p><p>{prose(2)}</p></div>{teaser}<div class=k3><h1>{prose(4)}</h1><div class=k4>{story}</div></div><div class=k5>Rights</div>",
+        f"<section><div class=k6>{story}</div></section>{teaser}",
+    ][layout]
+    return f"<html><body>{body}</body></html>", story, re.findall("<h1>(.*?)</h1>", body)
+
+
+def lines_of(story):
+    return re.findall("<p>(.*?)</p>", story)
+
+
+def brute_template(htmls):
+    """The paths and texts of valid classes, and their characters, by whole occurrence vectors over distinct pages."""
+    lists = {}
+    for html in htmls:
+        shown = [b for b in html_extract.blocks(html) if not b.element.hidden]
+        lists[tuple((b.element.path, b.text, b.element.beside) for b in shown)] = shown
+    names = {(b.element.path, b.text) for shown in lists.values() for b in shown}
+    classes = defaultdict(list)
+    for name in names:
+        vector = tuple(sum((b.element.path, b.text) == name for b in shown) for shown in lists.values())
+        if sum(map(bool, vector)) >= max(3, len(lists) / 2):
+            classes[vector].append(name)
+    valid = {name for members in classes.values() if len(members) >= 2 for name in members}
+    free = [b for shown in lists.values() for b in shown if b.text and not b.element.beside and (b.element.path, b.text) not in valid]
+    elements = {path for path, text in valid if not text}
+    weight = {path: sum(len(b.text) for b in free if path in b.element.within) for path in elements}
+    region, around = "", sum(len(b.text) for b in free)
+    while not re.search(r"/(article|main)(\[.*\])?$", region):
+        nested = [path for path in elements if path.startswith(region + "/") and weight[path] * 2 > around]
+        if not nested:
+            break
+        region = min(nested, key=len)
+        around = weight[region]
+    return region, {html_extract.token(b) for shown in lists.values() for b in shown if b.text and (b.element.path, b.text) in valid}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_deduction_against_whole_vectors(spark, tmp_path, seed):
+    rng, rows, by_host, stories = random.Random(seed), [], defaultdict(list), {}
+    for host, count, layouts in (("a", 9, (0,)), ("b", 8, (1,)), ("c", 15, (0, 0, 0, 1)), ("d", 2, (0,)), ("e", 3, (0,))):
+        for _ in range(count):
+            html, story, titles = page_of(rng, len(rows), rng.choice(layouts))
+            for _ in range(rng.choice([1, 1, 3])):
+                stories[len(rows)] = titles, lines_of(story)
+                rows.append((len(rows), f"http://{host}.example/{len(rows)}", html))
+                by_host[f"{host}.example"].append(html)
+    table = pages(spark, tmp_path, rows)
+    read = table.select(html_extract.host_of(F.col("url")).alias("host"), "html")
+    found = {r.host: (r.region, set(r.template)) for r in html_extract.templates(read).collect()}
+    assert found == {host: brute_template(htmls) for host, htmls in by_host.items() if host != "d.example"}
+    assert found["a.example"][0].endswith("/div[k3]/div[k4]") and found["b.example"][0].endswith("/section/div[k6]")
+    texts = {r.page_id: r.text for r in html_extract.extract(table).collect()}
+    for page_id, url, html in rows:
+        if url[7] in "abe":
+            assert texts[page_id] == "\n".join([*stories[page_id][0], *stories[page_id][1]])
+            # The template decides: the hints alone leave what is around the story.
+            assert main_text(html, frozenset()) != texts[page_id]
+
+
+def test_the_main_slot_is_that_of_the_article_on_given_pages(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = html_extract.templates(given.select(html_extract.host_of(F.col("url")).alias("host"), "html")).collect()
+    assert found and {r.region for r in found} == {"/html/body/article"}
+
+
+@pytest.mark.parametrize("html, region, text", [
+    ("<body><div class=s><p>a</p></div><p>b</p></body>", "/body/div[s]", "a"),
+    ("<body><div class=s></div><p>b</p></body>", "/body/div[s]", ""),
+    ("<body><div class=other><p>b</p></div></body>", "/body/div[s]", "b"),
+    ("<body><h1>T</h1><div class=s><p>a</p></div><h2>U</h2></body>", "/body/div[s]", "T\na"),
+    ("<body><h1>T</h1><article><p>a</p></article></body>", "/body/article", "a"),
+    ("<body><div class=s><nav>menu</nav><article>a</article>b</div></body>", "/body/div[s]", "a"),
+    ("<body><div class=sx>b</div><div class=s>a</div></body>", "/body/div[s]", "a"),
+])
+def test_text_comes_from_the_main_slot(html, region, text):
+    assert main_text(html, frozenset(), region) == text
+
+
 def test_no_pages(spark, tmp_path):
     none = pages(spark, tmp_path, [])
     assert html_extract.extract(none).count() == 0

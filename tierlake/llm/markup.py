@@ -53,6 +53,8 @@ class Element:
     hidden: bool
     #: Main text that was opened inside a block beside, as by a wrapper around the page.
     lifted: bool = False
+    #: The paths of the block elements it stands in, itself last if it is one.
+    within: tuple[str, ...] = ()
 
 
 ROOT = Element("", "", False, False, False)
@@ -77,8 +79,11 @@ def child(above: Element, tag: str, attributes: str) -> Element:
     if tag not in ("html", "body") and tag not in MAIN:
         beside = beside or named(names.split(), BESIDE_WORDS - HEADER_WORDS - OWN_WORDS if above.main else BESIDE_WORDS)
         beside = beside or not above.main and (tag == "header" or named(names.split(), HEADER_WORDS))
-    path = f"{above.path}/{tag}" + (f"[{names}]" if names else "") if tag in BLOCKS else above.path
-    return Element(tag, path, main, beside, above.hidden or tag in HIDDEN, lifted)
+    path, within = above.path, above.within
+    if tag in BLOCKS:
+        path = f"{path}/{tag}" + (f"[{names}]" if names else "")
+        within = (*within, path)
+    return Element(tag, path, main, beside, above.hidden or tag in HIDDEN, lifted, within)
 
 
 @dataclass
