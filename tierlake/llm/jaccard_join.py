@@ -8,7 +8,8 @@
    little of it to have none of its first n - ceil(t * n) + 1 shingles, so that
    window is where the set is replicated; two sets that link share a cell.
    Shingles that many documents share come last in the order, which keeps cells
-   small; the order never changes the result.
+   small; the order never changes the result. Cells of the same sets, as copies with
+   edits have by the hundred, are one cell that counts as many.
 2. Regions, round by round. The pivot of a crowded cell is its most central document,
    the one that meets most others in all its cells: of copies of a text with edits, that
    is the text itself. Every set goes to the pivot it shares most cells with, its Voronoi
@@ -58,8 +59,8 @@ from tierlake.llm.shingles import set_name, shingle_set
 COMMON_BITS = 1 << 23
 #: Most shingles that are put last in the order, and the least count for that.
 COMMON_MOST, COMMON_LEAST = 1 << 19, 8
-#: Shingles that are counted together in a task, and postings that leave it together.
-COUNTED, POSTED = 1 << 21, 1 << 18
+#: Shingles that are counted together in a task, postings that leave it together, and shingles of rows that do.
+COUNTED, POSTED, KEPT = 1 << 21, 1 << 18, 1 << 20
 #: Rounds in which sets outside their region are given to another pivot, at most.
 ROUNDS = 2
 
@@ -93,8 +94,15 @@ class Rule:
         return cells + 1 + beyond >= needed
 
 
+PROFILE = ["rid", "doc_id", "n", "node", "low", "common", "counts"]
+
+
 def profiles(rows: Located, identifier: str, text: str, rule: Rule) -> DataFrame:
-    """rid, doc_id, n and node (the set's name) of every row; other rows hold counts of repeated shingles."""
+    """rid, doc_id, n and node (the set's name) of every row; other rows hold counts of repeated shingles.
+
+    `low` are the lower halves of the set's shingles in ascending order of the whole, in
+    the first rows of a task that have it.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, names, size = [], set(), 0
@@ -103,28 +111,34 @@ def profiles(rows: Located, identifier: str, text: str, rule: Rule) -> DataFrame
             values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64),) * 2
             often = counts > 1
             packed = values[often].tobytes(), counts[often].astype(np.int64).tobytes()
-            return pd.DataFrame([(None, None, None, None, *packed)], columns=["rid", "doc_id", "n", "node", "common", "counts"])
+            return pd.DataFrame([(None, None, None, None, None, *packed)], columns=PROFILE)
 
         for batch in batches:
-            out = []
+            out, kept = [], 0
             for rid, doc_id, content in zip(batch["rid"], batch["doc_id"], batch["content"], strict=True):
                 shingles = shingle_set(content, rule.width)
-                node = set_name(shingles)
+                node, low = set_name(shingles), None
                 if node not in names:
                     names.add(node)
                     held.append(shingles)
                     size += len(shingles)
-                out.append((rid, doc_id, len(shingles), node, None, None))
+                    kept += len(shingles)
+                    low = shingles.astype(np.uint32).tobytes()
+                out.append((rid, doc_id, len(shingles), node, low, None, None))
+                if kept > KEPT:
+                    yield pd.DataFrame(out, columns=PROFILE)
+                    out, kept = [], 0
                 if size > COUNTED:
                     yield repeated()
                     held, names, size = [], set(), 0
-            yield pd.DataFrame(out, columns=["rid", "doc_id", "n", "node", "common", "counts"])
+            if out:
+                yield pd.DataFrame(out, columns=PROFILE)
         if held:
             yield repeated()
 
     texts = rows.frame.select(F.col(rows.row).alias("rid"), spelled(identifier), plain_text(text).alias("content"))
     kind = rows.frame.schema[identifier].dataType.simpleString()
-    found = texts.mapInPandas(read, "rid bigint, doc_id string, n bigint, node binary, common binary, counts binary")
+    found = texts.mapInPandas(read, "rid bigint, doc_id string, n bigint, node binary, low binary, common binary, counts binary")
     return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -145,14 +159,14 @@ def common_table(profile: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
-def cells(rows: Located, text: str, rule: Rule, common: np.ndarray, buckets: int) -> DataFrame:
-    """cell, node and n of every set in every cell of its window that other sets share; rows may repeat."""
-    table = rows.frame.sparkSession.sparkContext.broadcast(common)
+def cells(profile: DataFrame, rule: Rule, common: np.ndarray, buckets: int) -> DataFrame:
+    """cell, node and n of every set in every cell of its window that other sets share."""
+    table = profile.sparkSession.sparkContext.broadcast(common)
 
-    def window(shingles: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        last = bits[shingles % np.uint64(COMMON_BITS)]
-        ordered = np.concatenate([shingles[~last], shingles[last]])
-        return np.unique(ordered[: rule.prefix(len(shingles))].astype(np.uint32))
+    def window(low: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        last = bits[low % np.uint32(COMMON_BITS)]
+        first, most = low[~last], rule.prefix(len(low))
+        return np.unique(first[:most] if len(first) >= most else np.concatenate([first, low[last][: most - len(first)]]))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(table.value).view(bool)
@@ -163,14 +177,12 @@ def cells(rows: Located, text: str, rule: Rule, common: np.ndarray, buckets: int
             return pack(np.concatenate(keys), payloads, buckets)
 
         for batch in batches:
-            for content in batch["content"]:
-                shingles = shingle_set(content, rule.width)
-                node = set_name(shingles)
-                if not len(shingles) or node in seen:
+            for node, n, low in zip(batch["node"], batch["n"], batch["low"], strict=True):
+                if node in seen:
                     continue
                 seen.add(node)
-                keys.append(window(shingles, bits))
-                nodes.append((node, len(shingles)))
+                keys.append(window(np.frombuffer(low, np.uint32), bits))
+                nodes.append((node, n))
                 lengths.append(len(keys[-1]))
                 size += lengths[-1]
                 if size > POSTED:
@@ -184,11 +196,24 @@ def cells(rows: Located, text: str, rule: Rule, common: np.ndarray, buckets: int
             "cell": keys.astype(np.int64), "node": [node.tobytes() for node in payloads["node"]], "n": payloads["n"].astype(np.int64),
         })
 
-    packed = rows.frame.select(plain_text(text).alias("content")).mapInPandas(read, PACKED)
+    packed = profile.where("low is not null and n > 0").select("node", "n", "low").mapInPandas(read, PACKED)
     found = shared_postings(packed, np.uint32, NODE, unpack, "cell bigint, node binary, n bigint")
     return stored(found.distinct(), "join-cells")
 
 
+def held_by(frame: DataFrame, *keys: str) -> DataFrame:
+    """count, v and w of each key: equal for keys that the same nodes have, by 128 bits."""
+    return frame.groupBy(*keys).agg(
+        F.count("*").alias("count"), F.bit_xor(F.xxhash64("node")).alias("v"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("w")
+    )
+
+
+def distinct_cells(found: DataFrame) -> DataFrame:
+    """cell, size and weight: one cell of those that the same sets share, and how many there are."""
+    alike = held_by(found, "cell").where("count > 1").groupBy("count", "v", "w")
+    return alike.agg(F.min("cell").alias("cell"), F.count("*").alias("weight")).select("cell", F.col("count").alias("size"), "weight")
+
+
 @lru_cache(maxsize=256)
 def shingles_of(packed: bytes, width: int) -> np.ndarray:
     return shingle_set(zstandard.decompress(packed).decode("utf-8", "surrogatepass"), width)
@@ -215,7 +240,7 @@ def candidates(members: DataFrame, tried: DataFrame, rule: Rule) -> DataFrame:
 
     A cell's pivot is its most central set that has not been one before.
     """
-    members = members.select("cell", "node", "n", "f", "central", "label")
+    members = members.select("cell", "weight", "node", "n", "f", "central", "label")
     rank = F.struct("central", "node", "label", F.col("n").alias("m"), F.col("f").alias("g"))
     fresh = members.join(tried.select(F.col("b").alias("node")).distinct(), "node", "left_anti")
     pivots = fresh.groupBy("cell").agg(F.max(rank).alias("p")).select(
@@ -225,7 +250,7 @@ def candidates(members: DataFrame, tried: DataFrame, rule: Rule) -> DataFrame:
         (F.col("label") != F.col("other")) & rule.similar_sizes(F.col("n"), F.col("m"))
         & rule.may_link(F.col("n"), F.col("m"), F.least("f", "g"))
     )
-    counted = met.groupBy("node", "pivot").agg(F.count("*").alias("cells"))
+    counted = met.groupBy("node", "pivot").agg(F.sum("weight").alias("cells"))
     best = counted.groupBy("node").agg(F.max(F.struct("cells", "pivot")).alias("best"))
     return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
 
@@ -249,12 +274,12 @@ def crowded_cells(members: DataFrame, labels: DataFrame, rule: Rule) -> DataFram
 
     Sets that can't reach the overlap they need with even the smallest set of the cell leave it.
     """
-    named = members.select("cell", "node").join(labels.select("node", "n", "f", "central", "label"), "node")
+    named = members.select("cell", "weight", "node").join(labels.select("node", "n", "f", "central", "label"), "node")
     smallest = named.groupBy("cell").agg(F.min("n").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
     partner = F.greatest("m", F.ceil(F.col("n") * rule.percent / 100))
     able = named.join(smallest.where("low <> high").select("cell", "m"), "cell").where(rule.may_link(F.col("n"), partner, F.col("f")))
     several = able.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    return able.join(several.select("cell"), "cell", "left_semi").select("cell", "node", "n", "f", "central", "label")
+    return able.join(several.select("cell"), "cell", "left_semi").select("cell", "weight", "node", "n", "f", "central", "label")
 
 
 def homes(members: DataFrame) -> DataFrame:
@@ -307,9 +332,7 @@ def links_within(regions: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame
 
     sets = regions.select(F.col("b").alias("home"), F.col("a").alias("node"), "only")
     postings = stored(sets.mapInPandas(spread, "home binary, node binary, shingle bigint"), "join-differences")
-    alike = postings.groupBy("home", "shingle").agg(
-        F.count("*").alias("count"), F.bit_xor(F.xxhash64("node")).alias("v"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("w")
-    ).where("count > 1")
+    alike = held_by(postings, "home", "shingle").where("count > 1")
     kept = alike.groupBy("home", "count", "v", "w").agg(F.min("shingle").alias("shingle"), F.count("*").alias("weight"))
     known = regions.select(F.col("b").alias("home"), F.col("a").alias("node"), F.col("na").alias("n"), "d").join(
         labels.select("node", "label"), "node")
@@ -343,15 +366,15 @@ def boundary_pairs(members: DataFrame, tried: DataFrame, rule: Rule) -> DataFram
     crowded = members.join(most, "cell")
     names = {"node": "", "n": "n", "f": "f", "label": "l", "reached": "r", "home": "h"}
     few = crowded.where("label <> major").select("cell", *(F.col(x).alias(f"{to}a") for x, to in names.items()))
-    every = crowded.select("cell", "major", *(F.col(x).alias(f"{to}b") for x, to in names.items()))
+    every = crowded.select("cell", "weight", "major", *(F.col(x).alias(f"{to}b") for x, to in names.items()))
     once = (F.col("lb") == F.col("major")) | (F.col("a") < F.col("b"))
     radius = 1 - rule.percent / 100 + 1e-9
     apart = F.exists("ra", lambda x: F.exists("rb", lambda y: (x.pivot == y.pivot) & (F.abs(x.distance - y.distance) > radius)))
     met = few.join(every, "cell").where(
         (F.col("la") != F.col("lb")) & (F.col("ha") != F.col("hb")) & once & rule.similar_sizes(F.col("na"), F.col("nb"))
         & rule.may_link(F.col("na"), F.col("nb"), F.least("fa", "fb")) & ~apart
-    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("na", "nb").alias("na"), F.greatest("na", "nb").alias("nb"))
-    counted = met.groupBy("a", "b").agg(F.count("*").alias("cells"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    ).select("weight", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("na", "nb").alias("na"), F.greatest("na", "nb").alias("nb"))
+    counted = met.groupBy("a", "b").agg(F.sum("weight").alias("cells"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     hopeful = counted.where(rule.may_link(F.col("na"), F.col("nb"), F.col("cells"))).select("a", "b")
     seen = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return hopeful.join(seen, ["a", "b"], "left_anti")
@@ -369,14 +392,14 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     documents = profile.where("node is not null").select("rid", "doc_id", "n", "node")
     common = common_table(profile)
     postings = documents.agg(F.sum("n")).first()[0] or 0
-    found = cells(rows, text, rule, common, buckets_for(docs, postings * (1 - rule.percent / 100), POSTED))
+    found = cells(profile, rule, common, buckets_for(docs, postings * (1 - rule.percent / 100), POSTED))
 
     own = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "rid")
     nodes = documents.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(own).alias("first"))
     # f: cells of a set that others share; two sets share no more cells than either has. central: sets met in them.
-    sizes = found.groupBy("cell").agg(F.count("*").alias("size"))
-    inside = stored(found.join(sizes, "cell").groupBy("node").agg(
-        F.first("n").alias("n"), F.count("*").alias("f"), F.sum(F.col("size") - 1).alias("central")
+    found = stored(found.join(distinct_cells(found), "cell"), "join-distinct-cells")
+    inside = stored(found.groupBy("node").agg(
+        F.first("n").alias("n"), F.sum("weight").alias("f"), F.sum(F.col("weight") * (F.col("size") - 1)).alias("central")
     ), "join-nodes")
     nowhere = F.array().cast("array<struct<pivot:binary,distance:double>>")
     labels = inside.select("node", "n", "f", "central", F.col("node").alias("label"), nowhere.alias("reached"))
@@ -413,7 +436,7 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     regions = regions.where("only is not null")
     within = stored(links_within(regions, labels, rule), "join-within")
     home = regions.select(F.col("a").alias("node"), F.col("b").alias("home"))
-    left = members.select("cell", "node").join(labels.join(home, "node", "left").withColumn("home", F.coalesce("home", "node")), "node")
+    left = members.select("cell", "weight", "node").join(labels.join(home, "node", "left").withColumn("home", F.coalesce("home", "node")), "node")
     rest = boundary_pairs(left, tried, rule)
     met = stored(overlaps(rest, texts, rule), "join-boundary")
     links = linked(tried, rule).select("a", "b").unionByName(linked(regions, rule).select("a", "b"))
