@@ -42,11 +42,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -214,23 +212,18 @@ def distinct_cells(found: DataFrame) -> DataFrame:
     return alike.agg(F.min("cell").alias("cell"), F.count("*").alias("weight")).select("cell", F.col("count").alias("size"), "weight")
 
 
-@lru_cache(maxsize=256)
-def shingles_of(packed: bytes, width: int) -> np.ndarray:
-    return shingle_set(zstandard.decompress(packed).decode("utf-8", "surrogatepass"), width)
-
-
-def overlaps(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b, ...) with the size of both sets' intersection and union, from the whole texts."""
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) with the size of both sets' intersection and union, from the whole sets."""
 
     @F.pandas_udf("bigint")
     def shared(first: pd.Series, second: pd.Series) -> pd.Series:
         return pd.Series([
-            len(np.intersect1d(shingles_of(x, rule.width), shingles_of(y, rule.width), assume_unique=True))
+            len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
             for x, y in zip(first, second, strict=True)
         ], dtype="int64")
 
-    a = texts.select(F.col("node").alias("a"), F.col("packed").alias("_a"), F.col("n").alias("_na"))
-    b = texts.select(F.col("node").alias("b"), F.col("packed").alias("_b"), F.col("n").alias("_nb"))
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"), F.col("n").alias("_na"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"), F.col("n").alias("_nb"))
     both = pairs.join(a, "a").join(b, "b").withColumn("both", shared("_a", "_b"))
     return both.withColumn("either", F.col("_na") + F.col("_nb") - F.col("both")).drop("_a", "_b", "_na", "_nb")
 
@@ -296,7 +289,7 @@ def homes(members: DataFrame) -> DataFrame:
     return up.select(F.col("node").alias("a"), F.col("up").alias("b"))
 
 
-def differences(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def differences(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) with both, either, and the shingles that only one of the two sets has.
 
     These are null beyond twice the radius: nothing can link with a and with what links with b.
@@ -306,15 +299,15 @@ def differences(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     def apart(first: pd.Series, second: pd.Series) -> pd.DataFrame:
         found = []
         for x, y in zip(first, second, strict=True):
-            x, y = shingles_of(x, rule.width), shingles_of(y, rule.width)
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             only = np.setxor1d(x, y, assume_unique=True)
             both = (len(x) + len(y) - len(only)) // 2
             near = both * 100 >= (both + len(only)) * (2 * rule.percent - 100)
             found.append((both, only.tobytes() if near else None))
         return pd.DataFrame(found, columns=["both", "only"])
 
-    a = texts.select(F.col("node").alias("a"), F.col("packed").alias("_a"), F.col("n").alias("na"))
-    b = texts.select(F.col("node").alias("b"), F.col("packed").alias("_b"), F.col("n").alias("_nb"))
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"), F.col("n").alias("na"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"), F.col("n").alias("_nb"))
     found = pairs.join(a, "a").join(b, "b").withColumn("_found", apart("_a", "_b"))
     found = found.select("a", "b", "na", "_nb", "_found.both", "_found.only")
     found = found.withColumn("either", F.col("na") + F.col("_nb") - F.col("both"))
@@ -405,16 +398,14 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     labels = inside.select("node", "n", "f", "central", F.col("node").alias("label"), nowhere.alias("reached"))
     tried = labels.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("both"), F.lit(1).cast("bigint").alias("either")).limit(0)
     members = stored(crowded_cells(found, labels, rule), "join-members")
-    pack_text = F.pandas_udf(
-        lambda texts: pd.Series([zstandard.compress(x.encode("utf-8", "surrogatepass")) for x in texts]), "binary"
-    )
+    in_order = F.pandas_udf(lambda texts: pd.Series([shingle_set(x, rule.width).tobytes() for x in texts]), "binary")
     # Only sets in crowded cells are ever compared.
     compared = inside.join(members.select("node").distinct(), "node", "left_semi")
     wanted = compared.join(nodes, "node").select("node", "n", F.col("first.rid").alias("rid"))
     whole = rows.frame.select(F.col(rows.row).alias("rid"), plain_text(text).alias("content"))
-    texts = stored(whole.join(wanted, "rid").select("node", "n", pack_text("content").alias("packed")), "join-texts")
+    sets = stored(whole.join(wanted, "rid").select("node", "n", in_order("content").alias("shingles")), "join-sets")
     for _ in range(ROUNDS):
-        done = stored(overlaps(candidates(members, tried, rule), texts, rule), "join-regions")
+        done = stored(overlaps(candidates(members, tried, rule), sets), "join-regions")
         if done.isEmpty():
             break
         at = F.struct(F.col("b").alias("pivot"), (1 - F.col("both") / F.col("either")).alias("distance"))
@@ -430,7 +421,7 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
         labels = stored(labels, "join-labels")
         tried = tried.unionByName(done)
         members = stored(crowded_cells(members, labels, rule), "join-members")
-    regions = stored(differences(homes(members), texts, rule), "join-homes")
+    regions = stored(differences(homes(members), sets, rule), "join-homes")
     labels = stored(relabelled(labels, linked(regions, rule)), "join-labels")
     # Only sets nearer than twice the radius can link with what links with the centre; the others are on their own.
     regions = regions.where("only is not null")
@@ -438,7 +429,7 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     home = regions.select(F.col("a").alias("node"), F.col("b").alias("home"))
     left = members.select("cell", "weight", "node").join(labels.join(home, "node", "left").withColumn("home", F.coalesce("home", "node")), "node")
     rest = boundary_pairs(left, tried, rule)
-    met = stored(overlaps(rest, texts, rule), "join-boundary")
+    met = stored(overlaps(rest, sets), "join-boundary")
     links = linked(tried, rule).select("a", "b").unionByName(linked(regions, rule).select("a", "b"))
     links = links.unionByName(within.select("a", "b")).unionByName(linked(met, rule).select("a", "b"))
     roots = components(links.select("a", "b"))
