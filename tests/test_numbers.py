@@ -75,3 +75,11 @@ def test_date_parts_are_padded_strings(spark):
     df = spark.sql("SELECT DATE '2024-01-05' AS d, TIMESTAMP '2024-01-05 06:07:08' AS t")
     row = df.select(*[c.alias(n) for n, c in date_parts(F.col("d")).items()], run_stamp(F.col("t"))).first()
     assert tuple(row) == ("2024", "01", "05", "20240105_060708")
+
+
+def test_number_text_agrees_with_python(spark):
+    values = [0.0001, -0.0005, 7.000000000000001e-4, 0.00099, 0.001, 0.0, -0.0, 1.0, -37.3159, 9999999.5, 1e7, 12345678.9,
+              9007199254740992.0, 9999999999999998.0, 1e16, 1.5e16, 9.5e-05, 1e-05, 1.25e-07, 1e100, 1.5e-300, None,
+              math.inf, -math.inf, math.nan]
+    found = evaluate(one_column(spark, values, "double"), numbers.number_text(F.col("v")))
+    assert found == [None if x is None else repr(x) for x in values]

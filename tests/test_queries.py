@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tierlake.queries import ORACLES, QUERIES
 
@@ -44,3 +45,18 @@ def test_query_equals_sql(spark, sf_dir, database, name):
     assert got[0] == wanted[0]
     assert len(got[1]) == len(wanted[1])
     assert got[1] == wanted[1]
+
+
+@pytest.mark.parametrize("name", ["bronze_gated_job"])
+def test_balances_near_zero_keep_plain_text(spark, sf_dir, tmp_path, name):
+    balance = F.element_at(F.array(*[F.lit(x) for x in (-0.09, 0.01, 0.04, 0.07, 0.0)]), (F.col("c_custkey") % 5 + 1).cast("int"))
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").withColumn("c_acctbal", balance)
+    customer.write.parquet(f"{tmp_path}/customer.parquet")
+    spark.read.parquet(f"{sf_dir}/nation.parquet").write.parquet(f"{tmp_path}/nation.parquet")
+    connection = duckdb.connect()
+    for table in ("customer", "nation"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    found = QUERIES[name](spark, str(tmp_path))
+    cursor = connection.execute(ORACLES[name])
+    wanted = sorted_rows([column[0] for column in cursor.description], cursor.fetchall())
+    assert sorted_rows(found.columns, [tuple(row) for row in found.collect()]) == wanted

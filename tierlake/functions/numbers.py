@@ -26,6 +26,29 @@ def number_or_null(text: Column) -> Column:
     return F.when(finite | text.rlike(_INFINITE), number)
 
 
+def number_text(number: Column) -> Column:
+    """A double as the text that Python and DuckDB give: an exponent only below 1e-4 and from 1e16 on.
+
+    The digits are those of the JVM, which wants an exponent below 1e-3 and from 1e7 on.
+    """
+    text = number.cast("string")
+    # All 17 digits of a double fit behind the point and before it.
+    digits = F.regexp_replace(text.try_cast(T.DecimalType(38, 21)).cast("string"), "0+$", "")
+    plain = F.regexp_replace(digits, r"\.$", ".0")
+    power = F.regexp_extract(text, "E-?([0-9]+)$", 1)
+    padded = F.when(F.length(power) < 2, F.concat(F.lit("0"), power)).otherwise(power)
+    sign = F.when(text.contains("E-"), "e-").otherwise("e+")
+    scientific = F.concat(F.regexp_replace(text, r"(\.0)?E.*$", ""), sign, padded)
+    infinite = F.replace(F.lower(text), F.lit("infinity"), F.lit("inf"))
+    size = F.abs(number)
+    return (
+        F.when((size >= 1e-3) & (size < 1e7) | (size == 0), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .when(text.contains("E"), scientific)
+        .otherwise(infinite)
+    )
+
+
 def true_or_false(flag: Column) -> Column:
     """Boolean with null as false."""
     return F.coalesce(flag.cast("boolean"), F.lit(False))

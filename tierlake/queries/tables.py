@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions import text
+from tierlake.functions.numbers import number_text
 from tierlake.run import RunInfo
 
 RUN = RunInfo(datetime(2024, 2, 3, 4, 5, 6, tzinfo=timezone.utc), job_name="queries")
@@ -82,8 +83,8 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name").alias("city"),
             F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("zipcode"),
             F.struct(
-                (F.col("c_acctbal") / 100).cast("string").alias("lat"),
-                (F.col("c_acctbal") / 50).cast("string").alias("lng"),
+                number_text(F.col("c_acctbal") / 100).alias("lat"),
+                number_text(F.col("c_acctbal") / 50).alias("lng"),
             ).alias("geo"),
         ).alias("address"),
         F.concat(F.lit("tel. +"), "c_nationkey", F.lit(" (0) "), "c_custkey", F.lit("-x1")).alias("phone"),
