@@ -47,7 +47,7 @@ def test_query_equals_sql(spark, sf_dir, database, name):
     assert got[1] == wanted[1]
 
 
-@pytest.mark.parametrize("name", ["bronze_gated_job"])
+@pytest.mark.parametrize("name", ["bronze_gated_job", "bronze_snapshot_roundtrip"])
 def test_balances_near_zero_keep_plain_text(spark, sf_dir, tmp_path, name):
     balance = F.element_at(F.array(*[F.lit(x) for x in (-0.09, 0.01, 0.04, 0.07, 0.0)]), (F.col("c_custkey") % 5 + 1).cast("int"))
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").withColumn("c_acctbal", balance)
