@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,7 @@ from tierlake.sources import sinks
 from tierlake.sources.entities import CORRUPT, EntitySpec, landed, read_tolerant
 from tierlake.sources.inventory import lake_inventory
 from tierlake.sources.scratch import scratch_folder
-from tierlake.sources.tables import read_table, replace_table
+from tierlake.sources.tables import VERSION, read_table, replace_table
 
 HASHED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
@@ -196,26 +196,23 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_partitions(events, f"{base}/bronze/events")
     for _ in range(2):
         replace_table(table(spark, sf_dir, "customer"), f"{base}/silver/customer")
-    folder = F.regexp_replace("file", "/?[^/]+$", "")
-    listed = lake_inventory(spark, base).groupBy("layer", "dataset", folder.alias("folder")).agg(
-        F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.bool_and(F.col("bytes") > 0).alias("filled")
-    )
-    # A second source: what the readers of the tables know of the files.
-    below = F.regexp_extract("_metadata.file_path", "/(?:bronze|silver)/((?:events|customer).*)/[^/]+$", 1)
-    read = [
-        df.select(folder_of.alias("folder"), "_metadata.file_path", F.col("_metadata.file_size").alias("size"))
-        for df, folder_of in (
-            (spark.read.parquet(f"{base}/bronze/events"), below),
-            (read_table(spark, f"{base}/silver/customer"), F.lit("customer")),
-        )
-    ]
-    known = read[0].union(read[1]).distinct().groupBy("folder").agg(
-        F.count("*").alias("known_files"), F.sum("size").alias("known_bytes")
-    )
-    agree = (F.col("files") == F.col("known_files")) & (F.col("bytes") == F.col("known_bytes"))
-    return listed.join(known, "folder", "left").select(
-        "layer", "dataset", "folder", "filled", F.coalesce(agree, F.lit(False)).alias("agrees")
-    )
+    # A second source: the files that the readers of the tables go by, and the sizes that their rows
+    # tell. A file may hold no rows: the first task of a write makes one even if it has none.
+    readers = (spark.read.parquet(f"{base}/bronze/events"), read_table(spark, f"{base}/silver/customer"))
+    names = spark.createDataFrame([(name,) for df in readers for name in df.inputFiles()], "path string")
+    sizes = reduce(DataFrame.union, [
+        df.select(_below_layer("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")) for df in readers
+    ]).distinct()
+    known = names.select(_below_layer("path").alias("file"), F.lit(True).alias("known")).join(sizes, "file", "left")
+    agrees = F.col("known").isNotNull() & F.col("bytes").isNotNull() & F.coalesce(F.col("size") == F.col("bytes"), F.lit(True))
+    return lake_inventory(spark, base).join(known, "file", "full").groupBy(
+        "layer", "dataset", F.regexp_replace("file", "/?[^/]+$", "").alias("folder")
+    ).agg(F.bool_and(F.coalesce(F.col("bytes") > 0, F.lit(False))).alias("filled"), F.bool_and(agrees).alias("agrees"))
+
+
+def _below_layer(path: str) -> Column:
+    """What of a file's path is below its layer, without the folder of a version."""
+    return F.regexp_replace(F.regexp_extract(path, "^.*/(?:bronze|silver)/((?:events|customer)/.*)$", 1), f"/{VERSION}[0-9a-f]{{32}}/", "/")
 
 
 def raw_to_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
