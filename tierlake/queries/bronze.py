@@ -130,9 +130,7 @@ def gate_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed records with repeated ones among them: what the run ingested, kept and removed."""
     base = scratch_folder(spark, "counts")
-    tables.land(spark, sf_dir, f"{base}/landing")
-    tables.raw_users(spark, sf_dir).where("id % 3 = 0").write.mode("append").json(f"{base}/landing/users")
-    tables.raw_posts(spark, sf_dir).where("id % 5 = 0").write.mode("append").json(f"{base}/landing/posts")
+    tables.land(spark, sf_dir, f"{base}/landing", repeated={"users": "id % 3 = 0", "posts": "id % 5 = 0"})
     medallion.run(spark, f"{base}/landing", f"{base}/lake", RUN, landed(f"{base}/landing"), checks={})
     # Another view of the lake knows the counts too: they are stored.
     return medallion.Lake(spark, f"{base}/lake").counts()

@@ -6,13 +6,16 @@ todos are events. Everything is derived by Spark and grows with the tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions import text
 from tierlake.functions.numbers import number_text
+from tierlake.plans.parallel import side_by_side
 from tierlake.run import RunInfo
 
 RUN = RunInfo(datetime(2024, 2, 3, 4, 5, 6, tzinfo=timezone.utc), job_name="queries")
@@ -143,10 +146,16 @@ def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW = {"users": raw_users, "posts": raw_posts, "todos": raw_todos, "comments": raw_comments}
 
 
-def land(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Write every raw entity as JSON lines below the folder."""
-    for name, make in RAW.items():
-        make(spark, sf_dir).write.mode("overwrite").json(f"{folder}/{name}")
+def land(spark: SparkSession, sf_dir: str, folder: str, repeated: Mapping[str, str] = {}) -> None:
+    """Write every raw entity as JSON lines below the folder, side by side; then again those that a condition repeats."""
+
+    def write(name: str, make: Callable[[SparkSession, str], DataFrame]) -> None:
+        records = make(spark, sf_dir)
+        records.write.mode("overwrite").json(f"{folder}/{name}")
+        if name in repeated:
+            records.where(repeated[name]).write.mode("append").json(f"{folder}/{name}")
+
+    side_by_side(spark, {name: partial(write, name, make) for name, make in RAW.items()})
 
 
 def land_arrays(records: DataFrame, folder: str, files: int = 8) -> None:
