@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tierlake.queries import ORACLES, QUERIES
+from tierlake.queries import ORACLES, QUERIES, tables
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +70,10 @@ def test_inventory_agrees_on_files_without_rows(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [tuple(row) for row in found] == [("silver", "customer", "customer", True, True)]
+
+
+def test_more_records_land_in_more_arrays(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ARRAY_RECORDS", 100)
+    tables.land_arrays(spark.range(3000), f"{tmp_path}/landing")
+    sizes = [text.count("\n") - 1 for text in (path.read_text().strip() for path in tmp_path.glob("landing/*.txt"))]
+    assert sum(sizes) == 3000 and len(sizes) == 30 and max(sizes) < 300

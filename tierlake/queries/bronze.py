@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from tierlake.operators.columns import (
 from tierlake.operators.profile import ingest_totals, preview, table_profile
 from tierlake.plans import medallion
 from tierlake.plans.bronze import read_day, run_bronze_job, write_snapshots
+from tierlake.plans.parallel import side_by_side
 from tierlake.quality.gate import QualityGateError
 from tierlake.queries import sql, tables
 from tierlake.queries.gold import PROFILE_SQL
@@ -226,8 +227,9 @@ def raw_to_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def arrays_to_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from JSON arrays that span lines, cut into records before they are parsed."""
     base = scratch_folder(spark, "arrays")
-    for name, make in tables.RAW.items():
-        tables.land_arrays(make(spark, sf_dir), f"{base}/landing/{name}")
+    side_by_side(spark, {
+        name: partial(tables.land_arrays, make(spark, sf_dir), f"{base}/landing/{name}") for name, make in tables.RAW.items()
+    })
     lake = medallion.run(
         spark, f"{base}/landing", f"{base}/lake", RUN, landed(f"{base}/landing", multi_line=True)
     )

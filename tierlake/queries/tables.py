@@ -158,9 +158,17 @@ def land(spark: SparkSession, sf_dir: str, folder: str, repeated: Mapping[str, s
     side_by_side(spark, {name: partial(write, name, make) for name, make in RAW.items()})
 
 
+#: Records of an array file, about: an array is one value, and one task cuts it.
+ARRAY_RECORDS = 250_000
+
+
 def land_arrays(records: DataFrame, folder: str, files: int = 8) -> None:
-    """Write the records as JSON arrays, a record to a line and an array to a file."""
+    """Write the records as JSON arrays, a record to a line and an array to a file.
+
+    There are so many files at least; more records make more files and not larger ones.
+    """
     columns = records.columns
+    files = max(files, -(-records.count() // ARRAY_RECORDS))
     whole = records.withColumn("_file", F.pmod(F.xxhash64(*columns), F.lit(files)))
     arrays = whole.groupBy("_file").agg(F.array_join(F.collect_list(F.to_json(F.struct(*columns))), ",\n").alias("content"))
     values = arrays.select(F.concat(F.lit("[\n"), "content", F.lit("\n]")).alias("value"))
