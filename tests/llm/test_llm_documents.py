@@ -1,6 +1,7 @@
 """Operators on documents against plain Python, on awkward rows."""
 
 import hashlib
+import itertools
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import cases
-from tierlake.llm import exact_dedup, fingerprints, jaccard_join, mixing, packing, sharding, substring_dedup
+from tierlake.llm import common, exact_dedup, fingerprints, jaccard_join, mixing, packing, sharding, substring_dedup
 from tierlake.llm.components import components
 
 
@@ -366,6 +367,30 @@ def test_jaccard_join_with_all_shingles_common(docs, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == python_components(ROWS)
 
 
+def test_jaccard_join_removes_what_it_no_longer_reads(docs, tmp_path, monkeypatch):
+    made = itertools.count()
+    monkeypatch.setattr(common, "scratch_folder", lambda _, purpose: f"{tmp_path}/scratch/{purpose}-{next(made)}")
+    found = jaccard_join.join(docs)[1]
+    left = {path.name.rpartition("-")[0] for path in tmp_path.glob("scratch/*")}
+    assert "join-documents" in left and not left & {"join-profiles", "join-cells", "join-distinct-cells", "join-sets"}
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()) == python_components(ROWS)
+
+
+def test_whole_sets_are_sent_only_for_near_pairs(spark):
+    """Of a hundred sets that share a few shingles with a centre, and one that shares most, only that one is compared whole."""
+    rng, rule = np.random.default_rng(3), jaccard_join.Rule()
+    centre = np.unique(rng.integers(0, 2**63, 600, dtype=np.uint64))
+    others = [np.unique(np.r_[centre[:60], rng.integers(0, 2**63, 540, dtype=np.uint64)]) for _ in range(100)]
+    others.append(np.unique(np.r_[centre[:420], rng.integers(0, 2**63, 150, dtype=np.uint64)]))
+    rows = [(bytearray([k]), len(x), bytearray(x.tobytes())) for k, x in enumerate([centre, *others])]
+    sets = spark.createDataFrame(rows, "node binary, n bigint, shingles binary")
+    pairs = spark.createDataFrame([(bytearray([k]), bytearray([0])) for k in range(102)], "a binary, b binary")
+    near = jaccard_join.nearby(pairs, sets, rule)
+    assert sorted(row.a[0] for row in near.collect()) == [0, 101]
+    exact = {row.a[0]: (row.both, row.only is not None) for row in jaccard_join.differences(near, sets, rule).collect()}
+    assert exact == {0: (600, True), 101: (420, True)}
+
+
 def test_jaccard_join_keeps_one_of_each_group(docs, empty):
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns

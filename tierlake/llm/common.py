@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tierlake.sources import files
 from tierlake.sources.scratch import scratch_folder
 
 # Fixed value: a word is a run of anything but ASCII white space.
@@ -28,6 +29,13 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of stored frames that nothing reads any more."""
+    for frame in frames:
+        for folder in {path.rpartition("/")[0] for path in frame.inputFiles()}:
+            files.remove(frame.sparkSession, folder)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -48,7 +48,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import Located, numbered, plain_text, ship, spelled, stored
+from tierlake.llm.common import Located, discard, numbered, plain_text, settings, ship, spelled, stored
 from tierlake.llm.components import components
 from tierlake.llm.postings import PACKED, buckets_for, pack, shared_postings
 from tierlake.llm.shingles import set_name, shingle_set
@@ -62,6 +62,11 @@ COUNTED, POSTED, KEPT = 1 << 21, 1 << 18, 1 << 20
 #: Rounds in which sets outside their region are given to another pivot, at most.
 ROUNDS = 2
 
+#: A finished step's shuffle files go at once.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
 NODE = np.dtype([("node", "V12"), ("n", "<i4")])
 
 
@@ -289,6 +294,33 @@ def homes(members: DataFrame) -> DataFrame:
     return up.select(F.col("node").alias("a"), F.col("up").alias("b"))
 
 
+def nearby(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) without most of those beyond twice the radius, by 16 bits of each shingle.
+
+    These agree wherever shingles do, so no pair within it is lost, and whole sets need not be sent along for the others.
+    """
+
+    @F.pandas_udf("binary")
+    def brief(shingles: pd.Series) -> pd.Series:
+        return pd.Series([np.sort(np.frombuffer(x, np.uint64).astype(np.uint16)).tobytes() for x in shingles], dtype=object)
+
+    @F.pandas_udf("bigint")
+    def agreeing(first: pd.Series, second: pd.Series) -> pd.Series:
+        found = []
+        for x, y in zip(first, second, strict=True):
+            x, y = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+            found.append(min(int((y[at] == x).sum()), len(y)))
+        return pd.Series(found, dtype="int64")
+
+    short = sets.select("node", "n", brief("shingles").alias("brief"))
+    a = short.select(F.col("node").alias("a"), F.col("brief").alias("_a"), F.col("n").alias("_na"))
+    b = short.select(F.col("node").alias("b"), F.col("brief").alias("_b"), F.col("n").alias("_nb"))
+    most = pairs.join(a, "a").join(b, "b").withColumn("most", agreeing("_a", "_b"))
+    near = F.col("most") * 100 >= (F.col("_na") + F.col("_nb") - F.col("most")) * (2 * rule.percent - 100)
+    return most.where(near).select("a", "b")
+
+
 def differences(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) with both, either, and the shingles that only one of the two sets has.
 
@@ -380,17 +412,24 @@ def linked(overlap: DataFrame, rule: Rule) -> DataFrame:
 def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> tuple[Located, DataFrame]:
     """The numbered rows, and rid, doc_id, n_shingles, component_id and first (its least doc_id and rid) of each."""
     ship(docs.sparkSession)
+    with settings(docs.sparkSession, SETTINGS):
+        return _join(docs, identifier, text, rule)
+
+
+def _join(docs: DataFrame, identifier: str, text: str, rule: Rule) -> tuple[Located, DataFrame]:
     rows = numbered(docs)
     profile = stored(profiles(rows, identifier, text, rule), "join-profiles")
-    documents = profile.where("node is not null").select("rid", "doc_id", "n", "node")
+    documents = stored(profile.where("node is not null").select("rid", "doc_id", "n", "node"), "join-documents")
     common = common_table(profile)
     postings = documents.agg(F.sum("n")).first()[0] or 0
     found = cells(profile, rule, common, buckets_for(docs, postings * (1 - rule.percent / 100), POSTED))
 
+    discard(profile)
     own = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "rid")
     nodes = documents.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(own).alias("first"))
     # f: cells of a set that others share; two sets share no more cells than either has. central: sets met in them.
-    found = stored(found.join(distinct_cells(found), "cell"), "join-distinct-cells")
+    every, found = found, stored(found.join(distinct_cells(found), "cell"), "join-distinct-cells")
+    discard(every)
     inside = stored(found.groupBy("node").agg(
         F.first("n").alias("n"), F.sum("weight").alias("f"), F.sum(F.col("weight") * (F.col("size") - 1)).alias("central")
     ), "join-nodes")
@@ -421,7 +460,8 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
         labels = stored(labels, "join-labels")
         tried = tried.unionByName(done)
         members = stored(crowded_cells(members, labels, rule), "join-members")
-    regions = stored(differences(homes(members), sets, rule), "join-homes")
+    near = stored(nearby(homes(members), sets, rule), "join-near")
+    regions = stored(differences(near, sets, rule), "join-homes")
     labels = stored(relabelled(labels, linked(regions, rule)), "join-labels")
     # Only sets nearer than twice the radius can link with what links with the centre; the others are on their own.
     regions = regions.where("only is not null")
@@ -433,6 +473,7 @@ def join(docs: DataFrame, identifier: str = "doc_id", text: str = "text", rule:
     links = linked(tried, rule).select("a", "b").unionByName(linked(regions, rule).select("a", "b"))
     links = links.unionByName(within.select("a", "b")).unionByName(linked(met, rule).select("a", "b"))
     roots = components(links.select("a", "b"))
+    discard(sets, found)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     tops = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.min("first").alias("first"))
     named = rooted.select("node", "root").join(tops, "root").select("node", "component_id", "first")
