@@ -376,6 +376,15 @@ def test_jaccard_join_removes_what_it_no_longer_reads(docs, tmp_path, monkeypatc
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()) == python_components(ROWS)
 
 
+def test_jaccard_join_sends_small_batches_to_python(spark, tmp_path, monkeypatch):
+    """A batch may hold two whole sets a row, so its rows are few; the session's own settings come back."""
+    size, sizes, store = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard_join.stored
+    before = spark.conf.get(size)
+    monkeypatch.setattr(jaccard_join, "stored", lambda frame, purpose: (sizes.append(int(spark.conf.get(size))), store(frame, purpose))[1])
+    jaccard_join.join(cases.documents(spark, tmp_path, [(1, "a few words", "s"), (2, "some other words", "s")]))
+    assert sizes and max(sizes) <= 1024 and spark.conf.get(size) == before
+
+
 def test_whole_sets_are_sent_only_for_near_pairs(spark):
     """Of a hundred sets that share a few shingles with a centre, and one that shares most, only that one is compared whole."""
     rng, rule = np.random.default_rng(3), jaccard_join.Rule()

@@ -62,8 +62,10 @@ COUNTED, POSTED, KEPT = 1 << 21, 1 << 18, 1 << 20
 #: Rounds in which sets outside their region are given to another pivot, at most.
 ROUNDS = 2
 
-#: A finished step's shuffle files go at once.
+#: Batches that go to Python stay small, as a row may hold two whole sets; a finished step's shuffle files go at once.
 SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    "spark.sql.execution.arrow.maxBytesPerBatch": f"{16 << 20}",
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
