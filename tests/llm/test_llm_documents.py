@@ -400,6 +400,36 @@ def test_whole_sets_are_sent_only_for_near_pairs(spark):
     assert exact == {0: (600, True), 101: (420, True)}
 
 
+def test_differences_that_all_sets_share_pair_none_of_them(spark, monkeypatch):
+    """All sets of a region lack the same shingles of its centre; only those that can link are compared."""
+    rng, rule, counted = np.random.default_rng(4), jaccard_join.Rule(), []
+    values = np.unique(rng.integers(0, 2**63, 3000, dtype=np.uint64))
+    centre, fresh, made = values[:140], values[140:], [values[:140]]
+    for k in range(200):
+        kept = np.r_[centre[:2], rng.choice(centre[5:], 100 if k % 2 else 125, replace=False)]
+        made.append(np.r_[kept, rng.choice(fresh, 30 if k % 2 else 5, replace=False)])
+        if k % 20 == 1:
+            made.append(np.r_[made[-1][:-2], rng.choice(fresh, 2)])
+    made = [np.unique(x) for x in made]
+    node = lambda k: bytearray(k.to_bytes(2, "big"))
+    sets = spark.createDataFrame([(node(k), len(x), bytearray(x.tobytes())) for k, x in enumerate(made)], "node binary, n bigint, shingles binary")
+    regions = jaccard_join.differences(spark.createDataFrame([(node(k), node(0)) for k in range(len(made))], "a binary, b binary"), sets, rule)
+    regions = jaccard_join.stored(regions.where("only is not null"), "test-regions")
+    alike = lambda x, y: 100 * len(both := np.intersect1d(x, y)) >= 75 * (len(x) + len(y) - len(both))
+    named = [0 if alike(x, centre) else k for k, x in enumerate(made)]
+    labels = spark.createDataFrame([(node(k), node(label)) for k, label in enumerate(named)], "node binary, label binary")
+    compare = jaccard_join.together
+    monkeypatch.setattr(jaccard_join, "together", lambda pairs, sets: (counted.append(pairs.count()), compare(pairs, sets))[1])
+    found = {frozenset((bytes(r.a), bytes(r.b))) for r in jaccard_join.links_within(regions, labels, rule).collect()}
+    inside = {int.from_bytes(r.a, "big") for r in regions.collect()}
+    wanted = {
+        frozenset((bytes(node(j)), bytes(node(k)))) for j in inside for k in inside
+        if j < k and named[j] != named[k] and alike(made[j], made[k])
+    }
+    assert found == wanted and wanted
+    assert len(wanted) <= sum(counted) < 500
+
+
 def test_jaccard_join_keeps_one_of_each_group(docs, empty):
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns

@@ -21,7 +21,8 @@
    sets differ in from their pivot: |a xor b| follows from |a xor p|, |b xor p| and what
    these two share. Two sets whose differences share nothing can only link if both link
    with the pivot. So only sets that differ in the same way meet, however many are close
-   to one pivot; shingles in which the same sets differ count as one of some weight.
+   to one pivot; shingles in which the same sets differ count as one of some weight. The
+   rarest shingle that two sets share must leave both enough behind it for what they need.
 4. Boundaries. Sets of different labels and regions that are left in a cell are paired,
    unless their distances to any pivot that both were compared with differ by more than
    the radius (triangle inequality), or the cells they share are too few for the overlap
@@ -45,7 +46,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import Located, discard, numbered, plain_text, settings, ship, spelled, stored
@@ -219,8 +220,8 @@ def distinct_cells(found: DataFrame) -> DataFrame:
     return alike.agg(F.min("cell").alias("cell"), F.count("*").alias("weight")).select("cell", F.col("count").alias("size"), "weight")
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b, ...) with the size of both sets' intersection and union, from the whole sets."""
+def together(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) with `both`, how many shingles the two have in common; _na and _nb are n of the sets."""
 
     @F.pandas_udf("bigint")
     def shared(first: pd.Series, second: pd.Series) -> pd.Series:
@@ -231,8 +232,12 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"), F.col("n").alias("_na"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"), F.col("n").alias("_nb"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("both", shared("_a", "_b"))
-    return both.withColumn("either", F.col("_na") + F.col("_nb") - F.col("both")).drop("_a", "_b", "_na", "_nb")
+    return pairs.join(a, "a").join(b, "b").withColumn("both", shared("_a", "_b")).drop("_a", "_b")
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) with the size of both sets' intersection and union, from the whole sets."""
+    return together(pairs, sets).withColumn("either", F.col("_na") + F.col("_nb") - F.col("both")).drop("_na", "_nb")
 
 
 def candidates(members: DataFrame, tried: DataFrame, rule: Rule) -> DataFrame:
@@ -361,26 +366,37 @@ def links_within(regions: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame
     postings = stored(sets.mapInPandas(spread, "home binary, node binary, shingle bigint"), "join-differences")
     alike = held_by(postings, "home", "shingle").where("count > 1")
     kept = alike.groupBy("home", "count", "v", "w").agg(F.min("shingle").alias("shingle"), F.count("*").alias("weight"))
+    # Sets link if their differences share a weight of (needa + needb) / scale at least.
+    scale = 2 * (100 + rule.percent)
+    need = F.col("d") * (100 + rule.percent) - F.col("n") * (100 - rule.percent)
     known = regions.select(F.col("b").alias("home"), F.col("a").alias("node"), F.col("na").alias("n"), "d").join(
-        labels.select("node", "label"), "node")
-    sizes = known.groupBy("home", "label").agg(F.count("*").alias("size"))
-    major = sizes.groupBy("home").agg(F.max(F.struct("size", "label")).alias("most"), F.count("*").alias("labels"))
-    known = known.join(major.where("labels > 1").select("home", F.col("most.label").alias("major")), "home")
-    rows = stored(
-        postings.join(kept.select("home", "shingle", "weight"), ["home", "shingle"]).join(known, ["home", "node"]),
-        "join-alike")
-    few = rows.where("label <> major").select("home", "shingle", *(F.col(x).alias(f"{x}a") for x in ("node", "n", "d", "label")))
-    every = rows.select("home", "shingle", "weight", "major", *(F.col(x).alias(f"{x}b") for x in ("node", "n", "d", "label")))
+        labels.select("node", "label"), "node").withColumn("need", need)
+    sizes = known.groupBy("home", "label").agg(F.count("*").alias("size"), F.min("need").alias("need"))
+    major = sizes.groupBy("home").agg(
+        F.max(F.struct("size", "label")).alias("most"), F.count("*").alias("labels"), F.min("need").alias("least")
+    ).where("labels > 1").select("home", F.col("most.label").alias("major"), "least")
+    others = sizes.join(major, "home").where("label <> major").groupBy("home").agg(F.min("need").alias("least_few"))
+    known = known.join(major.join(others, "home"), "home")
+    # What a set shares from a shingle on, in one order with rare ones first, is no more than it has from there on.
+    rest = Window.partitionBy("home", "node").orderBy(F.desc("count"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = postings.join(kept.select("home", "shingle", "weight", "count"), ["home", "shingle"]).join(known, ["home", "node"])
+    rows = stored(rows.withColumn("rest", F.sum("weight").over(rest)).drop("weight", "count"), "join-alike")
+    names = ("node", "n", "d", "label", "need", "rest")
+    few = rows.where((F.col("label") != F.col("major")) & (F.col("rest") * scale >= F.col("need") + F.col("least")))
+    few = few.select("home", "shingle", *(F.col(x).alias(f"{x}a") for x in names))
+    every = rows.where(F.col("rest") * scale >= F.col("need") + F.col("least_few"))
+    every = every.select("home", "shingle", "major", *(F.col(x).alias(f"{x}b") for x in names))
     once = (F.col("labelb") == F.col("major")) | (F.col("nodea") < F.col("nodeb"))
+    # True at the first shingle that linked sets share.
+    enough = F.least("resta", "restb") * scale >= F.col("needa") + F.col("needb")
     met = few.join(every, ["home", "shingle"]).where(
-        (F.col("labela") != F.col("labelb")) & once & rule.similar_sizes(F.col("na"), F.col("nb"))
-    )
-    counted = met.groupBy(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).agg(
-        F.sum("weight").alias("same"), *(F.first(x).alias(x) for x in ("na", "nb", "da", "db"))
+        (F.col("labela") != F.col("labelb")) & once & enough & rule.similar_sizes(F.col("na"), F.col("nb"))
     )
+    pairs = met.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), "na", "nb", "da", "db").distinct()
+    shared = together(pairs, regions.select(F.col("a").alias("node"), F.col("na").alias("n"), F.col("only").alias("shingles")))
     total = F.col("na") + F.col("nb")
-    both = F.col("same") + ((total - F.col("da") - F.col("db")) / 2).cast("bigint")
-    return linked(counted.select("a", "b", both.alias("both"), (total - both).alias("either")), rule)
+    both = F.col("both") + ((total - F.col("da") - F.col("db")) / 2).cast("bigint")
+    return linked(shared.select("a", "b", both.alias("both"), (total - both).alias("either")), rule)
 
 
 def boundary_pairs(members: DataFrame, tried: DataFrame, rule: Rule) -> DataFrame:
