@@ -260,6 +260,14 @@ def test_rates_are_the_exponential_tilt(docs):
         assert sum(r.rate * r.size for r in own) == pytest.approx(own[0].target, rel=1e-6)
 
 
+def test_the_balance_stores_no_table_per_step(docs, monkeypatch):
+    """However many Newton steps it takes, the driver plans and runs the mix as a few jobs."""
+    purposes, store = [], mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda frame, purpose: (purposes.append(purpose), store(frame, purpose))[1])
+    mixing.mix(docs)
+    assert len(purposes) <= 6
+
+
 def test_mixed_rows_are_repeated(docs, empty):
     mixed = mixing.mixed(docs)
     assert mixed.columns == docs.columns

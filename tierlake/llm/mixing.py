@@ -36,7 +36,7 @@ PHASES = 64
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
-    """number, source, source_size and target of each source of the catalogue (source, source_size)."""
+    """number, source, source_size, mean and target of each source of the catalogue (source, source_size, mean)."""
     number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod("number", F.lit(len(weights))) + 1)
     table = sizes.withColumn("number", number).withColumn("weight", weight.cast("double"))
@@ -54,57 +54,57 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: floa
     free = F.col("fill") > F.col("level")
     level = F.min_by(F.when(free, F.col("level")), F.when(free, F.struct("fill", "number"))).over(everything)
     return table.withColumn("shared", level).select(
-        "number", "source", "source_size",
+        "number", "source", "source_size", "mean",
         F.when(free, F.least(F.col("cap"), F.col("weight") * F.col("shared"))).otherwise(F.col("cap")).alias("target"),
     )
 
 
 def balance(classes: DataFrame, tolerance: float = 1e-9, steps: int = 80, most: float = MOST) -> DataFrame:
-    """number and multiplier of each source, from classes (number, target, size, n, mean, least)."""
+    """number and multiplier of each source, from classes (number, target, size, n, mean).
+
+    A source's sizes are folded step by step within one plan, in ascending order. They are
+    few: D distinct sizes need D * D / 2 words, so a source of 10^12 words has 1.5 million.
+    """
     ceiling = math.log(most)
     sources = classes.groupBy("number").agg(
-        F.first("target").alias("target"), F.first("mean").alias("mean"), F.min("size").alias("least")
-    )
-    state = stored(sources.select(
-        "number", "target",
-        F.lit(0.0).alias("multiplier"),
-        (-60 * F.col("mean") / F.col("least")).alias("low"),
-        (ceiling * F.col("mean") / F.col("least")).alias("high"),
-        F.lit(False).alias("done"),
-    ), "mixing-step")
-    for _ in range(steps):
-        state = stored(newton_step(classes, state, tolerance, ceiling), "mixing-step")
-        if state.where("not done").isEmpty():
-            break
-    return state.select("number", "multiplier")
-
-
-def newton_step(classes: DataFrame, state: DataFrame, tolerance: float, ceiling: float) -> DataFrame:
-    """One safeguarded Newton step for every source."""
-    x = F.col("size") / F.col("mean")
-    tilt = F.col("multiplier") * x
-    words = F.col("n") * F.col("size") * F.exp(F.least(tilt, F.lit(ceiling)))
-    sums = classes.drop("target").join(state.select("number", "multiplier"), "number").groupBy("number").agg(
-        F.sum(words).alias("words"), F.sum(F.when(tilt < ceiling, words * x).otherwise(0.0)).alias("slope")
+        F.first("target").alias("target"), F.first("mean").alias("mean"),
+        F.sort_array(F.collect_list(F.struct("size", "n"))).alias("sizes"),
     )
-    at = state.join(sums, "number")
-    over = F.col("words") > F.col("target")
-    low = F.when(over, F.col("low")).otherwise(F.col("multiplier"))
-    high = F.when(over, F.col("multiplier")).otherwise(F.col("high"))
-    step = F.when(
-        (F.col("slope") > 0) & (F.col("words") > 0) & (F.col("target") > 0),
-        F.col("multiplier") - F.ln(F.col("words") / F.col("target")) * F.col("words") / F.col("slope"),
+    x = F.col("mean") / F.col("sizes")[0]["size"]
+    start = F.struct(
+        F.lit(0.0).alias("multiplier"), (-60 * x).alias("low"), (ceiling * x).alias("high"), F.lit(False).alias("done")
     )
-    close = F.abs(F.col("words") - F.col("target")) <= tolerance * F.greatest(F.col("target"), F.lit(1.0))
-    at = at.withColumns({"low": low, "high": high, "step": step, "close": F.col("done") | close})
-    narrow = (F.col("high") - F.col("low")) <= 1e-13 * F.greatest(F.abs("low"), F.abs("high"))
-    inside = (F.col("step") > F.col("low")) & (F.col("step") < F.col("high"))
-    moved = F.when(inside, F.col("step")).otherwise((F.col("low") + F.col("high")) / 2)
-    return at.select(
-        "number", "target",
-        F.when(F.col("close"), F.col("multiplier")).otherwise(moved).alias("multiplier"),
-        "low", "high", (F.col("close") | narrow).alias("done"),
+    last = F.aggregate(
+        F.sequence(F.lit(1), F.lit(steps)), start,
+        lambda state, _: F.when(state["done"], state).otherwise(newton_step(state, tolerance, ceiling)),
     )
+    return sources.select("number", last["multiplier"].alias("multiplier"))
+
+
+def newton_step(state: Column, tolerance: float, ceiling: float) -> Column:
+    """The state (multiplier, low, high, done) after a safeguarded Newton step over a row's target, mean and sizes."""
+    multiplier, target = state["multiplier"], F.col("target")
+
+    def add(sums: Column, item: Column) -> Column:
+        x = item["size"] / F.col("mean")
+        words = item["n"] * item["size"] * F.exp(F.least(multiplier * x, F.lit(ceiling)))
+        slope = F.when(multiplier * x < ceiling, words * x).otherwise(0.0)
+        return F.struct((sums["words"] + words).alias("words"), (sums["slope"] + slope).alias("slope"))
+
+    def moved(sums: Column) -> Column:
+        words, slope = sums["words"], sums["slope"]
+        low = F.when(words > target, state["low"]).otherwise(multiplier)
+        high = F.when(words > target, multiplier).otherwise(state["high"])
+        step = F.when((slope > 0) & (words > 0) & (target > 0), multiplier - F.ln(words / target) * words / slope)
+        close = F.abs(words - target) <= tolerance * F.greatest(target, F.lit(1.0))
+        narrow = (high - low) <= 1e-13 * F.greatest(F.abs(low), F.abs(high))
+        inside = F.when((step > low) & (step < high), step).otherwise((low + high) / 2)
+        return F.struct(
+            F.when(close, multiplier).otherwise(inside).alias("multiplier"),
+            low.alias("low"), high.alias("high"), (close | narrow).alias("done"),
+        )
+
+    return F.aggregate("sizes", F.struct(F.lit(0.0).alias("words"), F.lit(0.0).alias("slope")), add, moved)
 
 
 def mix(
@@ -128,20 +128,14 @@ def mix_located(
         F.col(rows.row).alias("row"),
     ), "mixing-sizes")
     counts = stored(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mixing-classes")
+    words, holders = F.sum(F.col("n") * F.col("size")), F.sum(F.when(F.col("size") > 0, F.col("n")))
     catalogue = stored(targets(
-        counts.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, share, most
+        counts.groupBy("source").agg(words.alias("source_size"), (words / holders).alias("mean")), weights, share, most
     ), "mixing-targets")
-    means = counts.where("size > 0").groupBy("source").agg(
-        (F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean")
-    )
-    classes = counts.join(catalogue, counts["source"].eqNullSafe(catalogue["source"])).select(
-        "number", counts["source"], "source_size", "target", "size", "n"
-    )
-    classes = classes.join(means, classes["source"].eqNullSafe(means["source"]), "left").select(
-        *[classes[c] for c in classes.columns], "mean"
-    )
-    classes = stored(classes, "mixing-classes")
-    multipliers = balance(classes.where("size > 0").drop("source", "source_size"), most=most)
+    classes = stored(counts.join(catalogue, counts["source"].eqNullSafe(catalogue["source"])).select(
+        "number", counts["source"], "source_size", "target", "size", "n", "mean"
+    ), "mixing-classes")
+    multipliers = balance(classes.where("size > 0"), most=most)
     full = F.col("target") >= most * F.col("source_size")
     tilted = F.exp(F.least(F.col("multiplier") * F.col("size") / F.col("mean"), F.lit(math.log(most))))
     rate = F.when(F.col("size") == 0, 1.0).when(full, float(most)).otherwise(F.least(F.lit(float(most)), tilted))
