@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import cases
-from tierlake.llm import common, exact_dedup, fingerprints, jaccard_join, mixing, packing, sharding, substring_dedup
+from tierlake.llm import common, exact_dedup, fingerprints, jaccard_join, mixing, packing, sharding, shingles, substring_dedup
 from tierlake.llm.components import components
 
 
@@ -393,6 +394,26 @@ def test_jaccard_join_sends_small_batches_to_python(spark, tmp_path, monkeypatch
     assert sizes and max(sizes) <= 1024 and spark.conf.get(size) == before
 
 
+def test_workers_remember_few_words(monkeypatch):
+    """What a Python worker keeps for the rest of the session stays below 32 MB, however many words it has met."""
+    monkeypatch.setattr(shingles, "HASHES", shingles.WordHashes())
+    for start in range(0, 450_000, 50_000):
+        words = b" ".join(b"some-word-%d" % k for k in range(start, start + 50_000))
+        hashes = shingles.word_hashes(words)
+    assert hashes[-1] == xxhash.xxh3_64_intdigest(b"some-word-449999")
+    held = shingles.HASHES
+    assert sys.getsizeof(held) + sum(sys.getsizeof(word) + sys.getsizeof(value) for word, value in held.items()) < 32 << 20
+
+
+def test_numbering_starts_no_python_workers(docs, empty):
+    """The table of files comes from Arrow: rows of Python objects are made by workers that then stay."""
+    rows = common.numbered(docs)
+    assert "ExistingRDD" not in rows.frame._jdf.queryExecution().toString()
+    numbers = sorted(row[0] for row in rows.frame.select(rows.row).collect())
+    assert numbers == list(range(rows.total)) and rows.total == docs.count()
+    assert common.numbered(empty).frame.count() == 0
+
+
 def test_whole_sets_are_sent_only_for_near_pairs(spark):
     """Of a hundred sets that share a few shingles with a centre, and one that shares most, only that one is compared whole."""
     rng, rule = np.random.default_rng(3), jaccard_join.Rule()

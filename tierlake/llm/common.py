@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -116,13 +117,16 @@ def numbered(docs: DataFrame) -> Located:
     """
     rows = located(docs)
     sizes = rows.frame.groupBy(rows.file).agg(F.max(rows.row) + 1)
-    firsts, total = [], 0
+    paths, firsts, total = [], [], 0
     for path, size in sorted(tuple(row) for row in sizes.collect()):
-        firsts.append((path, total))
+        paths.append(path)
+        firsts.append(total)
         total += size
     first = fresh([*rows.columns, rows.file, rows.row], "_first")
-    files = docs.sparkSession.createDataFrame(firsts, f"`{rows.file}` string, `{first}` bigint")
-    if sum(len(path) + 16 for path, _ in firsts) <= BROADCAST_BYTES:
+    # From Arrow, as rows of Python objects would start Python workers of their own, which stay.
+    table = pa.table([pa.array(paths, pa.string()), pa.array(firsts, pa.int64())], [rows.file, first])
+    files = docs.sparkSession.createDataFrame(table)
+    if sum(len(path) + 16 for path in paths) <= BROADCAST_BYTES:
         files = F.broadcast(files)
     frame = rows.frame.join(files, rows.file).withColumn(rows.row, F.col(first) + F.col(rows.row))
     return Located(frame.select(*rows.columns, rows.file, rows.row), rows.columns, rows.file, rows.row, total)

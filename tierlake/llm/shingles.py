@@ -12,11 +12,15 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Words whose hashes a Python worker remembers, about 25 MB that it holds as long as it lives.
+REMEMBERED = 1 << 17
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
